@@ -112,12 +112,14 @@ _SQL_LINE = ",".join(
         _sql_field(_WHOLE, True), _sql_field(_WHOLE, True), _sql_field("[+-]?" + _DEC + "%", True), _sql_field("[+-]?" + _DEC + "%", True), _sql_field(r"(?:[01][0-9]|2[0-3]):[0-5][0-9] ET", True),
     ]
 )
+_SQL_ANY = r'(?:[^",]*|[ \t]*"(?:[^"]|"")*"[ \t]*)'
+_SQL_LATEST = rf'^{_SQL_ANY},{_SQL_ANY},[ \t]*(?:"[ \t]*([0-9.,]+)[ \t]*"|([0-9.]+))[ \t]*,'
 _SQL_UNREADABLE = "|".join(p for _, p in parsefail.UNREADABLE).replace("'", "''")
 P3_FOUND = f"""
 SELECT 'screen_line' AS feed, line_id::VARCHAR AS row_key FROM screen_line
 WHERE c0 IS NOT NULL AND NOT regexp_full_match(c0, '[\\x{{FEFF}}\\s]*') AND NOT regexp_matches(lower(c0), '^[\\x{{FEFF}}\\s]*symbol,name,latest,') AND NOT regexp_matches(lower(c0), '^[\\s"]*downloaded from\\b')
   AND NOT (regexp_full_match(c0, '{_SQL_LINE}', 's')
-           AND coalesce(try_cast(replace(regexp_extract(c0, '^(?:[^",]*|[ \\t]*"(?:[^"]|"")*"[ \\t]*),(?:[^",]*|[ \\t]*"(?:[^"]|"")*"[ \\t]*),[ \\t]*"?[ \\t]*([0-9.,]*[0-9])', 1), ',', '') AS DOUBLE), 1) > 0)
+           AND try_cast(replace(regexp_extract(c0, '{_SQL_LATEST}', 1) || regexp_extract(c0, '{_SQL_LATEST}', 2), ',', '') AS DOUBLE) > 0)
 UNION
 SELECT 'filing', accession_number FROM filing WHERE regexp_matches(lower(parse_error), '{_SQL_UNREADABLE}')
 """
