@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.functions.once import with_once
+
 PLAIN = r'[^",]*'
 QUOTED = r'[ \t]*"(?:[^"]|"")*"[ \t]*'
 FIELD = f"(?:{QUOTED}|{PLAIN})"
@@ -81,7 +83,7 @@ def screen_rows(df: DataFrame, line: str = "c0", rules: tuple[FieldRule, ...] =
         .otherwise(F.coalesce(bad, F.lit("ok")))
     )
     typed = F.struct(*[F.when(~missing[r.name], _typed(fields[r.name], r.kind)).alias(r.name) for r in rules])
-    out = df.withColumn("_fields", parsed).withColumn("_reason", reason)
+    out = with_once(with_once(df, "_fields", parsed), "_reason", reason)
     return out.withColumns({"_raw": F.when(~F.col("_reason").isin("ok", "not_a_row"), raw), "row": F.when(F.col("_reason") == "ok", typed)}).drop("_fields")
 
 
