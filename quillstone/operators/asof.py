@@ -41,8 +41,9 @@ def _bucket(c: Column | str, days: int) -> Column:
 
 def resolve(pairs: DataFrame, valid: DataFrame, bucket_days: int = BUCKET_DAYS) -> DataFrame:
     """Answers (entity, day, own_day, known_at, value) for distinct (entity, day) pairs."""
-    last = pairs.agg(F.max("day").alias("last_day"))  # one row; open intervals end after the last event
-    closed = valid.join(F.broadcast(last), F.col("valid_from") <= F.col("last_day")).withColumn("valid_to", F.least(F.coalesce("valid_to", F.date_add("last_day", 1)), F.date_add("last_day", 1))).drop("last_day")
+    # an entity's last event day ends its open interval; entities without events drop out here
+    last = pairs.groupBy("entity").agg(F.date_add(F.max("day"), 1).alias("end"))
+    closed = valid.join(last, "entity").filter(F.col("valid_from") < F.col("end")).withColumn("valid_to", F.least(F.coalesce("valid_to", "end"), "end")).drop("end")
     buckets = F.sequence(_bucket("valid_from", bucket_days), _bucket(F.date_sub("valid_to", 1), bucket_days))
     spread = closed.withColumn("bucket", F.explode(buckets)).alias("v")
     asked = pairs.withColumn("bucket", _bucket("day", bucket_days)).alias("p")
