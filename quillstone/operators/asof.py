@@ -51,9 +51,19 @@ def resolve(pairs: DataFrame, valid: DataFrame, bucket_days: int = BUCKET_DAYS)
     return asked.join(spread, inside).select("p.entity", "p.day", "v.own_day", "v.known_at", "v.value")
 
 
-def as_known(events: DataFrame, entity: Column, day: Column, valid: DataFrame, bucket_days: int = BUCKET_DAYS) -> DataFrame:
-    """Events with own_day, known_at and value of the attribute as known on their day; columns ``__entity`` and ``__day`` hold the keys used."""
+def as_known(events: DataFrame, entity: Column, day: Column, attributes: dict[str, DataFrame], bucket_days: int = BUCKET_DAYS) -> DataFrame:
+    """Events with one row per attribute known on their day: attribute, own_day, known_at and value (as text), once per distinct event.
+
+    All attributes are looked up beside each other, so the events are read and shuffled once; ``entity`` and ``day`` columns hold the keys used."""
+    kept = events.columns
     keyed = events.withColumns({"__entity": entity, "__day": day.cast("date")}).filter("__entity is not null and __day is not null")
     pairs = keyed.select(F.col("__entity").alias("entity"), F.col("__day").alias("day")).distinct()
-    answers = resolve(pairs, valid, bucket_days).select(F.col("entity").alias("__entity"), F.col("day").alias("__day"), "own_day", "known_at", "value")
-    return keyed.join(answers, ["__entity", "__day"])
+    found = keyed
+    for i, valid in enumerate(attributes.values()):
+        answer = F.struct("own_day", "known_at", F.col("value").cast("string").alias("value"))
+        answers = resolve(pairs, valid, bucket_days).select(F.col("entity").alias("__entity"), F.col("day").alias("__day"), answer.alias(f"__a{i}"))
+        found = found.join(answers, ["__entity", "__day"], "left")
+    # partitioned by the keys already, so that dropping repeated events moves nothing
+    found = found.distinct()
+    rows = [F.when(F.col(f"__a{i}").isNotNull(), F.struct(F.lit(name).alias("attribute"), F.col(f"__a{i}")["own_day"].alias("own_day"), F.col(f"__a{i}")["known_at"].alias("known_at"), F.col(f"__a{i}")["value"].alias("value"))) for i, name in enumerate(attributes)]
+    return found.select(*kept, F.col("__entity").alias("entity"), F.col("__day").alias("day"), F.inline(F.array_compact(F.array(*rows))))

@@ -243,20 +243,17 @@ def _known(spark: SparkSession, sf: str) -> DataFrame:
     profile, context = table(spark, sf, "universe_company_profile"), table(spark, sf, "universe_market_context")
     caps = asof.intervals(profile, K.ticker("ticker"), F.col("trading_date"), F.col("fetched_at"), F.col("market_cap"))
     closes = asof.intervals(context, K.ticker("ticker"), F.col("trading_date"), F.col("created_at"), F.col("close"))
-    out: DataFrame | None = None
-    for name, valid in (("market_cap", caps), ("close", closes)):
-        one = asof.as_known(events, K.ticker("issuer_ticker"), F.col("transaction_date"), valid).select("accession_number", "transaction_index", F.lit(name).alias("attribute"), K.iso("own_day").alias("trading_date"), K.iso(F.col("known_at").cast("date")).alias("known_date"), F.col("value").cast("decimal(28,6)").alias("value"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    rows = asof.as_known(events, K.ticker("issuer_ticker"), F.col("transaction_date"), {"market_cap": caps, "close": closes})
+    return rows.select("accession_number", "transaction_index", "attribute", K.iso("own_day").alias("trading_date"), K.iso(F.col("known_at").cast("date")).alias("known_date"), F.col("value").cast("decimal(28,6)").alias("value"))
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _known(spark, sf).drop("value").distinct()
+    return _known(spark, sf).drop("value")
 
 
 def p7_values(spark: SparkSession, sf: str) -> DataFrame:
     """The same with the values."""
-    return _known(spark, sf).distinct()
+    return _known(spark, sf)
 
 
 _P7 = """
