@@ -51,16 +51,14 @@ def diff_all(df: DataFrame, snapshot: str, key: str, value: str, buckets: int =
     index = index_of(folded, buckets)
     delivered = folded.select("snapshot").distinct()  # as many rows as snapshots
     order = Window.orderBy("snapshot")
-    following = delivered.select("snapshot", F.lead("snapshot").over(order).alias("next"))
-    first = delivered.agg(F.min("snapshot").alias("first"))
-    old = index.join(following.filter("next is not null"), "snapshot").drop("snapshot").withColumnRenamed("next", "snapshot")
-    found = probe(old, index)
-    # against no index at all, the first snapshot would be all additions
-    found = found.join(F.broadcast(first), F.col("snapshot") > F.col("first")).drop("first", "bucket")  # one row
+    steps = delivered.select("snapshot", F.lag("snapshot").over(order).alias("before"), F.lead("snapshot").over(order).alias("next"))
+    old = index.join(steps.filter("next is not null").select("snapshot", "next"), "snapshot").drop("snapshot").withColumnRenamed("next", "snapshot")
+    new = index.join(steps.filter("before is not null").select("snapshot"), "snapshot", "left_semi")  # the first snapshot probes nothing
+    found = probe(old, new).drop("bucket")
     if not values:
         return found
     new_state = folded.select("snapshot", "key", F.col("state").alias("new_state"))
-    before = folded.join(following.filter("next is not null"), "snapshot").select(F.col("next").alias("snapshot"), "key", F.col("state").alias("old_state"))
+    before = folded.join(steps.filter("next is not null"), "snapshot").select(F.col("next").alias("snapshot"), "key", F.col("state").alias("old_state"))
     return found.join(before, ["snapshot", "key"], "left").join(new_state, ["snapshot", "key"], "left")
 
 
