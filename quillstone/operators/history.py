@@ -21,27 +21,34 @@ from pyspark.sql import functions as F
 EVENTS = ("inserted", "changed", "deleted")
 
 
-def statements(df: DataFrame, entity: Column, day: Column, value: Column, same: Column, known_at: Column) -> DataFrame:
-    """One non-null statement per entity and day: (entity_key, day, value, same)."""
-    rows = df.select(entity.cast("string").alias("entity_key"), day.cast("date").alias("day"), value.cast("string").alias("value"), same.cast("string").alias("same"), known_at.alias("known_at"))
-    rows = rows.filter(F.col("entity_key").isNotNull() & F.col("day").isNotNull() & F.col("same").isNotNull())
+def statements(df: DataFrame, entity: Column, day: Column, known_at: Column, attributes: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Non-null statements (attribute, entity_key, day, known_at, value, same) of rows; ``attributes`` maps a name to its value and the form under which
+    values compare. All attributes of a table come from one scan."""
+    said = F.array(*[F.struct(F.lit(name).alias("attribute"), value.cast("string").alias("value"), same.cast("string").alias("same")) for name, (value, same) in attributes.items()])
+    rows = df.select(entity.cast("string").alias("entity_key"), day.cast("date").alias("day"), known_at.alias("known_at"), F.inline(said))
+    return rows.filter(F.col("entity_key").isNotNull() & F.col("day").isNotNull() & F.col("same").isNotNull())
+
+
+def last_of_day(said: DataFrame) -> DataFrame:
+    """One statement per attribute, entity and day: (attribute, entity_key, day, value, same)."""
     last = F.max(F.struct("known_at", "same", "value")).alias("last")
-    return rows.groupBy("entity_key", "day").agg(last).select("entity_key", "day", "last.value", "last.same")
+    return said.groupBy("attribute", "entity_key", "day").agg(last).select("attribute", "entity_key", "day", "last.value", "last.same")
 
 
 def changes(stated: DataFrame) -> DataFrame:
-    """Events (entity_key, day, event, value, same, previous) of each delivered day against the delivered day before it."""
-    days = stated.select("day").distinct()
-    following = days.select("day", F.lead("day").over(Window.orderBy("day")).alias("next_day"))  # as many rows as calendar days
-    before = stated.join(following.filter("next_day is not null"), "day").select("entity_key", F.col("next_day").alias("day"), F.col("value").alias("value0"), F.col("same").alias("same0"))
-    both = stated.withColumn("here", F.lit(True)).join(before.withColumn("there", F.lit(True)), ["entity_key", "day"], "full_outer")
+    """Events (attribute, entity_key, day, event, value, same, previous) of each delivered day against the delivered day before it."""
+    days = stated.select("attribute", "day").distinct()
+    step = Window.partitionBy("attribute").orderBy("day")  # as many rows as calendar days
+    following = days.select("attribute", "day", F.lead("day").over(step).alias("next_day")).filter("next_day is not null")
+    before = stated.join(following, ["attribute", "day"]).select("attribute", "entity_key", F.col("next_day").alias("day"), F.col("value").alias("value0"), F.col("same").alias("same0"))
+    both = stated.withColumn("here", F.lit(True)).join(before.withColumn("there", F.lit(True)), ["attribute", "entity_key", "day"], "full_outer")
     event = F.when(F.col("there").isNull(), "inserted").when(F.col("here").isNull(), "deleted").when(~F.col("same").eqNullSafe(F.col("same0")), "changed")
-    return both.withColumn("event", event).filter("event is not null").select("entity_key", "day", "event", "value", "same", F.col("value0").alias("previous"))
+    return both.withColumn("event", event).filter("event is not null").select("attribute", "entity_key", "day", "event", "value", "same", F.col("value0").alias("previous"))
 
 
 def versions(stated: DataFrame) -> DataFrame:
-    """Versions (entity_key, value, valid_from, valid_to) with half-open validity; valid_to is null for the version that still holds."""
+    """Versions (attribute, entity_key, value, valid_from, valid_to) with half-open validity; valid_to is null for the version that still holds."""
     events = changes(stated).filter(F.col("event") != "deleted")
-    by_key = Window.partitionBy("entity_key").orderBy("day")  # bounded: at most one event per calendar day
+    by_key = Window.partitionBy("attribute", "entity_key").orderBy("day")  # bounded: at most one event per calendar day
     fresh = events.withColumn("same0", F.lag("same").over(by_key)).filter(F.col("same0").isNull() | (F.col("same0") != F.col("same")))
-    return fresh.select("entity_key", "value", F.col("day").alias("valid_from"), F.lead("day").over(by_key).alias("valid_to"))
+    return fresh.select("attribute", "entity_key", "value", F.col("day").alias("valid_from"), F.lead("day").over(by_key).alias("valid_to"))

@@ -31,23 +31,18 @@ def p1_variants(spark: SparkSession, sf: str) -> DataFrame:
 # --- 2: history of attributes ------------------------------------------------------------------------------------------------------
 
 
-def _attributes(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _stated(spark: SparkSession, sf: str) -> DataFrame:
     profile, master, issuer = table(spark, sf, "universe_company_profile"), table(spark, sf, "security_master"), table(spark, sf, "issuer_sec_profile")
-    say = history.statements
-    return {
-        "sector": say(profile, K.ticker("ticker"), F.col("trading_date"), F.col("sector"), K.loose_text("sector"), F.col("fetched_at")),
-        "market_cap": say(profile, K.ticker("ticker"), F.col("trading_date"), F.col("market_cap"), F.col("market_cap"), F.col("fetched_at")),
-        "cik": say(master, K.ticker("ticker"), F.col("updated_at"), F.col("cik"), K.cik_digits("cik"), F.col("updated_at")),
-        "entity_name": say(issuer, F.col("cik"), F.col("fetched_at"), F.col("entity_name"), K.loose_text("entity_name"), F.col("fetched_at")),
-    }
+    at = lambda c: F.col(c).cast("timestamp_ntz")
+    said = history.statements(profile, K.ticker("ticker"), F.col("trading_date"), at("fetched_at"), {"sector": (F.col("sector"), K.loose_text("sector")), "market_cap": (F.col("market_cap"), F.col("market_cap"))})
+    said = said.unionByName(history.statements(master, K.ticker("ticker"), F.col("updated_at"), at("updated_at"), {"cik": (F.col("cik"), K.cik_digits("cik"))}))
+    said = said.unionByName(history.statements(issuer, F.col("cik"), F.col("fetched_at"), at("fetched_at"), {"entity_name": (F.col("entity_name"), K.loose_text("entity_name"))}))
+    return history.last_of_day(said)
 
 
 def p2_history(spark: SparkSession, sf: str) -> DataFrame:
-    out: DataFrame | None = None
-    for name, stated in _attributes(spark, sf).items():
-        one = history.versions(stated).select(F.lit(name).alias("attribute"), "entity_key", "value", K.iso("valid_from").alias("valid_from"), K.iso("valid_to").alias("valid_to"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    rows = history.versions(_stated(spark, sf))
+    return rows.select("attribute", "entity_key", "value", K.iso("valid_from").alias("valid_from"), K.iso("valid_to").alias("valid_to"))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
