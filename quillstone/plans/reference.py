@@ -585,7 +585,7 @@ def recent_counts(spark, sf):
     f = table(spark, sf, "filing").select("accession_number", "parsed_at", "parse_error").distinct()
     now = f.agg(F.max("parsed_at").alias("now"))
     has = table(spark, sf, "form4_transaction").select("accession_number").distinct().withColumn("has", F.lit(True))
-    rows = f.join(F.broadcast(now), F.lit(True)).join(has, "accession_number", "left")  # one row of time
+    rows = f.withColumn("now", now.scalar()).join(has, "accession_number", "left")
     recent = F.col("parsed_at") >= F.col("now") - F.expr("INTERVAL 24 HOURS")
     return rows.agg(F.count("*").alias("filings"), F.count_if(recent).alias("last_day"), F.count_if(recent & F.col("parse_error").isNotNull()).alias("last_day_with_message"), F.count("has").alias("with_transactions"))
 

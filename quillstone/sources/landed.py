@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
+from quillstone.functions.once import with_once
 
 
 def text_of(binary: Column | str) -> Column:
@@ -31,7 +32,7 @@ def master_index(df: DataFrame, line: str = "value") -> DataFrame:
     at = F.array_position(F.transform(tokens, lambda x: x.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{8})$")), True).cast("int")
     spaced = F.when((at >= 4) & (F.size(tokens) > at), F.array(F.element_at(tokens, 1), F.array_join(F.slice(tokens, 2, F.greatest(at - 3, F.lit(0))), " "), F.try_element_at(tokens, at - 1), F.try_element_at(tokens, at), F.array_join(F.slice(tokens, at + 1, F.size(tokens)), " ")))
     parts = F.when(raw.contains("|"), F.when(F.size(bars) >= 5, bars)).otherwise(spaced)
-    rows = df.withColumn("__p", parts).filter("__p is not null")
+    rows = with_once(df, "__p", parts).filter("__p is not null")
     get = lambda i: F.get("__p", F.lit(i))
     rows = rows.withColumns({"cik": X.pad_cik_strict(get(0)), "company": get(1), "form": get(2), "filed": date_of(get(3)), "path": get(4)}).drop("__p")
     return rows.filter(F.col("form").isin(*X.FORMS) & F.col("cik").isNotNull() & F.col("filed").isNotNull())
@@ -42,7 +43,7 @@ SUBMISSIONS = "cik string, name string, entityType string, sic string, sicDescri
 
 def submissions(df: DataFrame, payload: str = "value") -> DataFrame:
     """Rows (cik, accession_number, form, filed, document) of the parallel arrays, cut to the shortest, of the forms in scope."""
-    rows = df.select(F.from_json(payload, SUBMISSIONS).alias("s")).select("s.cik", "s.filings.recent.*")
+    rows = with_once(df.select(payload), "s", F.from_json(payload, SUBMISSIONS)).select("s.cik", "s.filings.recent.*")
     names = ["form", "filingDate", "accessionNumber", "primaryDocument"]
     length = F.least(*[F.size(n) for n in names])
     cut = rows.withColumn("n", length).filter("n > 0").select("cik", F.inline(F.arrays_zip(*[F.slice(n, F.lit(1), F.col("n")).alias(n) for n in names])))
@@ -52,8 +53,7 @@ def submissions(df: DataFrame, payload: str = "value") -> DataFrame:
 
 def company_fields(df: DataFrame, payload: str = "value") -> DataFrame:
     """Company-level fields of a submissions record; blank text and empty lists are null."""
-    s = F.from_json(payload, SUBMISSIONS)
-    rows = df.select(s.alias("s")).select("s.*")
+    rows = with_once(df.select(payload), "s", F.from_json(payload, SUBMISSIONS)).select("s.*")
 
     def listed(c: str) -> Column:
         some = F.filter(F.transform(c, X.strip), lambda x: x != "")
@@ -80,7 +80,7 @@ def ownership(df: DataFrame, xml: str = "xml", nested_values: bool = True) -> Da
     Without ``nested_values`` dates and ownership count only as an element's own text."""
     # the attribute's two spellings would be one name to the column resolver
     doc = F.from_xml(F.regexp_replace(xml, r"\bfootnoteID=", "footnoteId="), OWNERSHIP, {"rowTag": "ownershipDocument", "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    rows = df.withColumn("doc", doc)
+    rows = with_once(df, "doc", doc)
     kind = X.blank_to_null("doc.documentType")
     error = (
         F.when(F.col(xml).isNull() | ~F.col(xml).rlike(r"<([A-Za-z0-9_]+:)?ownershipDocument[\s>]"), "missing ownershipDocument root")
