@@ -11,7 +11,7 @@ side is unique, so a hot pair is split by the engine's skew handling at no cost
 Defined results
 * an event without entity or day, or with nothing known by then, gives no row. Null attribute values are never candidates.
 * of rows with equal own day and equal time of knowledge the greater value is taken.
-* repeated attribute rows change nothing; repeated events are repeated in the result. Empty inputs give an empty result.
+* repeated attribute rows change nothing; repeated events are one. Empty inputs give an empty result.
 """
 
 from __future__ import annotations
@@ -54,8 +54,9 @@ def resolve(pairs: DataFrame, valid: DataFrame, bucket_days: int = BUCKET_DAYS)
 def as_known(events: DataFrame, entity: Column, day: Column, attributes: dict[str, DataFrame], bucket_days: int = BUCKET_DAYS) -> DataFrame:
     """Events with one row per attribute known on their day: attribute, own_day, known_at and value (as text), once per distinct event.
 
-    All attributes are looked up beside each other, so the events are read and shuffled once; ``entity`` and ``day`` columns hold the keys used."""
-    kept = events.columns
+    All attributes are looked up beside each other, so the events are read and shuffled once; ``entity`` and ``day`` hold the keys used. Columns of the events
+    that bear one of the added names give way."""
+    kept = [c for c in events.columns if c not in ("entity", "day", "attribute", "own_day", "known_at", "value")]
     keyed = events.withColumns({"__entity": entity, "__day": day.cast("date")}).filter("__entity is not null and __day is not null")
     pairs = keyed.select(F.col("__entity").alias("entity"), F.col("__day").alias("day")).distinct()
     found = keyed

@@ -197,9 +197,13 @@ def flatten(payload: str | None) -> dict:
     if payload is None or not payload.strip():
         return empty | {"variant": "null"}
     try:
-        root = classify(json.loads(payload))
-    except (ValueError, RecursionError):
+        return _flatten(json.loads(payload))
+    except (ValueError, RecursionError):  # nested beyond what the parser follows is malformed too
         return empty | {"variant": "malformed"}
+
+
+def _flatten(value: object) -> dict:
+    root = classify(value)
     found: list[tuple[str, Node]] = []
     holdings, notes = [], []
     for state, node, category in _walk(root, None):

@@ -63,7 +63,8 @@ def _typed(field: Column, kind: str) -> Column:
 
 
 def screen_rows(df: DataFrame, line: str = "c0", rules: tuple[FieldRule, ...] = SCREEN) -> DataFrame:
-    """All columns of ``df`` plus ``_reason``, ``_raw`` (only of rejected rows) and ``row``, a struct of typed fields (only of valid ones)."""
+    """All columns of ``df`` plus ``_reason``, ``_raw`` (only of rejected rows) and ``row``, a struct of typed fields (only of valid ones); columns that bear
+    one of these names give way."""
     raw = F.col(line)
     names = [r.name for r in rules]
     parsed = F.from_csv(raw, ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "nullValue": "", "emptyValue": "", "maxCharsPerColumn": "-1"})
@@ -83,7 +84,7 @@ def screen_rows(df: DataFrame, line: str = "c0", rules: tuple[FieldRule, ...] =
         .otherwise(F.coalesce(bad, F.lit("ok")))
     )
     typed = F.struct(*[F.when(~missing[r.name], _typed(fields[r.name], r.kind)).alias(r.name) for r in rules])
-    out = with_once(with_once(df, "_fields", parsed), "_reason", reason)
+    out = with_once(with_once(df.drop("_fields", "_reason", "_raw", "row"), "_fields", parsed), "_reason", reason)
     return out.withColumns({"_raw": F.when(~F.col("_reason").isin("ok", "not_a_row"), raw), "row": F.when(F.col("_reason") == "ok", typed)}).drop("_fields")
 
 
