@@ -96,7 +96,7 @@ def filing_index_url(cik: Column | str, accession: Column | str) -> Column:
     digits = F.nullif(F.regexp_replace(_c(cik), "[^0-9]", ""), F.lit(""))
     search = F.concat(F.lit(f"{ARCHIVE}/cgi-bin/browse-edgar?action=getcompany&CIK=&type=4&dateb=&owner=include&count=40&search_text="), acc)
     page = F.concat(F.lit(f"{ARCHIVE}/Archives/edgar/data/"), cik_segment(digits), F.lit("/"), accession_plain(acc), F.lit("/"), acc, F.lit("-index.htm"))
-    return F.when(acc.isNotNull(), F.coalesce(page, search))
+    return F.when(digits.isNotNull(), page).otherwise(search)
 
 
 def document_url(cik: Column | str, accession: Column | str, document: Column | str) -> Column:
@@ -214,3 +214,52 @@ def profile_status(info: Column) -> Column:
     nothing = F.coalesce(info["quoteType"] == "NONE", F.lit(False)) | F.coalesce(info["symbol"].endswith("=X"), F.lit(False))
     some = (strip(name) != "") | (F.coalesce(info["marketCap"], F.lit(0)) != 0) | info["regularMarketPrice"].isNotNull()
     return F.when(info.isNotNull() & ~nothing & some, "ok").otherwise("no_data")
+
+
+# --- small parameters and messages -------------------------------------------------------------------------------------------------
+
+
+def quote_symbol(c: Column | str) -> Column:
+    """A ticker as quote services write it: dashes for dots."""
+    return F.replace(F.upper(strip(c)), F.lit("."), F.lit("-"))
+
+
+def price_symbol(c: Column | str) -> Column:
+    """A ticker as price files write it: lower case with a market suffix, kept if it has one; null if blank."""
+    low = F.nullif(F.lower(strip(c)), F.lit(""))
+    return F.when(low.endswith(".us"), low).otherwise(F.concat(low, F.lit(".us")))
+
+
+def one_line(c: Column | str) -> Column:
+    """White space runs as one blank, none at the ends."""
+    return strip(F.regexp_replace(_c(c), r"\s+", " "))
+
+
+def joined_messages(*messages: Column | str) -> Column:
+    """Messages that are not blank, in order, separated by bars; null if there is none."""
+    return F.nullif(F.concat_ws(" | ", *[blank_to_null(m) for m in messages]), F.lit(""))
+
+
+def clamp(c: Column | str, low: int, high: int) -> Column:
+    return F.greatest(F.lit(low), F.least(F.lit(high), _c(c)))
+
+
+def known_metadata(m: Column | str) -> Column:
+    """A map without its null values."""
+    return F.map_filter(_c(m), lambda _, v: v.isNotNull())
+
+
+def content_path(prefix: str, accession: Column | str, sha: Column | str) -> Column:
+    """Object path of a raw document, addressed by its content."""
+    return F.concat_ws("/", F.lit(prefix.rstrip("/")), _c(accession), F.concat(_c(sha), F.lit(".xml")))
+
+
+def session_dates(single: str | None, several: str | None) -> list[str]:
+    """Sorted distinct ISO days of a parameter pair; the list wins over the single day; neither is an error."""
+    from datetime import date
+
+    text = several if several and several.strip() else single
+    days = sorted({date.fromisoformat(x.strip()[:10]).isoformat() for x in (text or "").split(",") if x.strip()})
+    if not days:
+        raise ValueError("a session day is needed")
+    return days

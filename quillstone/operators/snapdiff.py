@@ -14,11 +14,11 @@ Defined results
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillstone.sources.versions import Versions
+
 BUCKETS = 4096
 
 
@@ -65,33 +65,19 @@ def diff_all(df: DataFrame, snapshot: str, key: str, value: str, buckets: int =
 class SnapshotIndex:
     """The index of the last snapshot in a folder that all executors share; each ``apply`` probes it, then swaps in the new one.
 
-    The swap writes a new version folder first and then its name into ``current``, so a job that dies leaves the old index in use.
+    The swap names a finished version, so a job that dies leaves the old index in use.
     """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
-        self.spark, self.folder, self.buckets = spark, folder.rstrip("/"), buckets
-
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
-
-    def current(self) -> str | None:
-        """Folder of the index in use."""
-        fs, pointer = self._fs(f"{self.folder}/current")
-        if not fs.exists(pointer):
-            return None
-        return self.spark.read.text(f"{self.folder}/current").head()[0]
+        self.spark, self.versions, self.buckets = spark, Versions(spark, folder), buckets
 
     def apply(self, df: DataFrame, key: str, value: str) -> DataFrame:
         """Changes (key, change) of a full snapshot against the last one; all ``added`` if there is none."""
         folded = fold(df.withColumn("__snapshot", F.lit(0)), "__snapshot", key, value)
-        name = f"{self.folder}/v-{uuid.uuid4().hex}"
-        index_of(folded, self.buckets).drop("snapshot").repartition("bucket").write.partitionBy().parquet(name)
-        new = self.spark.read.parquet(name).withColumn("snapshot", F.lit(0))
-        last = self.current()
-        old = self.spark.read.parquet(last).withColumn("snapshot", F.lit(0)) if last else new.limit(0)
-        found = probe(old, new).select("key", "change")
-        found.write.parquet(f"{name}-changes")
-        self.spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/current")
-        return self.spark.read.parquet(f"{name}-changes")
+        name = self.versions.write(index_of(folded, self.buckets).drop("snapshot").repartition("bucket"))
+        new = self.versions.read(name).withColumn("snapshot", F.lit(0))
+        last = self.versions.read()
+        old = new.limit(0) if last is None else last.withColumn("snapshot", F.lit(0))
+        changes = self.versions.write(probe(old, new).select("key", "change"), f"{name}-changes")
+        self.versions.use(name)
+        return self.versions.read(changes)

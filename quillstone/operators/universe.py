@@ -60,11 +60,11 @@ def lookup_cik(tickers: DataFrame, ciks: DataFrame) -> DataFrame:
 def screen_members(lines: DataFrame) -> DataFrame:
     """(trading_date, universe_group, ticker, line_no) of screen files: the date and group of the file's name, first mention of each probable ticker above
     the footer."""
-    from quillstone.operators.parsefail import FOOTER, HEADER
+    from quillstone.operators.parsefail import FOOTER
 
     rows = lines.select("file_name", "line_no", "c0")
     ends = rows.filter(F.col("c0").rlike(FOOTER)).groupBy("file_name").agg(F.min("line_no").alias("end"))  # one row per file
-    body = rows.join(ends, "file_name", "left").filter("end is null or line_no < end").filter(~F.col("c0").rlike(HEADER))
+    body = rows.join(ends, "file_name", "left").filter("end is null or line_no < end").filter(~F.col("c0").rlike(r'(?i)^[\x{FEFF}\s]*"?symbol"?\s*(,|$)'))
     name = F.lower("file_name")
     first = F.from_csv("c0", "symbol string", {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})["symbol"]
     out = body.select(
@@ -72,3 +72,21 @@ def screen_members(lines: DataFrame) -> DataFrame:
         F.when(name.contains("highs"), "high").when(name.contains("lows"), "low").alias("universe_group"), F.upper(X.strip(first)).alias("ticker"), "line_no",
     )
     return out.filter(X.probable_ticker("ticker") & F.col("trading_date").isNotNull() & F.col("universe_group").isNotNull()).groupBy("trading_date", "universe_group", "ticker").agg(F.min("line_no").alias("line_no"))
+
+
+def backfill_plan(new: DataFrame, members_df: DataFrame, lookback_days: int) -> DataFrame:
+    """(cik, first_day, last_day) to fetch for entrants: from ``lookback_days`` (1 to 3,650) before their first session as entrants to that session."""
+    days = max(1, min(3650, lookback_days))
+    ciks = members_df.filter("cik is not null").select("trading_date", "ticker", "cik").distinct()
+    first = new.select("trading_date", "ticker").distinct().join(ciks, ["trading_date", "ticker"]).groupBy("cik").agg(F.min("trading_date").alias("last_day"))
+    return first.select("cik", F.date_sub("last_day", days).alias("first_day"), "last_day")
+
+
+def calendar(plan: DataFrame) -> DataFrame:
+    """One row per cik and day of a plan (cik, first_day, last_day)."""
+    return plan.select("cik", F.explode(F.sequence("first_day", "last_day")).alias("day"))
+
+
+def dead_letters(df: DataFrame, stage: str, kind, message, payload_columns: list[str], created_at) -> DataFrame:
+    """Rows of a dead-letter table: (id, accession_number, stage, error_type, message, payload, created_at); messages are cut at 500 characters as stored."""
+    return df.select(F.expr("uuid()").alias("id"), "accession_number", F.lit(stage).alias("stage"), kind.alias("error_type"), F.left(message, F.lit(500)).alias("message"), F.to_json(F.struct(*payload_columns)).alias("payload"), created_at.alias("created_at"))

@@ -216,7 +216,7 @@ def session_cik_counts(spark, sf):
 
 @query("""WITH ends AS (SELECT file_name, min(line_no) AS e FROM screen_line WHERE regexp_matches(lower(c0), '^[\\s"]*downloaded from\\b') GROUP BY 1)
 , body AS (SELECT s.file_name, line_no, upper(regexp_replace(CASE WHEN regexp_matches(c0, '^[ \\t]*"') THEN replace(regexp_extract(c0, '^[ \\t]*"((?:[^"]|"")*)"?', 1), '""', '"') ELSE regexp_extract(c0, '^([^,]*)', 1) END, '^\\s+|\\s+$', '', 'g')) AS ticker
-  FROM screen_line s LEFT JOIN ends USING (file_name) WHERE (e IS NULL OR line_no < e) AND NOT regexp_matches(lower(c0), '^[\\x{FEFF}\\s]*symbol,name,latest,'))
+  FROM screen_line s LEFT JOIN ends USING (file_name) WHERE (e IS NULL OR line_no < e) AND NOT regexp_matches(lower(c0), '^[\\x{FEFF}\\s]*"?symbol"?\\s*(,|$)'))
 SELECT strftime(strptime(regexp_extract(file_name, '([0-9]{2}-[0-9]{2}-[0-9]{4})[.]csv$', 1), '%m-%d-%Y'), '%Y-%m-%d') AS trading_date, CASE WHEN contains(lower(file_name), 'highs') THEN 'high' ELSE 'low' END AS universe_group, ticker, min(line_no) AS line_no
 FROM body WHERE regexp_full_match(ticker, '[A-Z][A-Z0-9.\\-]{0,9}') GROUP BY ALL""")
 def screen_universe(spark, sf):
@@ -605,3 +605,65 @@ def filings_by_industry(spark, sf):
     current = merge.last_per_key(p, ["c"], ["fetched_at"])
     f = table(spark, sf, "filing").select("accession_number", "issuer_cik").distinct().withColumn("c", K.cik_digits("issuer_cik"))
     return f.join(current, "c", "left").groupBy(F.coalesce("sic_code", F.lit("")).alias("sic_code")).agg(F.count("*").alias("filings"), F.count("entity_name").alias("named"))
+
+
+@query(_ENTRANTS + """, c AS (SELECT DISTINCT trading_date, ticker, cik FROM uni WHERE cik IS NOT NULL), f AS (SELECT cik, min(ent.trading_date) AS l FROM ent JOIN c ON c.trading_date = ent.trading_date AND c.ticker = ent.ticker GROUP BY cik)
+SELECT cik, strftime(l - 30, '%Y-%m-%d') AS first_day, strftime(l, '%Y-%m-%d') AS last_day, 31::BIGINT AS days FROM f""")
+def backfill_plan(spark, sf):
+    """Which days to fetch for each entrant, 30 days back, counted over the exploded calendar."""
+    members = _universe(spark, sf)
+    days = universe.calendar(universe.backfill_plan(universe.entrants(members), members, 30))
+    return days.groupBy("cik").agg(F.min("day").alias("a"), F.max("day").alias("b"), F.count("*").alias("days")).select("cik", K.iso("a").alias("first_day"), K.iso("b").alias("last_day"), "days")
+
+
+@query(r"""SELECT DISTINCT ticker, replace(upper(regexp_replace(ticker, '^\s+|\s+$', '', 'g')), '.', '-') AS quote_symbol, lower(regexp_replace(ticker, '^\s+|\s+$', '', 'g')) || '.us' AS price_symbol FROM security_master""")
+def symbol_forms(spark, sf):
+    return table(spark, sf, "security_master").select("ticker", X.quote_symbol("ticker").alias("quote_symbol"), X.price_symbol("ticker").alias("price_symbol")).distinct()
+
+
+@query(r"""SELECT DISTINCT ticker, strftime(price_date, '%Y-%m-%d') AS price_date, close, high, volume FROM security_daily_prices WHERE close IS NOT NULL""")
+def price_file_parse(spark, sf):
+    """Bars written as price files, one per ticker and month, and read back."""
+    p = table(spark, sf, "security_daily_prices").select("ticker", "price_date", "close", "high", "volume").distinct()
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    line = F.concat_ws(",", K.iso("price_date"), some("high"), some("close"), some("volume"))
+    files = p.groupBy("ticker", F.date_format("price_date", "yyyy-MM").alias("m")).agg(F.collect_list(line).alias("l"))
+    body = F.concat(F.lit("Date,High,Close,Volume\n"), F.array_join("l", "\n"))
+    return landed.price_bars(files.select("ticker", body.alias("value"))).select("ticker", K.iso("price_date").alias("price_date"), "close", "high", "volume").distinct()
+
+
+@query("""SELECT accession_number, parse_error AS message, error_type FROM (SELECT DISTINCT accession_number, left(parse_error, 500) AS parse_error, CASE """ + " ".join(f"WHEN regexp_matches(lower(parse_error), '{p.replace(chr(39), chr(39) * 2)}') THEN '{n}'" for n, p in parsefail.UNREADABLE) + """ END AS error_type FROM filing) WHERE error_type IS NOT NULL""")
+def dead_letter_rows(spark, sf):
+    """Filings that could not be read as rows of a dead-letter table."""
+    f = table(spark, sf, "filing").select("accession_number", "parse_error", "document_type").distinct().withColumn("kind", parsefail.filing_reason(F.col("parse_error"))).filter("kind is not null")
+    return universe.dead_letters(f, "parse", F.col("kind"), F.col("parse_error"), ["document_type"], F.lit("2025-01-01").cast("timestamp")).select("accession_number", "message", "error_type")
+
+
+@query(r"""SELECT DISTINCT accession_number, nullif(concat_ws(' | ', nullif(regexp_replace(parse_error, '^\s+|\s+$', '', 'g'), ''), CASE WHEN insider_title IS NULL THEN 'insider title empty' END), '') AS message FROM filing""")
+def message_merge(spark, sf):
+    """Messages of a filing joined, blanks left out."""
+    return table(spark, sf, "filing").select("accession_number", X.joined_messages("parse_error", F.when(F.col("insider_title").isNull(), F.lit("insider title empty"))).alias("message")).distinct()
+
+
+# --- vectors of chunks -------------------------------------------------------------------------------------------------------------
+
+
+@query()
+def chunk_vectors(spark, sf):
+    """Vectors of all chunks in scope by the weightless provider, as (chunk_id, status, dimensions, length)."""
+    from quillstone.operators import embed
+
+    done = embed.embed(_chunks(spark, sf).select("chunk_id", "content_hash", "text"), embed.MODELS["hashing-384"])
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    return done.select("chunk_id", "status", F.size("embedding").alias("dimensions"), F.round(norm, 3).alias("norm"))
+
+
+@query()
+def chunk_retrieval(spark, sf):
+    """The six chunks nearest to a question among disposals."""
+    from quillstone.operators import embed
+
+    chunks, model = _chunks(spark, sf), embed.MODELS["hashing-384"]
+    vectors = embed.embed(chunks.filter("acquired_disposed_code = 'D'").select("chunk_id", "content_hash", "text"), model).select("chunk_id", "embedding")
+    rows = chunks.select("chunk_id", "accession_number", "issuer_cik", "issuer_ticker", "acquired_disposed_code", "universe_group", "text").join(vectors, "chunk_id")
+    return embed.retrieve(rows, "open-market sale by the chief executive", model, side="S").select("chunk_id", "url", F.round("distance", 6).alias("distance"))

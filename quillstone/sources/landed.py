@@ -137,3 +137,22 @@ def ticker_map(df: DataFrame, payload: str = "value") -> DataFrame:
     """(ticker, cik) of a record of records ``{"0": {"cik_str": .., "ticker": ..}, ..}``."""
     entries = F.map_values(F.from_json(payload, "map<string,struct<cik_str:string,ticker:string>>"))
     return df.select(F.explode(entries).alias("e")).select(F.upper(X.strip("e.ticker")).alias("ticker"), X.pad_cik("e.cik_str").alias("cik")).filter("ticker <> ''")
+
+
+#: How a price feed says that it gives no more today.
+QUOTA = "daily hits limit"
+
+
+def price_bars(df: DataFrame, ticker: str = "ticker", body: str = "value") -> DataFrame:
+    """(ticker, price_date, open, high, low, close, volume) of price files, and ``reason`` with one row for a body that is no price file: ``empty``, ``html``,
+    ``quota`` or ``no_header``. Bars without a date or a usable close are dropped; other unusable fields are null."""
+    text = F.coalesce(X.strip(body), F.lit(""))
+    rows = F.split(text, r"\r\n|\n|\r")
+    head = F.transform(F.split(F.lower(F.element_at(rows, 1)), ","), lambda x: X.strip(x))
+    reason = F.when(text == "", "empty").when(X.looks_like_html(text), "html").when(F.lower(text).contains(QUOTA), "quota").when(~(F.array_contains(head, "date") & F.array_contains(head, "close")), "no_header")
+    base = df.select(F.col(ticker).alias("ticker"), reason.alias("reason"), head.alias("h"), F.when(reason.isNull(), F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("l"))
+    lines = base.select("ticker", "reason", "h", F.explode_outer("l").alias("line")).withColumn("f", F.split("line", ","))
+    field = lambda n: F.nullif(X.strip(F.get("f", F.array_position("h", F.lit(n)).cast("int") - 1)), F.lit(""))
+    has = lambda n: F.when(F.array_position("h", F.lit(n)) > 0, field(n))
+    out = lines.select("ticker", date_of(has("date")).alias("price_date"), *[X.finite_price(has(c)).cast("decimal(18,6)").alias(c) for c in ("open", "high", "low", "close")], X.whole_volume(has("volume")).alias("volume"), "reason")
+    return out.filter("reason is not null or (price_date is not null and close is not null)")
