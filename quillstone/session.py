@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,11 +26,35 @@ TUNING = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that they need no path of their own. The archive lies in the shared folder of
+    ``spark.checkpoint.dir``; only where none is set, as in tests, in a temporary one."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quillstone-")
+    target = context._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/quillstone-{context.applicationId}/quillstone.zip")
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    out = files.create(target, True)
+    out.write(packed.getvalue())
+    out.close()
+    context.addPyFile(files.makeQualified(target).toString())
+    _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results depend on; idempotent."""
+    """Apply the settings that results depend on and give the workers this package; idempotent."""
     for key, value in SEMANTIC.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
