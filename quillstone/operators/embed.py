@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
 from quillstone.operators import knn, merge
+from quillstone.session import ensure_checkpoint_dir
 
 BATCH = 32
 MAX_BATCH = 256
@@ -58,9 +59,10 @@ def batch_size(asked: int | None) -> int:
     return BATCH if asked is None else max(1, min(MAX_BATCH, asked))
 
 
-def embed(chunks: DataFrame, model: Model, batch: int | None = None) -> DataFrame:
-    """(chunk_id, content_hash, embedding, status, error_message) of chunks (chunk_id, content_hash, text). Null texts are errors."""
-    size, make, width = batch_size(batch), model.make, model.dimensions
+def embed(chunks: DataFrame, model: Model, batch: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """(chunk_id, content_hash, embedding, status, error_message) of chunks (chunk_id, content_hash, text), and the columns of ``keep``, which pass through so
+    that nothing has to be joined back. Null texts are errors."""
+    size, make, width, kept = batch_size(batch), model.make, model.dimensions, list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         provider = None
@@ -80,17 +82,18 @@ def embed(chunks: DataFrame, model: Model, batch: int | None = None) -> DataFram
                         error = f"{type(e).__name__}: {e}"[:MESSAGE]
                 status = ["ok" if v is not None else "error" for v in vectors]
                 why = [None if v is not None else error or ("no text" if t is None else "wrong dimensions") for v, t in zip(vectors, texts, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(vectors, pa.list_(pa.float32())), pa.array(status), pa.array(why, pa.string())], names=["chunk_id", "content_hash", "embedding", "status", "error_message"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(vectors, pa.list_(pa.float32())), pa.array(status), pa.array(why, pa.string()), *part.columns[3:]], names=["chunk_id", "content_hash", "embedding", "status", "error_message", *kept])
 
-    return chunks.select("chunk_id", "content_hash", "text").mapInArrow(run, "chunk_id string, content_hash string, embedding array<float>, status string, error_message string")
+    rows = chunks.select("chunk_id", "content_hash", "text", *kept)
+    return rows.mapInArrow(run, "chunk_id string, content_hash string, embedding array<float>, status string, error_message string" + "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in kept))
 
 
 def sync(chunks: DataFrame, state: DataFrame, vectors: DataFrame, model: Model, batch: int | None = None) -> tuple[DataFrame, DataFrame]:
     """New state (chunk_id, content_hash, status, error_message) and new vectors (chunk_id, embedding) after embedding what is pending.
 
-    The embedded rows are used twice; persist or write them between if the provider is costly (``embed`` and ``merge`` do so one by one)."""
-    todo = merge.pending(chunks, state, ["chunk_id"]).filter("pending")
-    done = embed(todo, model, batch)
+    The embedded rows serve both results; they are written to the shared checkpoint folder, so that no text is embedded twice."""
+    ensure_checkpoint_dir(chunks.sparkSession)
+    done = embed(merge.pending(chunks, state, ["chunk_id"]).filter("pending"), model, batch).checkpoint()
     new_state = merge.upsert(state.select("chunk_id", "content_hash", "status", "error_message"), done.drop("embedding"), ["chunk_id"])
     new_vectors = merge.upsert(vectors.select("chunk_id", "embedding"), done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"])
     return new_state, new_vectors

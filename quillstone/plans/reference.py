@@ -648,12 +648,17 @@ def message_merge(spark, sf):
 # --- vectors of chunks -------------------------------------------------------------------------------------------------------------
 
 
+def _dealt(chunks: DataFrame) -> DataFrame:
+    """Chunks over all cores: what is small to move is dear to embed, and the engine would join it into few partitions by its bytes."""
+    return chunks.select("chunk_id", "content_hash", "text", "accession_number", "issuer_cik").repartition(4 * chunks.sparkSession.sparkContext.defaultParallelism, "chunk_id")
+
+
 @query()
 def chunk_vectors(spark, sf):
     """Vectors of all chunks in scope by the weightless provider, as (chunk_id, status, dimensions, length)."""
     from quillstone.operators import embed
 
-    done = embed.embed(_chunks(spark, sf).select("chunk_id", "content_hash", "text"), embed.MODELS["hashing-384"])
+    done = embed.embed(_dealt(_chunks(spark, sf)), embed.MODELS["hashing-384"])
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     return done.select("chunk_id", "status", F.size("embedding").alias("dimensions"), F.round(norm, 3).alias("norm"))
 
@@ -663,7 +668,7 @@ def chunk_retrieval(spark, sf):
     """The six chunks nearest to a question among disposals."""
     from quillstone.operators import embed
 
-    chunks, model = _chunks(spark, sf), embed.MODELS["hashing-384"]
-    vectors = embed.embed(chunks.filter("acquired_disposed_code = 'D'").select("chunk_id", "content_hash", "text"), model).select("chunk_id", "embedding")
-    rows = chunks.select("chunk_id", "accession_number", "issuer_cik", "issuer_ticker", "acquired_disposed_code", "universe_group", "text").join(vectors, "chunk_id")
-    return embed.retrieve(rows, "open-market sale by the chief executive", model, side="S").select("chunk_id", "url", F.round("distance", 6).alias("distance"))
+    model = embed.MODELS["hashing-384"]
+    chunks = _dealt(embed.where(_chunks(spark, sf), side="S"))
+    rows = embed.embed(chunks, model, keep=("accession_number", "issuer_cik"))
+    return embed.retrieve(rows, "open-market sale by the chief executive", model).select("chunk_id", "url", F.round("distance", 6).alias("distance"))
