@@ -7,24 +7,28 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import keys as K
 from quillstone.operators import asof, history, nested, parsefail, rolling, snapdiff, spikes
-from quillstone.sources.tables import table
+from quillstone.sources.tables import spread, table
 
 # --- 1: nested records -------------------------------------------------------------------------------------------------------------
 
 
+def _payloads(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "parsed_filing").select("record_id", "accession_number", "payload"))
+
+
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.attached(nested.records(table(spark, sf, "parsed_filing")))
+    return nested.attached(nested.records(_payloads(spark, sf)))
 
 
 def p1_records(spark: SparkSession, sf: str) -> DataFrame:
     """The supertype table: one row per distinct record with its variant and the number of its children."""
-    rows = nested.records(table(spark, sf, "parsed_filing"))
+    rows = nested.records(_payloads(spark, sf))
     return rows.select("record_id", "accession_number", "variant", "document_type", K.cik_digits("issuer_cik").alias("issuer_cik"), "owners", F.size("transactions").alias("transactions"), F.size("holdings").alias("holdings"), F.size("notes").alias("notes")).distinct()
 
 
 def p1_variants(spark: SparkSession, sf: str) -> DataFrame:
     """How many transactions each record variant and subtype table holds."""
-    rows = nested.transactions(nested.records(table(spark, sf, "parsed_filing"))).select("record_id", "record_variant", "variant", "position").distinct()
+    rows = nested.transactions(nested.records(_payloads(spark, sf))).select("record_id", "record_variant", "variant", "position").distinct()
     return rows.groupBy("record_variant", "variant").agg(F.count("*").alias("transactions"))
 
 
