@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import bpe, packing, reading
-from quillstone.sources.tables import table
+from quillstone.sources.tables import spread, table
+
+
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang"))
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.encode(table(spark, sf, "documents"), "doc_id", "text")
+    return bpe.encode(_texts(spark, sf), "doc_id", "text")
 
 
 def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    return packing.containers(bpe.lengths(docs, "doc_id", "text"), "doc_id", docs.count())
+    return packing.containers(bpe.lengths(_texts(spark, sf), "doc_id", "text"), "doc_id", table(spark, sf, "documents").count())
 
 
 def p9_fill(spark: SparkSession, sf: str) -> DataFrame:
@@ -25,8 +28,7 @@ def p9_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _levels(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    return reading.levels(docs, reading.fit(docs, table(spark, sf, "reading_label")))
+    return reading.levels(_texts(spark, sf), reading.fit(table(spark, sf, "documents"), table(spark, sf, "reading_label")))
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
