@@ -18,6 +18,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,13 +47,45 @@ _NOTE_TYPE = pa.struct([("footnote_id", pa.string()), ("text", pa.string())])
 ARROW = pa.schema([("record_id", pa.int64()), ("accession_number", pa.string()), ("variant", pa.string()), ("document_type", pa.string()), ("issuer_cik", pa.string()), ("owners", pa.int32()), ("transactions", pa.list_(_TX_TYPE)), ("holdings", pa.list_(_HOLD_TYPE)), ("notes", pa.list_(_NOTE_TYPE))])
 
 
+class Shape(NamedTuple):
+    """What the names of an object say, whatever its values: the static part of a transition, the same for all objects with these names."""
+
+    keys: dict[str, str]  # by name without case and underscores
+    footnotes: frozenset[str]
+    transaction: bool
+    document: bool
+    rest: str  # the state if it is neither
+
+
+@lru_cache(maxsize=1 << 16)
+def shape_of(names: tuple[str, ...]) -> Shape:
+    low = {n.lower() for n in names}
+    if "id" in low and "text" in low:
+        rest = NOTE
+    elif any(k.startswith("rptowner") for k in low):
+        rest = OWNER
+    elif low & {"securitytitle", "security_title"}:
+        rest = HOLDING
+    elif any(TABLE_KEY.fullmatch(k) or k in ("transactions", "tables") for k in low):
+        rest = TABLE
+    else:
+        rest = VALUE if "value" in low else REF if "id" in low else OTHER
+    keys = {_bare(n): n for n in reversed(names)}
+    return Shape(keys, frozenset(n for n in names if FOOTNOTE_KEY.fullmatch(n)), bool(low & TX_PARTS), bool(low & DOCUMENT_PARTS), rest)
+
+
+@lru_cache(maxsize=1 << 16)
+def _bare(name: str) -> str:
+    return name.replace("_", "").lower()
+
+
 class Node:
     """A JSON value with its state; ``refs`` holds the footnote ids of the node and all below it, in document order."""
 
-    __slots__ = ("state", "value", "parts", "refs")
+    __slots__ = ("state", "value", "parts", "refs", "keys")
 
-    def __init__(self, state: str, value: object, parts: dict[str, Node] | list[Node] | None, refs: list[str]):
-        self.state, self.value, self.parts, self.refs = state, value, parts, refs
+    def __init__(self, state: str, value: object, parts: dict[str, Node] | list[Node] | None, refs: list[str], keys: dict[str, str] | None = None):
+        self.state, self.value, self.parts, self.refs, self.keys = state, value, parts, refs, keys
 
 
 def ref_ids(value: object) -> list[str]:
@@ -65,10 +99,13 @@ def ref_ids(value: object) -> list[str]:
     return [str(value)] if isinstance(value, int) and not isinstance(value, bool) else []
 
 
+_NIL = Node(NIL, None, None, [])
+
+
 def classify(value: object) -> Node:
     """One transition per node, children first."""
     if value is None:
-        return Node(NIL, None, None, [])
+        return _NIL
     if isinstance(value, list):
         children = [classify(v) for v in value]
         states = {c.state for c in children} - {NIL}
@@ -82,46 +119,33 @@ def classify(value: object) -> Node:
                 return Node(SCALAR, value, None, [])
             return Node(ENCODED, value, [inner], inner.refs)
         return Node(SCALAR, value, None, [])
+    shape = shape_of(tuple(value))
     parts: dict[str, Node] = {}
     refs: list[str] = []
+    nested = False
     for key, child in value.items():
-        if FOOTNOTE_KEY.fullmatch(key):
+        if key in shape.footnotes:
             own = ref_ids(child)
             parts[key] = Node(REF, child, None, own)
             refs += own
         else:
             parts[key] = node = classify(child)
-            refs += node.refs
-    names = {k.lower() for k in value}
-    states = {n.state for n in parts.values()}
-    if len(names & TX_PARTS) >= 1 and not states & {TRANSACTION, MANY_TX} and not names & DOCUMENT_PARTS:
-        state = TRANSACTION
-    elif names & DOCUMENT_PARTS:
-        state = DOCUMENT
-    elif "id" in names and "text" in names:
-        state = NOTE
-    elif any(k.startswith("rptowner") for k in names):
-        state = OWNER
-    elif "securitytitle" in names or "security_title" in names:
-        state = HOLDING
-    elif any(TABLE_KEY.fullmatch(k) or k in ("transactions", "tables") for k in names):
-        state = TABLE
-    elif "value" in names:
-        state = VALUE
-    elif "id" in names:
-        state, refs = REF, ref_ids(value)
-    else:
-        state = OTHER
-    return Node(state, value, parts, refs)
+            nested = nested or node.state in (TRANSACTION, MANY_TX)
+            if node.refs:
+                refs += node.refs
+    state = TRANSACTION if shape.transaction and not nested and not shape.document else DOCUMENT if shape.document else shape.rest
+    if state == REF:
+        refs = ref_ids(value)
+    return Node(state, value, parts, refs, shape.keys)
 
 
 def _get(node: Node | None, *names: str) -> Node | None:
-    """The first child with one of the names, case and underscores aside."""
-    if node is not None and isinstance(node.parts, dict):
-        wanted = {n.replace("_", "").lower() for n in names}
-        for key, child in node.parts.items():
-            if key.replace("_", "").lower() in wanted:
-                return child
+    """The child with the first of the names that there is, case and underscores aside."""
+    if node is not None and node.keys is not None:
+        for name in names:
+            key = node.keys.get(_bare(name))
+            if key is not None:
+                return node.parts[key]
     return None
 
 
@@ -136,6 +160,7 @@ def _text(node: Node | None) -> str | None:
     return str(node.value) if isinstance(node.value, (str, int, float)) else None
 
 
+@lru_cache(maxsize=1 << 12)
 def _category(text: str | None) -> str | None:
     letters = re.sub(r"[^a-z]", "", (text or "").lower())
     if letters.startswith("nonderivative"):
@@ -143,10 +168,17 @@ def _category(text: str | None) -> str | None:
     return "derivative" if letters.startswith("derivative") else None
 
 
-def _slot(key: str, slot: str | None) -> str | None:
+@lru_cache(maxsize=1 << 12)
+def _slot(key: str) -> str | None:
     """What a child's name says its members are; only objects too bare for the automaton to tell need it."""
     name = key.lower().rstrip("s")
-    return TRANSACTION if name.endswith("transaction") else HOLDING if name.endswith("holding") else slot
+    return TRANSACTION if name.endswith("transaction") else HOLDING if name.endswith("holding") else None
+
+
+@lru_cache(maxsize=1 << 12)
+def _table(key: str) -> str | None:
+    """The category that a table's name gives to what it holds."""
+    return _category(key) if TABLE_KEY.fullmatch(key) else None
 
 
 def _walk(node: Node, category: str | None, slot: str | None = None) -> Iterator[tuple[str, Node, str | None]]:
@@ -158,10 +190,12 @@ def _walk(node: Node, category: str | None, slot: str | None = None) -> Iterator
         yield node.state, node, category
     elif isinstance(node.parts, dict):
         for key, child in node.parts.items():
-            yield from _walk(child, _category(key) if TABLE_KEY.fullmatch(key) else category, _slot(key, None))
+            if child.parts:
+                yield from _walk(child, _table(key) or category, _slot(key))
     elif isinstance(node.parts, list):
         for child in node.parts:
-            yield from _walk(child, category, slot)
+            if child.parts:
+                yield from _walk(child, category, slot)
 
 
 def _layout(node: Node) -> str:
