@@ -32,6 +32,13 @@ def test_any_text(both, text):
     assert list(own.encode(text)) == other.encode_ordinary(text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=127), max_size=200))
+def test_any_ascii_text(both, text):
+    own, other = both
+    assert list(own.encode(text)) == other.encode_ordinary(text)
+
+
 def test_every_entry_of_the_vocabulary_has_its_slot(both):
     table = both[0].table
     assert sorted(table.lookup(both[0].keys).tolist()) == list(range(table.n)) and table.lookup(both[0].keys).tolist() == list(range(table.n))
