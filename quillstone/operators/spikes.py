@@ -125,10 +125,10 @@ def flags(df: DataFrame, source: Column, day: Column, known_at: Column, measures
     """One row per source and day: source, day, ``bounds`` (kind or null), ``spike_<measure>`` and ``stuck_<measure>`` flags.
 
     ``bounds`` is an expression over the measure names that gives the kind of an impossible row."""
-    names = list(measures)
-    rows = df.select(source.alias("source"), day.cast("date").alias("day"), known_at.alias("known_at"), *[c.alias(m) for m, c in measures.items()]).filter("source is not null and day is not null")
-    daily = rows.groupBy("source", "day").agg(F.max(F.struct("known_at", *names)).alias("r")).select("source", "day", *[f"r.{n}" for n in names])
     used = list(dict.fromkeys([*spikes, *stuck]))
-    daily = daily.withColumn("bounds", bounds).select("source", "day", "bounds", *[F.col(c).cast("double").alias(c) for c in used])
+    rows = df.select(source.alias("source"), day.cast("date").alias("day"), known_at.alias("known_at"), *[c.alias(m) for m, c in measures.items()]).filter("source is not null and day is not null")
+    # bounds are a matter of the row alone; told before the shuffle, the columns that only they need stay behind
+    rows = rows.withColumn("bounds", bounds).select("source", "day", "known_at", "bounds", *[F.col(c).cast("double").alias(c) for c in used])
+    daily = rows.groupBy("source", "day").agg(F.max(F.struct("known_at", *used, "bounds")).alias("r")).select("source", "day", "r.bounds", *[f"r.{c}" for c in used])
     schema = "source string, day date, bounds string" + "".join(f", spike_{c} boolean" for c in spikes) + "".join(f", stuck_{c} boolean" for c in stuck)
     return map_sorted_groups(daily, ["source"], ["day"], lambda t: _flags(t, spikes, stuck, stuck_run, usual_share), schema)
