@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
 from quillstone.operators import knn, merge
-from quillstone.session import ensure_checkpoint_dir
+from quillstone.session import shared_folder
 
 BATCH = 32
 MAX_BATCH = 256
@@ -92,7 +92,7 @@ def sync(chunks: DataFrame, state: DataFrame, vectors: DataFrame, model: Model,
     """New state (chunk_id, content_hash, status, error_message) and new vectors (chunk_id, embedding) after embedding what is pending.
 
     The embedded rows serve both results; they are written to the shared checkpoint folder, so that no text is embedded twice."""
-    ensure_checkpoint_dir(chunks.sparkSession)
+    shared_folder(chunks.sparkSession)
     done = embed(merge.pending(chunks, state, ["chunk_id"]).filter("pending"), model, batch).checkpoint()
     new_state = merge.upsert(state.select("chunk_id", "content_hash", "status", "error_message"), done.drop("embedding"), ["chunk_id"])
     new_vectors = merge.upsert(vectors.select("chunk_id", "embedding"), done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"])

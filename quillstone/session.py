@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,7 +32,7 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per application, so that they need no path of their own. The archive lies in the shared folder of
-    ``spark.checkpoint.dir``; only where none is set, as in tests, in a temporary one."""
+    ``spark.checkpoint.dir``; where none is set, in a temporary one of the driver, from which the driver itself serves it."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -68,12 +69,22 @@ def build(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g", app:
     return prepare(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which a cluster shares between executors; a temporary one only where none is set."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which a cluster shares between executors. On one machine, as in tests, a temporary one where none is set; on
+    a cluster its absence is an error, because a folder of one machine would lose what the others need."""
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quillstone-checkpoint-")
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="quillstone-checkpoint-")
     context.setCheckpointDir(folder)
-    return folder
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder of this run for written tables, inside the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/quillstone-{name}-{uuid.uuid4().hex}"

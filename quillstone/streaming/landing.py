@@ -1,7 +1,8 @@
 """Landed files as a stream that merges into a versioned table, and event-time counts with a watermark.
 
-A micro-batch is merged by key into a new version named after the batch, so a batch that is run again after a failure writes the same version again and the
-result is the same as if it had run once.
+A table is kept in parts by a hash of its keys. A micro-batch reads, merges and writes only the parts that its keys fall into; the others are taken over by
+name. The version is named after the batch, so a batch that is run again after a failure writes the same version again and the result is the same as if it
+had run once.
 """
 
 from __future__ import annotations
@@ -16,11 +17,16 @@ from pyspark.sql.types import StructType
 from quillstone.operators.merge import last_per_key
 from quillstone.sources.versions import Versions
 
+PARTS = 256
 
-def lines(spark: SparkSession, folder: str, per_trigger: int = 1000) -> DataFrame:
-    """Text lines of files as they land, with their file's name; (c0, file_name)."""
-    text = spark.readStream.format("text").option("maxFilesPerTrigger", per_trigger).load(folder)
-    return text.select(F.col("value").alias("c0"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("file_name"))
+
+def lines(spark: SparkSession, folder: str, per_trigger: int = 1000, archive: str | None = None) -> DataFrame:
+    """Text lines of files as they land, with their file's name; (c0, file_name). Files whose batch has been committed move to ``archive``, which must lie
+    outside ``folder``; a file of that name that is there already is never overwritten."""
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", per_trigger)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.load(folder).select(F.col("value").alias("c0"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("file_name"))
 
 
 def records(spark: SparkSession, folder: str, schema: StructType | str, per_trigger: int = 1000) -> DataFrame:
@@ -28,18 +34,33 @@ def records(spark: SparkSession, folder: str, schema: StructType | str, per_trig
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(folder)
 
 
-def merge_into(stream: DataFrame, table: Versions, keys: list[str], order: list[str], checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
-    """Merges what has landed into ``table``, the last row per key by ``order`` winning, also over rows merged before; ends when all is read."""
+def merge_batch(table: Versions, fresh: DataFrame, keys: list[str], order: list[str], name: str, parts: int = PARTS, keep: int = 2) -> None:
+    """Merges rows into ``table`` as the version ``name``: the last row per key by ``order`` wins, also over rows merged before. Only touched parts move."""
+    said = table.entry()
+    if said.get("name") == name:
+        return  # this batch was merged before a restart
+    parts = int(said.get("of", parts))  # how a table is split stays as it began
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("__part")
+    fresh = fresh.select("*", part)
+    touched = [str(r[0]) for r in fresh.select("__part").distinct().collect()]  # at most as many rows as there are parts
+    if not touched:
+        return
+    old = table.read_parts(touched)
+    rows = fresh if old is None else old.select("*", part).unionByName(fresh)
+    merged = last_per_key(rows, ["__part", *keys], order)
+    table.use(name, parts=table.write_parts(merged, "__part", name, touched), of=parts)
+    table.prune(keep)
+
+
+def merge_into(stream: DataFrame, table: Versions, keys: list[str], order: list[str], checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, parts: int = PARTS) -> StreamingQuery:
+    """Merges what has landed into ``table``, micro-batch by micro-batch; ends when all is read."""
 
     def step(batch: DataFrame, number: int) -> None:
-        fresh = last_per_key(transform(batch), keys, order)
-        name = f"v-{number:012d}"
-        current = table.current()
-        if current == name:
-            return  # this batch was merged before a restart
-        old = table.read(current)
-        merged = fresh if old is None else last_per_key(old.unionByName(fresh), keys, order)
-        table.use(table.write(merged, name))
+        fresh = last_per_key(transform(batch), keys, order).persist()  # asked for its parts, then merged
+        try:
+            merge_batch(table, fresh, keys, order, f"v-{number:012d}", parts)
+        finally:
+            fresh.unpersist()
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -52,5 +73,3 @@ def counts_by_window(stream: DataFrame, at: str, by: list[str], size: str = "1 d
 def first_seen(stream: DataFrame, keys: list[str], at: str, late: str = "7 days") -> DataFrame:
     """The first row of each key within the watermark; state older than it is freed."""
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)
-
-

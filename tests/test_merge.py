@@ -1,3 +1,7 @@
+import os
+
+import pytest
+
 from quillstone.operators import merge
 from quillstone.sources.versions import Versions
 
@@ -45,3 +49,38 @@ def test_versions(spark, tmp_path):
     assert v.read().count() == 3
     v.use(b)
     assert v.read().count() == 5 and v.prune() == 1 and v.read().count() == 5
+
+
+def test_a_writer_that_dies_leaves_the_old_version_in_use(spark, tmp_path, monkeypatch):
+    v = Versions(spark, f"file://{tmp_path}/t")
+    v.use(v.write(spark.range(3).toDF("n")))
+    b = v.write(spark.range(5).toDF("n"))
+    real = os.listdir(f"{tmp_path}/t")
+    (tmp_path / "t" / ".pointer-half").write_text('{"na')  # killed while it wrote the pointer
+    (tmp_path / "t" / "v-half").mkdir()  # killed while it wrote a version
+    assert v.read().count() == 3 and set(real) < set(os.listdir(f"{tmp_path}/t"))
+
+    def dies(*_args, **_more):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Versions, "_pointers", dies)
+    with pytest.raises(KeyboardInterrupt):
+        v.use(b)
+    monkeypatch.undo()
+    assert Versions(spark, f"file://{tmp_path}/t").read().count() == 3
+    v.use(b)
+    assert v.read().count() == 5
+    with pytest.raises(ValueError, match="in use"):
+        v.write(spark.range(1).toDF("n"), b)
+    assert v.prune() == 2 and v.read().count() == 5  # the old version and the half one
+
+
+def test_two_writers_cannot_publish_the_same_number(spark, tmp_path, monkeypatch):
+    v = Versions(spark, f"file://{tmp_path}/t")
+    a, b = v.write(spark.range(1).toDF("n")), v.write(spark.range(2).toDF("n"))
+    v.use(a)
+    monkeypatch.setattr(Versions, "_pointers", lambda self: [])  # as a writer that looked before the first one published
+    with pytest.raises(RuntimeError, match="another writer"):
+        v.use(b)
+    monkeypatch.undo()
+    assert v.current() == a

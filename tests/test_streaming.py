@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillstone.operators import parsefail
@@ -26,6 +27,37 @@ def test_landed_lines_merge_and_replay(spark, tmp_path):
     assert {(r.symbol, float(r.latest)) for r in table.read().collect()} == {("AA", 3.0), ("BB", 2.0), ("CC", 4.0)}
 
 
+def test_a_batch_moves_only_the_parts_it_touches_and_survives_a_crash(spark, tmp_path, monkeypatch):
+    table = Versions(spark, f"file://{tmp_path}/table")
+    base = spark.range(200).selectExpr("id as k", "0 as at", "'old' as v")
+    landing.merge_batch(table, base, ["k"], ["at"], "v-000000000000", 16)
+    before = table.entry()["parts"]
+    one = spark.createDataFrame([(7, 1, "new")], "k long, at int, v string")
+    monkeypatch.setattr(Versions, "use", lambda *a, **k: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError, match="killed"):
+        landing.merge_batch(table, one, ["k"], ["at"], "v-000000000001", 16)
+    monkeypatch.undo()
+    assert table.read().filter("v = 'old'").count() == 200  # written, not published
+    landing.merge_batch(table, one, ["k"], ["at"], "v-000000000001", 99)
+    landing.merge_batch(table, one, ["k"], ["at"], "v-000000000001", 99)  # replayed
+    after = table.entry()["parts"]
+    assert len(after) == 16 and sum(before[p] != after[p] for p in before) == 1
+    assert {(r.k, r.v) for r in table.read().collect()} == {(i, "new" if i == 7 else "old") for i in range(200)}
+    landing.merge_batch(table, one.limit(0), ["k"], ["at"], "v-000000000002", 16)
+    assert table.current() == "v-000000000001"
+
+
+def test_committed_files_are_archived(spark, tmp_path):
+    source, kept = tmp_path / "in", tmp_path / "kept"
+    source.mkdir()
+    table = Versions(spark, f"file://{tmp_path}/table")
+    for name in ("a", "b", "c"):
+        (source / f"{name}.csv").write_text(f"{name}\n")
+        landing.merge_into(landing.lines(spark, str(source), 1, str(kept)), table, ["c0"], ["file_name"], str(tmp_path / "cp")).awaitTermination()
+    assert {r.c0 for r in table.read().collect()} == {"a", "b", "c"}
+    assert [p.name for p in kept.rglob("*.csv")] and not {p.name for p in kept.rglob("*.csv")} & {p.name for p in source.iterdir()}
+
+
 def test_event_time_windows_drop_late_rows(spark, tmp_path):
     source = tmp_path / "in"
     at = lambda day, hour=0: dt.datetime(2024, 1, day, hour)
