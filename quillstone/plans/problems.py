@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import keys as K
 from quillstone.operators import asof, history, nested, parsefail, rolling, snapdiff, spikes
+from quillstone.session import scratch
 from quillstone.sources.tables import spread, table
 
 # --- 1: nested records -------------------------------------------------------------------------------------------------------------
@@ -212,14 +213,18 @@ def _membership(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "universe_snapshot").select("trading_date", K.ticker("ticker").alias("ticker"), K.group_name("universe_group").alias("universe_group"))
 
 
+def _changes(spark: SparkSession, sf: str) -> DataFrame:
+    """A fresh index that all delivered sessions probe in turn."""
+    return snapdiff.SnapshotIndex(spark, scratch(spark, "snapshots")).apply(_membership(spark, sf), "trading_date", "ticker", "universe_group")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    found = snapdiff.diff_all(_membership(spark, sf), "trading_date", "ticker", "universe_group")
-    return found.select(K.iso("snapshot").alias("trading_date"), F.col("key").alias("ticker"), "change")
+    return _changes(spark, sf).select(K.iso("snapshot").alias("trading_date"), F.col("key").alias("ticker"), "change")
 
 
 def p6_changes(spark: SparkSession, sf: str) -> DataFrame:
     """The same with old and new groups, fetched for the changed tickers only."""
-    found = snapdiff.diff_all(_membership(spark, sf), "trading_date", "ticker", "universe_group", values=True)
+    found = snapdiff.with_values(_changes(spark, sf), _membership(spark, sf), "trading_date", "ticker", "universe_group")
     return found.select(K.iso("snapshot").alias("trading_date"), F.col("key").alias("ticker"), "change", F.array_join("old_state", ",").alias("old_groups"), F.array_join("new_state", ",").alias("new_groups"))
 
 
