@@ -243,11 +243,11 @@ P6_CHANGES = _P6 + "SELECT strftime(d, '%Y-%m-%d') AS trading_date, ticker, chan
 
 
 def _known(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "form4_transaction").select("accession_number", "transaction_index", "issuer_ticker", "transaction_date")
+    events = table(spark, sf, "form4_transaction").select("accession_number", "transaction_index", K.ticker("issuer_ticker").alias("issuer"), "transaction_date")
     profile, context = table(spark, sf, "universe_company_profile"), table(spark, sf, "universe_market_context")
-    caps = asof.intervals(profile, K.ticker("ticker"), F.col("trading_date"), F.col("fetched_at"), F.col("market_cap"))
-    closes = asof.intervals(context, K.ticker("ticker"), F.col("trading_date"), F.col("created_at"), F.col("close"))
-    rows = asof.as_known(events, K.ticker("issuer_ticker"), F.col("transaction_date"), {"market_cap": caps, "close": closes})
+    caps = asof.daily_best(profile, "market_cap", K.ticker("ticker"), F.col("trading_date"), F.col("fetched_at"), F.col("market_cap"))
+    closes = asof.daily_best(context, "close", K.ticker("ticker"), F.col("trading_date"), F.col("created_at"), F.col("close"))
+    rows = asof.as_known(events, F.col("issuer"), F.col("transaction_date"), asof.intervals(caps, closes))
     return rows.select("accession_number", "transaction_index", "attribute", K.iso("own_day").alias("trading_date"), K.iso(F.col("known_at").cast("date")).alias("known_date"), F.col("value").cast("decimal(28,6)").alias("value"))
 
 

@@ -14,9 +14,10 @@ def d(n):
 def run(spark, events, rows, bucket=64):
     e = spark.createDataFrame([(*x, "own", "own") for x in events], "id int, k string, day date, value string, entity string")
     a = spark.createDataFrame([(*x, "own") for x in rows], "k string, own date, at timestamp_ntz, v int, entity string")
-    valid = asof.intervals(a, F.col("k"), F.col("own"), F.col("at"), F.col("v"))
-    out = asof.as_known(e, F.col("k"), F.col("day"), {"v": valid, "w": valid.limit(0)}, bucket)
-    return sorted((r.id, r.own_day, r.known_at, int(r.value)) for r in out.collect())
+    best = lambda name, rows: asof.daily_best(rows, name, F.col("k"), F.col("own"), F.col("at"), F.col("v"))
+    out = asof.as_known(e, F.col("k"), F.col("day"), asof.intervals(best("v", a), best("w", a.limit(0)), best("x", a.filter("k = 'a'"))), bucket).collect()
+    assert sorted((r.id, r.value) for r in out if r.attribute == "x") == sorted((r.id, r.value) for r in out if r.attribute == "v" and r.entity == "a")
+    return sorted((r.id, r.own_day, r.known_at, int(r.value)) for r in out if r.attribute == "v")
 
 
 @pytest.mark.parametrize("bucket", [1, 7, 64])
@@ -41,6 +42,11 @@ def test_a_late_row_of_an_older_day_never_hides_a_newer_one(spark):
     assert [x[3] for x in run(spark, [(1, "a", d(4)), (2, "a", d(30)), (3, "a", d(0))], rows)] == [1, 2]
 
 
+def test_far_days_cost_no_buckets(spark):
+    rows = [("a", dt.date(1, 1, 1), dt.datetime(1, 1, 1), 1), ("a", d(5), dt.datetime(2024, 1, 6), 2)]
+    assert [x[3] for x in run(spark, [(1, "a", d(4)), (2, "a", dt.date(9999, 12, 31)), (3, "a", dt.date(1500, 1, 1))], rows, 1)] == [1, 2, 1]
+
+
 def test_empty_inputs(spark):
     assert run(spark, [], [("a", d(0), dt.datetime(2024, 1, 1), 1)]) == []
     assert run(spark, [(1, "a", d(0))], []) == []
