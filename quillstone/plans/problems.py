@@ -127,7 +127,6 @@ SELECT 'filing', accession_number FROM filing WHERE regexp_matches(lower(parse_e
 # --- 4: trailing totals ------------------------------------------------------------------------------------------------------------
 
 WINDOWS = (7, 30)
-CLOSE, VOLUME = rolling.Measure("close", 6), rolling.Measure("volume", 0)
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +137,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_rolling(spark: SparkSession, sf: str) -> DataFrame:
     """Totals and averages per ticker and day next to the returns and volatility that the context table holds for that session."""
-    days = rolling.trailing(table(spark, sf, "security_daily_prices"), K.ticker("ticker"), F.col("price_date"), F.col("ingested_at"), {CLOSE: F.col("close"), VOLUME: F.col("volume")}, WINDOWS, required=F.col("close").isNotNull())
+    days = rolling.trailing(table(spark, sf, "security_daily_prices"), K.ticker("ticker"), F.col("price_date"), F.col("ingested_at"), {"close": F.col("close"), "volume": F.col("volume")}, WINDOWS, required=F.col("close").isNotNull())
     known = table(spark, sf, "universe_market_context").select(K.ticker("ticker").alias("entity"), F.col("trading_date").alias("day"), F.struct("created_at", "ret_5d", "ret_20d", "vol_20d").alias("r"))
     context = known.groupBy("entity", "day").agg(F.max("r").alias("r")).select("entity", "day", "r.ret_5d", "r.ret_20d", "r.vol_20d")
     joined = days.join(context, ["entity", "day"], "left")
