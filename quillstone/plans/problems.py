@@ -77,9 +77,13 @@ P2_FOUND = _P2 + "SELECT attribute, entity_key, strftime(day, '%Y-%m-%d') AS val
 # --- 3: rows that fail to parse ----------------------------------------------------------------------------------------------------
 
 
+def _filings(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return parsefail.filing_rows(table(spark, sf, "filing").select("accession_number", "parse_error", *columns))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    lines = parsefail.screen_rows(table(spark, sf, "screen_line").select("line_id", "c0")).filter("_raw is not null")
-    filings = table(spark, sf, "filing").filter("parse_error is not null").filter(parsefail.filing_reason(F.col("parse_error")).isNotNull())
+    lines = parsefail.screen_rows(table(spark, sf, "screen_line").select("line_id", "c0")).filter(parsefail.is_fault("_reason"))
+    filings = _filings(spark, sf).filter("_reason <> 'unknown'")
     one = lines.select(F.lit("screen_line").alias("feed"), F.col("line_id").cast("string").alias("row_key"))
     return one.unionByName(filings.select(F.lit("filing").alias("feed"), F.col("accession_number").alias("row_key"))).distinct()
 
@@ -89,40 +93,53 @@ def p3_screen_loaded(spark: SparkSession, sf: str) -> DataFrame:
     return parsefail.screen_rows(table(spark, sf, "screen_line")).filter("row is not null").select("line_id", "file_name", "line_no", "row.*")
 
 
+def p3_filings_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The filings that could be read, each once."""
+    rows = _filings(spark, sf, "document_type", "is_amendment", "period_of_report", "issuer_cik").filter("_reason is null")
+    return rows.select("accession_number", "document_type", "is_amendment", K.iso("period_of_report").alias("period_of_report"), K.cik_digits("issuer_cik").alias("issuer_cik")).distinct()
+
+
 def p3_reasons(spark: SparkSession, sf: str) -> DataFrame:
     """Set-apart rows by feed and reason."""
     lines = parsefail.screen_rows(table(spark, sf, "screen_line").select("c0")).filter("_raw is not null").select(F.lit("screen_line").alias("feed"), F.col("_reason").alias("reason"))
-    filings = table(spark, sf, "filing").select("accession_number", parsefail.filing_reason(F.col("parse_error")).alias("reason")).filter("reason is not null").distinct()
-    return lines.unionByName(filings.select(F.lit("filing").alias("feed"), "reason")).groupBy("feed", "reason").agg(F.count("*").alias("row_count"))
-
-
-_PLAIN, _DEC, _WHOLE = r'[^",]*', r"(?:(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)(?:\.[0-9]+)?|\.[0-9]+)", r"(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)"
-
-
-def _sql_field(pattern: str, optional: bool) -> str:
-    """One regex for a whole field of the line, plain or quoted; plain text holds no comma."""
-    plain, quoted = pattern.replace("(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)", "[0-9]+"), pattern
-    no = "|N/A|" if optional else ""
-    return rf'(?:[ \t]*(?:{plain}{no})[ \t]*|[ \t]*"[ \t]*(?:{quoted}{no})[ \t]*"[ \t]*)'
-
-
-_SQL_LINE = ",".join(
-    [
-        _sql_field(r"[A-Za-z][A-Za-z0-9.\-]{0,9}", False), r'(?:[^",]*|[ \t]*"(?:[^"]|"")*"[ \t]*)', _sql_field(_DEC, False), _sql_field("[+-]?" + _DEC, True), _sql_field("[+-]?" + _DEC + "%", True),
-        _sql_field(_WHOLE, True), _sql_field(_WHOLE, True), _sql_field("[+-]?" + _DEC + "%", True), _sql_field("[+-]?" + _DEC + "%", True), _sql_field(r"(?:[01][0-9]|2[0-3]):[0-5][0-9] ET", True),
-    ]
-)
-_SQL_ANY = r'(?:[^",]*|[ \t]*"(?:[^"]|"")*"[ \t]*)'
-_SQL_LATEST = rf'^{_SQL_ANY},{_SQL_ANY},[ \t]*(?:"[ \t]*([0-9.,]+)[ \t]*"|([0-9.]+))[ \t]*,'
-_SQL_UNREADABLE = "|".join(p for _, p in parsefail.UNREADABLE).replace("'", "''")
-P3_FOUND = f"""
-SELECT 'screen_line' AS feed, line_id::VARCHAR AS row_key FROM screen_line
-WHERE c0 IS NOT NULL AND NOT regexp_full_match(c0, '[\\x{{FEFF}}\\s]*') AND NOT regexp_matches(lower(c0), '^[\\x{{FEFF}}\\s]*symbol,name,latest,') AND NOT regexp_matches(lower(c0), '^[\\s"]*downloaded from\\b')
-  AND NOT (regexp_full_match(c0, '{_SQL_LINE}', 's')
-           AND try_cast(replace(regexp_extract(c0, '{_SQL_LATEST}', 1) || regexp_extract(c0, '{_SQL_LATEST}', 2), ',', '') AS DOUBLE) > 0)
-UNION
-SELECT 'filing', accession_number FROM filing WHERE regexp_matches(lower(parse_error), '{_SQL_UNREADABLE}')
-"""
+    filings = _filings(spark, sf).filter("_reason is not null").select("accession_number", F.lit("filing").alias("feed"), F.col("_reason").alias("reason")).distinct()
+    return lines.unionByName(filings.select("feed", "reason")).groupBy("feed", "reason").agg(F.count("*").alias("row_count"))
+
+
+# The SQL takes lines apart in its own way: by cutting out fields, not by matching whole lines; messages by the sentences that these tables hold.
+_P3 = r"""
+WITH lines AS (
+  SELECT line_id, file_name, line_no, c0, regexp_full_match(c0 || ',', '(?:(?:[^",]*|[ \t]*"(?:[^"]|"")*"[ \t]*),)+') AS quoted, regexp_extract_all(c0 || ',', '([^",]*|[ \t]*"(?:[^"]|"")*"[ \t]*),', 1) AS cut
+  FROM screen_line WHERE c0 IS NOT NULL AND NOT regexp_full_match(c0, '[\x{FEFF}\s]*') AND NOT regexp_matches(lower(c0), '^[\x{FEFF}\s]*symbol,name,latest,') AND NOT regexp_matches(lower(c0), '^[\s"]*downloaded from\b')
+), fields AS (
+  SELECT *, list_transform(cut, lambda x: trim(CASE WHEN trim(x, ' ' || chr(9)) LIKE '"%"' THEN replace(trim(x, ' ' || chr(9))[2:-2], '""', '"') ELSE x END, ' ' || chr(9))) AS f FROM lines
+), checked AS (
+  SELECT *, CASE WHEN NOT quoted THEN 'quoting' WHEN len(f) <> 10 THEN 'column_count'
+    WHEN NOT regexp_full_match(f[1], '[A-Za-z][A-Za-z0-9.\-]{0,9}') THEN 'value:symbol'
+    WHEN NOT (regexp_full_match(f[3], @D) AND regexp_matches(f[3], '[1-9]')) THEN 'value:latest'
+    WHEN f[4] NOT IN ('', 'N/A') AND NOT regexp_full_match(ltrim(f[4]), '[+-]?' || @D) THEN 'value:change'
+    WHEN f[5] NOT IN ('', 'N/A') AND NOT regexp_full_match(f[5], '[+-]?' || @D || '%') THEN 'value:pct_change'
+    WHEN f[6] NOT IN ('', 'N/A') AND NOT regexp_full_match(f[6], @W) THEN 'value:volume'
+    WHEN f[7] NOT IN ('', 'N/A') AND NOT regexp_full_match(f[7], @W) THEN 'value:hi_count'
+    WHEN f[8] NOT IN ('', 'N/A') AND NOT regexp_full_match(f[8], '[+-]?' || @D || '%') THEN 'value:pct_from_high'
+    WHEN f[9] NOT IN ('', 'N/A') AND NOT regexp_full_match(f[9], '[+-]?' || @D || '%') THEN 'value:pct_from_low'
+    WHEN f[10] NOT IN ('', 'N/A') AND NOT regexp_full_match(f[10], '([01][0-9]|2[0-3]):[0-5][0-9] ET') THEN 'value:time' ELSE 'ok' END AS reason FROM fields
+), said AS (
+  SELECT DISTINCT accession_number, document_type, is_amendment, period_of_report, issuer_cik, parse_error, CASE
+    WHEN parse_error ILIKE '%missing ownershipDocument root%' OR parse_error ILIKE '%missing documentType%' OR parse_error ILIKE '%missing issuerCik%' THEN 'missing_part'
+    WHEN parse_error ILIKE '%unsupported documentType ''_''%' THEN 'unsupported_type'
+    WHEN parse_error ILIKE '%artifact is HTML, not an ownership document%' OR parse_error ILIKE '%Document is empty, line%' THEN 'not_xml'
+    WHEN parse_error ILIKE '%Start tag expected, ''<'' not found%' OR parse_error ILIKE '%no well-formed XML found%' OR parse_error ILIKE '%Extra content at the end of the document%'
+      OR parse_error ILIKE '%Opening and ending tag mismatch%' OR parse_error ILIKE '%Entity ''%'' not defined, line%' THEN 'broken_xml'
+    WHEN parse_error ILIKE '%invalid byte 0x__ in position%' OR parse_error ILIKE '%could not decode as %' THEN 'encoding'
+    WHEN parse_error ILIKE '%XML cut off after % bytes%' THEN 'truncated' END AS reason FROM filing
+)
+""".replace("@D", r"'((?:[0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)(?:\.[0-9]+)?|\.[0-9]+)'").replace("@W", "'([0-9]+|[0-9]{1,3}(?:,[0-9]{3})+)'")
+P3_FOUND = _P3 + "SELECT 'screen_line' AS feed, line_id::VARCHAR AS row_key FROM checked WHERE reason <> 'ok' UNION SELECT 'filing', accession_number FROM said WHERE reason IS NOT NULL"
+_NUM = "replace(replace(nullif(nullif(f[{0}], ''), 'N/A'), ',', ''), '%', '')::{1}"
+P3_SCREEN_LOADED = _P3 + "SELECT line_id, file_name, line_no, upper(f[1]) AS symbol, nullif(nullif(f[2], ''), 'N/A') AS name, " + ", ".join(f"{_NUM.format(i, kind)} AS {name}" for i, kind, name in ((3, "DECIMAL(38,18)", "latest"), (4, "DECIMAL(38,18)", "change"), (5, "DECIMAL(38,18)", "pct_change"), (6, "BIGINT", "volume"), (7, "BIGINT", "hi_count"), (8, "DECIMAL(38,18)", "pct_from_high"), (9, "DECIMAL(38,18)", "pct_from_low"))) + ", nullif(nullif(f[10], ''), 'N/A') AS time FROM checked WHERE reason = 'ok'"
+P3_FILINGS_LOADED = _P3 + "SELECT DISTINCT accession_number, document_type, is_amendment, strftime(period_of_report, '%Y-%m-%d') AS period_of_report, nullif(ltrim(regexp_replace(issuer_cik, '[^0-9]', '', 'g'), '0'), '') AS issuer_cik FROM said WHERE reason IS NULL"
+P3_REASONS = _P3 + "SELECT 'screen_line' AS feed, reason, count(*) AS row_count FROM checked WHERE reason <> 'ok' GROUP BY ALL UNION ALL SELECT 'filing', reason, count(*) FROM (SELECT DISTINCT accession_number, reason FROM said WHERE reason IS NOT NULL) GROUP BY ALL"
 
 # --- 4: trailing totals ------------------------------------------------------------------------------------------------------------
 
@@ -273,5 +290,5 @@ QUALIFY row_number() OVER (PARTITION BY accession_number, transaction_index, day
 P7_FOUND = "SELECT DISTINCT * FROM (" + _P7.replace("{value}", "") + ")"
 P7_VALUES = "SELECT DISTINCT * FROM (" + _P7.replace("{value}", ", value") + ")"
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_variants, p2_found, p2_history, p3_found, p3_screen_loaded, p3_reasons, p4_found, p4_rolling, p5_found, p5_flags, p6_found, p6_changes, p7_found, p7_values)}
-SQL = {"p2_found": P2_FOUND, "p2_history": P2_HISTORY, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p4_rolling": P4_ROLLING, "p6_found": P6_FOUND, "p6_changes": P6_CHANGES, "p7_found": P7_FOUND, "p7_values": P7_VALUES}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_variants, p2_found, p2_history, p3_found, p3_screen_loaded, p3_filings_loaded, p3_reasons, p4_found, p4_rolling, p5_found, p5_flags, p6_found, p6_changes, p7_found, p7_values)}
+SQL = {"p2_found": P2_FOUND, "p2_history": P2_HISTORY, "p3_found": P3_FOUND, "p3_screen_loaded": P3_SCREEN_LOADED, "p3_filings_loaded": P3_FILINGS_LOADED, "p3_reasons": P3_REASONS, "p4_found": P4_FOUND, "p4_rolling": P4_ROLLING, "p6_found": P6_FOUND, "p6_changes": P6_CHANGES, "p7_found": P7_FOUND, "p7_values": P7_VALUES}

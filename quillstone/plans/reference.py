@@ -540,11 +540,17 @@ def history_tail(spark, sf):
 # --- audits ------------------------------------------------------------------------------------------------------------------------
 
 
-@query(f"""SELECT kind, count(*) AS n FROM (SELECT DISTINCT accession_number, CASE {' '.join(f"WHEN regexp_matches(lower(parse_error), '{p.replace(chr(39), chr(39) * 2)}') THEN '{n}'" for n, p in parsefail.UNREADABLE)} END AS kind FROM filing) WHERE kind IS NOT NULL GROUP BY kind""")
+# Kinds of the sentences that these tables hold, written down without the operator's own patterns.
+_KIND = """CASE WHEN parse_error ILIKE '%missing ownershipDocument root%' OR parse_error ILIKE '%missing documentType%' OR parse_error ILIKE '%missing issuerCik%' THEN 'missing_part' WHEN parse_error ILIKE '%unsupported documentType ''_''%' THEN 'unsupported_type'
+  WHEN parse_error ILIKE '%artifact is HTML%' OR parse_error ILIKE '%Document is empty, line%' THEN 'not_xml' WHEN parse_error ILIKE '%could not decode as %' OR parse_error ILIKE '%invalid byte 0x__ in position%' THEN 'encoding' WHEN parse_error ILIKE '%XML cut off after % bytes%' THEN 'truncated'
+  WHEN parse_error ILIKE '%Start tag expected, ''<''%' OR parse_error ILIKE '%no well-formed XML%' OR parse_error ILIKE '%Extra content at the end%' OR parse_error ILIKE '%Opening and ending tag mismatch%' OR parse_error ILIKE '%Entity ''%'' not defined%' THEN 'broken_xml' END"""
+
+
+@query(f"SELECT 'parse' AS stage, kind, count(*) AS n FROM (SELECT DISTINCT accession_number, {_KIND} AS kind FROM filing) WHERE kind IS NOT NULL GROUP BY kind")
 def errors_by_kind(spark, sf):
-    """Dead letters by kind, most first."""
+    """Dead letters by stage and kind, most first."""
     rows = table(spark, sf, "filing").select("accession_number", parsefail.filing_reason(F.col("parse_error")).alias("kind")).filter("kind is not null").distinct()
-    return rows.groupBy("kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind")
+    return rows.groupBy(F.lit("parse").alias("stage"), "kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "stage", "kind")
 
 
 @query(_BASE + "SELECT DISTINCT accession_number FROM filing WHERE accession_number NOT IN (SELECT accession_number FROM form4_transaction) OR parse_error IS NOT NULL")
@@ -632,7 +638,7 @@ def price_file_parse(spark, sf):
     return landed.price_bars(files.select("ticker", body.alias("value"))).select("ticker", K.iso("price_date").alias("price_date"), "close", "high", "volume").distinct()
 
 
-@query("""SELECT accession_number, parse_error AS message, error_type FROM (SELECT DISTINCT accession_number, left(parse_error, 500) AS parse_error, CASE """ + " ".join(f"WHEN regexp_matches(lower(parse_error), '{p.replace(chr(39), chr(39) * 2)}') THEN '{n}'" for n, p in parsefail.UNREADABLE) + """ END AS error_type FROM filing) WHERE error_type IS NOT NULL""")
+@query(f"SELECT accession_number, left(parse_error, 500) AS message, kind AS error_type FROM (SELECT DISTINCT accession_number, parse_error, {_KIND} AS kind FROM filing) WHERE kind IS NOT NULL")
 def dead_letter_rows(spark, sf):
     """Filings that could not be read as rows of a dead-letter table."""
     f = table(spark, sf, "filing").select("accession_number", "parse_error", "document_type").distinct().withColumn("kind", parsefail.filing_reason(F.col("parse_error"))).filter("kind is not null")
