@@ -1,16 +1,24 @@
 """Nested filing payloads into related flat tables (structural-variant tables).
 
-A bottom-up tree automaton gives each JSON node a state from its own shape and the states of its children, so a transaction is known by
-what it is made of, not by where it lies. Each state is routed to its own typed subtype table; all of them keep the common supertype
-keys (``record_id``, ``accession_number``) and the link to their parent row. The automaton runs inside one Arrow pass over the payloads
-and returns one nested, typed row per record; the flat tables are projections of that row, so no link needs a join or a shuffle.
+A bottom-up tree automaton gives each JSON node a state. A leaf's state is the shape of its value (number, date, code, flag, text, nothing). A node's state is
+a transition from what its members' names say and from the states of its members; names are read by what they contain, whatever their spelling, and
+transitions are kept once computed, so that like objects cost one look-up. So a transaction is known by what it is made of: a date, a code, amounts, a side.
+A name above it (a table, a slot for transactions or holdings) decides only where that leaves a doubt. Walking runs on explicit stacks, and so does parsing
+where the standard parser gives up, so nesting may be of any depth.
+
+Each state is routed to its own typed subtype table: non-derivative and derivative transactions, non-derivative and derivative holdings, owners, notes. All
+keep the supertype keys (``record_id``, ``accession_number``) and the link to their parent record by ``position``; ``transactions`` and ``holdings`` are the
+supertype views over the columns that their subtypes share. The automaton runs inside one Arrow pass over the payloads and gives one row per record with an
+array per subtype table; the flat tables are projections of these arrays, so no link needs a join or a shuffle.
 
 Defined results
-* null, empty, malformed payload, or one without any known shape: the record is in ``records`` with variant ``null``, ``malformed`` or
-  ``unknown`` and has no child rows.
+* null, empty, malformed payload, or one without any known shape: the record is in ``records`` with variant ``null``, ``malformed`` or ``unknown`` and has no
+  child rows. ``header_only`` has header fields and no transaction or holding; ``tables`` holds some under the name of a table, ``rows`` holds them without;
+  ``encoded_`` before it says that some came as JSON text within the JSON.
 * a list that came as one object counts as a list of it; a list that came as JSON text is decoded (any depth).
-* null entries and scalars are no transactions and don't count for positions; an object without a transaction's parts is none either.
-* repeated records give repeated rows; ``found`` is a set.
+* null entries, scalars and empty objects are no transactions and don't count for positions.
+* a stated index is a whole number of up to 18 digits; anything else is none, and the position counts.
+* repeated records give repeated rows; ``attached`` is a set.
 """
 
 from __future__ import annotations
@@ -19,259 +27,496 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
+from json.decoder import scanstring
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: States of the automaton.
-NIL, SCALAR, REF, VALUE, NOTE, HOLDING, TRANSACTION, MANY_TX, MANY_REF, LIST, OWNER, ENCODED, TABLE, DOCUMENT, OTHER = (
-    "nil", "scalar", "ref", "value", "note", "holding", "transaction", "transactions", "refs", "list", "owner", "encoded", "table", "document", "other",
-)
+# --- parsing of any depth ----------------------------------------------------------------------------------------------------------
 
-FOOTNOTE_KEY = re.compile(r"footnote_?ids?", re.IGNORECASE)
-TABLE_KEY = re.compile(r"(non_?derivative|derivative)(_?(transactions?|table|holdings?))?", re.IGNORECASE)
-TX_PARTS = frozenset({"transaction_date", "transactiondate", "coding", "transactioncoding", "amounts", "transactionamounts", "transaction_category", "transactioncategory", "transaction_index", "transactionindex"})
-DOCUMENT_PARTS = frozenset({"issuer", "document_type", "documenttype", "owners", "reportingowner", "period_of_report", "periodofreport"})
+_SPACE = re.compile(r"[ \t\n\r]*")
+_ATOM = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|NaN|-?Infinity")
+_WORD = {"true": True, "false": False, "null": None}
 
-SCHEMA = """record_id bigint, accession_number string, variant string, document_type string, issuer_cik string, owners int,
-transactions array<struct<position:int, transaction_index:int, transaction_category string, variant:string, security_title:string, transaction_date:string,
-transaction_code:string, shares:string, price_per_share:string, acquired_disposed_code:string, direct_indirect:string, underlying_title:string, footnote_ids:array<string>>>,
-holdings array<struct<position:int, variant:string, security_title:string, footnote_ids:array<string>>>,
-notes array<struct<footnote_id:string, text:string>>""".replace("transaction_category string", "transaction_category:string").replace("\n", " ")
 
-_TX_TYPE = pa.struct([("position", pa.int32()), ("transaction_index", pa.int32())] + [(k, pa.string()) for k in ("transaction_category", "variant", "security_title", "transaction_date", "transaction_code", "shares", "price_per_share", "acquired_disposed_code", "direct_indirect", "underlying_title")] + [("footnote_ids", pa.list_(pa.string()))])
-_HOLD_TYPE = pa.struct([("position", pa.int32()), ("variant", pa.string()), ("security_title", pa.string()), ("footnote_ids", pa.list_(pa.string()))])
-_NOTE_TYPE = pa.struct([("footnote_id", pa.string()), ("text", pa.string())])
-ARROW = pa.schema([("record_id", pa.int64()), ("accession_number", pa.string()), ("variant", pa.string()), ("document_type", pa.string()), ("issuer_cik", pa.string()), ("owners", pa.int32()), ("transactions", pa.list_(_TX_TYPE)), ("holdings", pa.list_(_HOLD_TYPE)), ("notes", pa.list_(_NOTE_TYPE))])
+def parse(text: str) -> object:
+    """The value of a JSON text; ``ValueError`` if it is none."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _parse_deep(text)
+
+
+def _parse_deep(text: str) -> object:
+    """The same on a stack of open lists and objects instead of calls."""
+    at, open_, key = 0, [], None
+    skip = lambda i: _SPACE.match(text, i).end()
+
+    def name(i: int) -> tuple[str, int]:
+        i = skip(i)
+        if text[i : i + 1] != '"':
+            raise ValueError(f"a name is missing at {i}")
+        k, i = scanstring(text, i + 1, True)
+        i = skip(i)
+        if text[i : i + 1] != ":":
+            raise ValueError(f"a colon is missing at {i}")
+        return k, i + 1
+
+    while True:
+        at = skip(at)
+        c = text[at : at + 1]
+        if c in ("[", "{") and c:
+            value: object = [] if c == "[" else {}
+            at = skip(at + 1)
+            if text[at : at + 1] == ("]" if c == "[" else "}"):
+                at += 1
+            else:
+                open_.append((value, key))
+                if c == "{":
+                    key, at = name(at)
+                continue
+        elif c == '"':
+            value, at = scanstring(text, at + 1, True)
+        elif m := _ATOM.match(text, at):
+            word, at = m[0], m.end()
+            value = _WORD[word] if word in _WORD else float(word) if not word.lstrip("-").isdigit() else int(word)
+        else:
+            raise ValueError(f"no value at {at}")
+        while open_:  # the value goes into what is open, which it may close
+            holder, outer = open_[-1]
+            if isinstance(holder, list):
+                holder.append(value)
+            else:
+                holder[key] = value
+            at = skip(at)
+            end = text[at : at + 1]
+            if end == ",":
+                at += 1
+                if isinstance(holder, dict):
+                    key, at = name(at)
+                break
+            if end != ("]" if isinstance(holder, list) else "}"):
+                raise ValueError(f"a list or object is not closed at {at}")
+            at += 1
+            open_.pop()
+            value, key = holder, outer
+        else:
+            if skip(at) != len(text):
+                raise ValueError(f"more than one value at {at}")
+            return value
 
 
-class Shape(NamedTuple):
-    """What the names of an object say, whatever its values: the static part of a transition, the same for all objects with these names."""
+# --- the automaton -----------------------------------------------------------------------------------------------------------------
 
-    keys: dict[str, str]  # by name without case and underscores
-    footnotes: frozenset[str]
-    transaction: bool
-    document: bool
-    rest: str  # the state if it is neither
+#: States. Leaves, and objects that only wrap a leaf, are told by the shape of the value.
+NIL, FLAG, NUMBER, DATE, CODE, TEXT, REF, NOTE, CODING, AMOUNTS, HOLDING, TRANSACTION, OWNER, TABLE, OTHER = (
+    "nil", "flag", "number", "date", "code", "text", "ref", "note", "coding", "amounts", "holding", "transaction", "owner", "table", "other",
+)
+LEAVES = frozenset({NIL, FLAG, NUMBER, DATE, CODE, TEXT})
+
+_DATE = re.compile(r"\d{4}-\d{2}-\d{2}(?:[T ].*)?|\d{8}", re.DOTALL)
+_NUMBER = re.compile(r"[+-]?[\d,]*\.?\d+(?:[eE][+-]?\d+)?")
+
+#: What a member's name can say about the object that has it.
+SAYS_DATE, SAYS_CODE, SAYS_AMOUNT, SAYS_SIDE, SAYS_TRANSACTION, SAYS_TITLE, SAYS_OWNER, SAYS_HEADER, SAYS_FOOTNOTE, SAYS_VALUE, SAYS_ID, SAYS_TEXT, SAYS_OWNED = (1 << i for i in range(13))
+
+
+@lru_cache(maxsize=1 << 14)
+def letters(name: str) -> str:
+    """A name without case, underscores and other marks."""
+    return "".join(c for c in name.lower() if c.isalnum())
+
+
+@lru_cache(maxsize=1 << 14)
+def says(name: str) -> int:
+    """What a member's name says, by what it contains."""
+    k = letters(name)
+    if "footnote" in k:
+        return SAYS_FOOTNOTE
+    bits = {"value": SAYS_VALUE, "id": SAYS_ID, "text": SAYS_TEXT}.get(k, 0)
+    if "owner" in k and "ownership" not in k:
+        bits |= SAYS_OWNER
+    if k.startswith("issuer") or k in ("documenttype", "periodofreport", "formtype"):
+        bits |= SAYS_HEADER
+    if "title" in k and ("security" in k or k == "title") and "underlying" not in k:
+        bits |= SAYS_TITLE
+    if any(x in k for x in ("owned", "following", "posttransaction", "holding")):
+        return bits | SAYS_OWNED
+    if bits & SAYS_HEADER or any(x in k for x in ("underlying", "exercis", "conver", "expir", "signature", "deemed", "period")):
+        return bits
+    if "date" in k and "update" not in k:
+        bits |= SAYS_DATE | (SAYS_TRANSACTION if "transaction" in k else 0)
+    if "code" in k or "coding" in k:
+        bits |= SAYS_CODE
+    if any(x in k for x in ("shares", "price", "amount", "quantity")):
+        bits |= SAYS_AMOUNT
+    if "acquired" in k or "disposed" in k:
+        bits = (bits | SAYS_SIDE) & ~SAYS_CODE
+    if k in ("transactioncategory", "transactionindex", "transactiontype"):
+        bits |= SAYS_TRANSACTION
+    return bits
+
+
+@lru_cache(maxsize=1 << 14)
+def table_of(name: str) -> str | None:
+    """The category that a name gives to what lies below it."""
+    k = letters(name)
+    return "non_derivative" if "nonderivative" in k else "derivative" if "derivative" in k else None
+
+
+@lru_cache(maxsize=1 << 14)
+def slot_of(name: str) -> str | None:
+    """What a name says its members are."""
+    k = letters(name).rstrip("s")
+    return TRANSACTION if k.endswith("transaction") else HOLDING if k.endswith("holding") else OWNER if k.endswith("owner") else None
 
 
 @lru_cache(maxsize=1 << 16)
-def shape_of(names: tuple[str, ...]) -> Shape:
-    low = {n.lower() for n in names}
-    if "id" in low and "text" in low:
-        rest = NOTE
-    elif any(k.startswith("rptowner") for k in low):
-        rest = OWNER
-    elif low & {"securitytitle", "security_title"}:
-        rest = HOLDING
-    elif any(TABLE_KEY.fullmatch(k) or k in ("transactions", "tables") for k in low):
-        rest = TABLE
-    else:
-        rest = VALUE if "value" in low else REF if "id" in low else OTHER
-    keys = {_bare(n): n for n in reversed(names)}
-    return Shape(keys, frozenset(n for n in names if FOOTNOTE_KEY.fullmatch(n)), bool(low & TX_PARTS), bool(low & DOCUMENT_PARTS), rest)
+def transition(names: tuple[str, ...], states: tuple[str, ...]) -> str:
+    """The state of an object from its members' names and states."""
+    said = 0
+    for name, state in zip(names, states, strict=True):
+        said |= says(name)
+        if state in (AMOUNTS, CODING) and not says(name) & SAYS_OWNED:
+            said |= SAYS_AMOUNT if state == AMOUNTS else SAYS_CODE
+    members = set(states)
+    if TRANSACTION in members or TABLE in members:
+        return TABLE  # it holds transactions and is none, whatever else it says
+    if said & SAYS_ID and said & SAYS_TEXT:
+        return NOTE
+    if said & SAYS_VALUE:
+        for name, state in zip(names, states, strict=True):
+            if says(name) & SAYS_VALUE and state in LEAVES:
+                return state
+    if said & SAYS_ID and not said & ~(SAYS_ID | SAYS_FOOTNOTE) and members <= LEAVES and len(names) <= 3:
+        return REF
+    event = bool(said & SAYS_DATE) + bool(said & SAYS_CODE)
+    amount = bool(said & (SAYS_AMOUNT | SAYS_SIDE))
+    if said & SAYS_TRANSACTION or event + amount >= 2 or (event and AMOUNTS in members):
+        return TRANSACTION
+    # foreign names: a date, a code and numbers side by side
+    if not said & (SAYS_HEADER | SAYS_OWNER) and {DATE, CODE, NUMBER} <= members:
+        return TRANSACTION
+    if said & SAYS_TITLE or (said & SAYS_OWNED and not said & SAYS_OWNER and amount):
+        return HOLDING
+    if said & SAYS_OWNER and not said & SAYS_HEADER and members <= LEAVES | {OTHER, OWNER, TEXT}:
+        return OWNER
+    if amount:
+        return AMOUNTS
+    return CODING if said & SAYS_CODE else OTHER
 
 
-@lru_cache(maxsize=1 << 16)
-def _bare(name: str) -> str:
-    return name.replace("_", "").lower()
+class Node:
+    """A JSON value with its state; ``refs`` holds the footnote ids of the node and all below it, in document order. Lists of refs are shared, never changed."""
 
+    __slots__ = ("state", "value", "parts", "refs", "encoded")
 
-class Node:
-    """A JSON value with its state; ``refs`` holds the footnote ids of the node and all below it, in document order."""
+    def __init__(self, state: str, value: object = None, parts: dict[str, Node] | list[Node] | None = None, refs: list[str] | tuple = (), encoded: bool = False):
+        self.state, self.value, self.parts, self.refs, self.encoded = state, value, parts, refs, encoded
 
-    __slots__ = ("state", "value", "parts", "refs", "keys")
 
-    def __init__(self, state: str, value: object, parts: dict[str, Node] | list[Node] | None, refs: list[str], keys: dict[str, str] | None = None):
-        self.state, self.value, self.parts, self.refs, self.keys = state, value, parts, refs, keys
+_NIL = Node(NIL)
 
 
 def ref_ids(value: object) -> list[str]:
-    """Ids of a footnote reference: text (commas or blanks between several), an object with an id, or a list of these."""
+    """Ids of a footnote reference: text (commas or blanks between several), an object with an id, or lists of these, nested or not; in document order."""
+    out: list[str] = []
+    stack = [value]
+    while stack:
+        v = stack.pop()
+        if isinstance(v, str):
+            out += [x for x in re.split(r"[\s,;]+", v) if x]
+        elif isinstance(v, dict):
+            held = [x for k, x in v.items() if letters(k) == "id" or "footnote" in letters(k)]
+            stack += reversed(held)
+        elif isinstance(v, list):
+            stack += reversed(v)
+        elif isinstance(v, int) and not isinstance(v, bool):
+            out.append(str(v))
+    return out
+
+
+def _leaf(value: object) -> Node | None:
+    """The node of a scalar; null for a list, an object or text that may be JSON."""
+    if value is None:
+        return _NIL
     if isinstance(value, str):
-        return [x for x in re.split(r"[\s,;]+", value) if x]
-    if isinstance(value, dict):
-        return ref_ids(next((v for k, v in value.items() if k.lower() == "id"), None))
-    if isinstance(value, list):
-        return [x for v in value for x in ref_ids(v)]
-    return [str(value)] if isinstance(value, int) and not isinstance(value, bool) else []
+        c = value[:1]
+        if c in "[{" and c and value.rstrip()[-1:] in ("]", "}"):
+            return None
+        if c.isdigit() or c in "+-.":
+            state = DATE if _DATE.fullmatch(value) else NUMBER if _NUMBER.fullmatch(value) else TEXT
+        else:
+            state = CODE if len(value) <= 2 and value.isalpha() and value.isupper() else TEXT if value.strip() else NIL
+        return Node(state, value)
+    if isinstance(value, bool):
+        return Node(FLAG, value)
+    return Node(NUMBER, value) if isinstance(value, (int, float)) else None
+
+
+class _Open:
+    """A list or object whose members are being classified."""
 
+    __slots__ = ("value", "rest", "parts", "refs", "key", "encoded")
 
-_NIL = Node(NIL, None, None, [])
+    def __init__(self, value: list | dict, encoded: bool):
+        self.value, self.refs, self.key, self.encoded = value, (), None, encoded
+        if isinstance(value, dict):
+            self.rest, self.parts = iter(value.items()), {}
+        else:
+            self.rest, self.parts = ((None, v) for v in value), []
+
+    def add(self, key: str | None, node: Node) -> None:
+        if node.refs:
+            self.refs = [*self.refs, *node.refs] if self.refs else node.refs
+        if key is None:
+            self.parts.append(node)
+        else:
+            self.parts[key] = node
+
+    def close(self) -> Node:
+        if isinstance(self.parts, list):
+            states = {c.state for c in self.parts}
+            state = TABLE if TRANSACTION in states or TABLE in states else OWNER if states == {OWNER} else OTHER
+            return Node(state, self.value, self.parts, self.refs, self.encoded)
+        state = transition(tuple(self.parts), tuple(c.state for c in self.parts.values()))
+        refs = self.refs
+        if state == REF:
+            refs = ref_ids(self.value)
+        elif state == NOTE:
+            refs = ref_ids({"id": next(v for k, v in self.value.items() if letters(k) == "id")})
+        elif state in LEAVES and (own := next((v for k, v in self.value.items() if letters(k) == "id"), None)) is not None:
+            refs = [*refs, *ref_ids(own)]  # a wrapped value with the id of its footnote beside it
+        return Node(state, self.value, self.parts, refs, self.encoded)
 
 
 def classify(value: object) -> Node:
-    """One transition per node, children first."""
-    if value is None:
-        return _NIL
-    if isinstance(value, list):
-        children = [classify(v) for v in value]
-        states = {c.state for c in children} - {NIL}
-        state = MANY_TX if TRANSACTION in states else MANY_REF if states == {REF} else LIST
-        return Node(state, value, children, [r for c in children for r in c.refs])
-    if not isinstance(value, dict):
-        if isinstance(value, str) and value[:1] in "[{" and value.strip()[-1:] in ("]", "}"):
-            try:
-                inner = classify(json.loads(value))
-            except ValueError:
-                return Node(SCALAR, value, None, [])
-            return Node(ENCODED, value, [inner], inner.refs)
-        return Node(SCALAR, value, None, [])
-    shape = shape_of(tuple(value))
-    parts: dict[str, Node] = {}
-    refs: list[str] = []
-    nested = False
-    for key, child in value.items():
-        if key in shape.footnotes:
-            own = ref_ids(child)
-            parts[key] = Node(REF, child, None, own)
-            refs += own
+    """One transition per node, members first, on a stack of open lists and objects."""
+    frames: list[_Open] = []
+    key: str | None = None
+    child = value
+    while True:
+        node = Node(REF, child, None, ref_ids(child)) if key is not None and says(key) & SAYS_FOOTNOTE and not _has_text(child) else _leaf(child)
+        if node is None:
+            encoded = isinstance(child, str)
+            inner = child
+            if encoded:
+                try:
+                    inner = parse(child)
+                except ValueError:
+                    inner = None
+                if not isinstance(inner, (list, dict)):
+                    node = Node(TEXT, child)
+            if node is None:
+                frames.append(_Open(inner, encoded or bool(frames) and frames[-1].encoded))
+                if len(frames) > 1:
+                    frames[-2].key = key
+        elif frames:
+            frames[-1].add(key, node)
         else:
-            parts[key] = node = classify(child)
-            nested = nested or node.state in (TRANSACTION, MANY_TX)
-            if node.refs:
-                refs += node.refs
-    state = TRANSACTION if shape.transaction and not nested and not shape.document else DOCUMENT if shape.document else shape.rest
-    if state == REF:
-        refs = ref_ids(value)
-    return Node(state, value, parts, refs, shape.keys)
-
-
-def _get(node: Node | None, *names: str) -> Node | None:
-    """The child with the first of the names that there is, case and underscores aside."""
-    if node is not None and node.keys is not None:
-        for name in names:
-            key = node.keys.get(_bare(name))
-            if key is not None:
-                return node.parts[key]
-    return None
+            return node
+        while True:  # the next member, closing what has none left
+            frame = frames[-1]
+            step = next(frame.rest, None)
+            if step is not None:
+                key, child = step
+                break
+            done = frame.close()
+            frames.pop()
+            if not frames:
+                return done
+            frames[-1].add(frames[-1].key, done)
+
+
+def _has_text(value: object) -> bool:
+    """Whether a value under a footnote's name is a list of footnote texts and not of references."""
+    first = value[0] if isinstance(value, list) and value else value
+    if not isinstance(first, dict):
+        return False
+    if any(letters(k) == "text" for k in first):
+        return True
+    return any(isinstance(v, (dict, list)) and _has_text(v) for v in first.values()) if len(first) == 1 else False
+
+
+# --- routing -----------------------------------------------------------------------------------------------------------------------
+
+
+def walk(root: Node) -> Iterator[tuple[str, Node, str | None, bool]]:
+    """Routed nodes in document order: (state, node, category of the nearest table above, encoded). Names decide where states leave a doubt."""
+    stack: list[tuple[Node, str | None, str | None]] = [(root, None, None)]
+    while stack:
+        node, category, slot = stack.pop()
+        parts = node.parts
+        if isinstance(parts, list):
+            stack += [(c, category, slot) for c in reversed(parts) if c.parts]
+            continue
+        if not parts:
+            continue
+        state = node.state
+        routed = None
+        if state == NOTE:
+            routed = NOTE
+        elif slot == HOLDING and state != TABLE:
+            routed = HOLDING
+        elif slot == OWNER and state != TABLE:
+            routed = OWNER
+        elif state in (TRANSACTION, HOLDING, OWNER):
+            # a bare row right under a table or a slot for transactions is one, unless it says what is owned
+            bare = state == HOLDING and slot == TRANSACTION and not any(says(k) & SAYS_OWNED for k in parts)
+            routed = TRANSACTION if bare else state
+        elif slot == TRANSACTION and state != TABLE and not any(c.parts and slot_of(k) for k, c in parts.items()) and (state != OTHER or any(c.state in LEAVES and c.state != NIL for c in parts.values())):
+            routed = TRANSACTION
+        if routed is not None:
+            yield routed, node, category, node.encoded
+            continue
+        for key, child in reversed(parts.items()):
+            if child.parts:
+                named, table = slot_of(key), table_of(key)
+                # a table's own name is the slot of rows that lie right under it
+                stack.append((child, table or category, named or (TRANSACTION if table else slot if letters(key).isdigit() else None)))
 
 
 def _text(node: Node | None) -> str | None:
     """Text of a scalar or of an object's value."""
-    if node is None or node.state == NIL:
+    while node is not None and isinstance(node.parts, dict):
+        node = next((c for k, c in node.parts.items() if letters(k) == "value"), None)
+    if node is None or node.state == NIL or node.parts is not None:
         return None
-    if isinstance(node.parts, dict):
-        return _text(_get(node, "value"))
     if isinstance(node.value, bool):
         return "true" if node.value else "false"
     return str(node.value) if isinstance(node.value, (str, int, float)) else None
 
 
-@lru_cache(maxsize=1 << 12)
-def _category(text: str | None) -> str | None:
-    letters = re.sub(r"[^a-z]", "", (text or "").lower())
-    if letters.startswith("nonderivative"):
-        return "non_derivative"
-    return "derivative" if letters.startswith("derivative") else None
-
-
-@lru_cache(maxsize=1 << 12)
-def _slot(key: str) -> str | None:
-    """What a child's name says its members are; only objects too bare for the automaton to tell need it."""
-    name = key.lower().rstrip("s")
-    return TRANSACTION if name.endswith("transaction") else HOLDING if name.endswith("holding") else None
+def _fields(node: Node) -> dict[str, Node]:
+    """Scalars of a node and of the objects in it by their name, the first of each name; those of an underlying security are named so."""
+    out: dict[str, Node] = {}
+    stack: list[tuple[str, Node, str]] = [(k, c, "") for k, c in reversed(node.parts.items())]
+    while stack:
+        key, child, prefix = stack.pop()
+        name = letters(key)
+        if isinstance(child.parts, dict) and child.state not in LEAVES and child.state != REF:
+            inner = "underlying" if "underlying" in name else prefix
+            stack += [(k, c, inner) for k, c in reversed(child.parts.items())]
+        elif child.state != REF and not isinstance(child.parts, list):
+            out.setdefault(name if name.startswith(prefix) else prefix + name, child)
+    return out
+
+
+def _pick(fields: dict[str, Node], *names: str) -> str | None:
+    for name in names:
+        if name in fields and (text := _text(fields[name])) is not None:
+            return text
+    return None
 
 
 @lru_cache(maxsize=1 << 12)
-def _table(key: str) -> str | None:
-    """The category that a table's name gives to what it holds."""
-    return _category(key) if TABLE_KEY.fullmatch(key) else None
-
-
-def _walk(node: Node, category: str | None, slot: str | None = None) -> Iterator[tuple[str, Node, str | None]]:
-    """Routed nodes in document order with the category of the nearest table above them."""
-    if slot is not None and isinstance(node.parts, dict) and node.state in (TRANSACTION, HOLDING, VALUE, OTHER):
-        if node.parts:
-            yield slot, node, category
-    elif node.state in (TRANSACTION, HOLDING, NOTE):
-        yield node.state, node, category
-    elif isinstance(node.parts, dict):
-        for key, child in node.parts.items():
-            if child.parts:
-                yield from _walk(child, _table(key) or category, _slot(key))
-    elif isinstance(node.parts, list):
-        for child in node.parts:
-            if child.parts:
-                yield from _walk(child, category, slot)
-
-
-def _layout(node: Node) -> str:
-    """Name of the record's own variant."""
-    if node.state == NIL:
-        return "null"
-    if isinstance(node.parts, dict):
-        if _get(node, "ownershipDocument") is not None:
-            return "ownership_document"
-        tables, flat = _get(node, "tables"), _get(node, "transactions")
-        if tables is not None:
-            return "split_tables"
-        if flat is not None:
-            return "encoded_list" if flat.state == ENCODED else "flat_list"
-        for child in node.parts.values():
-            if child.state == DOCUMENT:
-                return "wrapped_" + _layout(child)
-        if node.state == DOCUMENT:
-            return "header_only"
-    return "unknown"
-
-
-def _index(node: Node, position: int) -> int:
-    stated = _text(_get(node, "transaction_index"))
-    if stated is not None and re.fullmatch(r"\s*\d{1,9}(\.0+)?\s*", stated):
-        return int(float(stated))
-    return position
+def _category(text: str | None) -> str | None:
+    k = letters(text or "")
+    return "non_derivative" if k.startswith("nonderivative") else "derivative" if k.startswith("derivative") else None
+
+
+#: Columns of the typed subtype tables and the names that they may have; what both subtypes have comes first.
+SECURITY = {
+    "security_title": ("securitytitle", "title"), "direct_indirect": ("directindirect", "directorindirectownership"), "ownership_nature": ("natureofownership", "nature"),
+    "shares_after": ("sharesownedfollowingtransaction", "sharesafter", "sharesowned"),
+}
+EVENT = {
+    "transaction_date": ("transactiondate", "date"), "transaction_code": ("transactioncode", "code"), "shares": ("shares", "transactionshares", "quantity"), "price_per_share": ("pricepershare", "transactionpricepershare", "price"),
+    "acquired_disposed_code": ("acquireddisposed", "transactionacquireddisposedcode", "acquireddisposedcode"),
+}
+RIGHT = {
+    "exercise_price": ("conversionorexerciseprice", "exerciseprice", "conversionprice"), "exercise_date": ("exercisedate", "dateexercisable"), "expiration_date": ("expirationdate",),
+    "underlying_title": ("underlyingsecuritytitle", "underlyingtitle"), "underlying_shares": ("underlyingsecurityshares", "underlyingshares"),
+}
+PERSON = {"owner_cik": ("rptownercik", "ownercik", "cik"), "owner_name": ("rptownername", "ownername", "name"), "is_director": ("isdirector",), "is_officer": ("isofficer",), "is_ten_percent_owner": ("istenpercentowner",), "officer_title": ("officertitle",)}
+NOTED = {"footnote_id": ("id", "footnoteid"), "text": ("text",)}
+#: The subtype tables.
+TABLES = {
+    "non_derivative": SECURITY | EVENT, "derivative": SECURITY | EVENT | RIGHT, "non_derivative_holdings": SECURITY, "derivative_holdings": SECURITY | RIGHT, "owners": PERSON, "notes": NOTED,
+}
+_NUMBERS = ("shares", "price_per_share", "shares_after", "exercise_price", "underlying_shares")
+_DATES = ("transaction_date", "exercise_date", "expiration_date")
+_HEADER = ("record_id", "accession_number", "variant", "document_type", "issuer_cik")
+
+
+def _columns(table: str) -> dict[str, str]:
+    out = {"position": "int"} | ({"transaction_index": "bigint"} if table in ("non_derivative", "derivative") else {}) | dict.fromkeys(TABLES[table], "string")
+    return out | ({} if table in ("owners", "notes") else {"footnote_ids": "array<string>"})
+
+
+_ARROW_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
+SCHEMA = "record_id bigint, accession_number string, variant string, document_type string, issuer_cik string, " + ", ".join(f"{t} array<struct<{', '.join(f'{c}:{k}' for c, k in _columns(t).items())}>>" for t in TABLES)
+ARROW = pa.schema([("record_id", pa.int64()), *[(c, pa.string()) for c in _HEADER[1:]], *[(t, pa.list_(pa.struct([(c, _ARROW_TYPES[k]) for c, k in _columns(t).items()]))) for t in TABLES]])
+
+
+def _row(node: Node, table: str, position: int, fields: dict[str, Node]) -> dict:
+    row = {c: _pick(fields, *names) for c, names in TABLES[table].items()}
+    row["position"] = position
+    if table not in ("owners", "notes"):
+        row["footnote_ids"] = list(dict.fromkeys(node.refs))
+    return row
 
 
 def flatten(payload: str | None) -> dict:
-    """The typed, nested row of one payload."""
-    empty = {"document_type": None, "issuer_cik": None, "owners": 0, "transactions": [], "holdings": [], "notes": []}
+    """The typed, nested row of one payload: header fields and an array of rows per subtype table."""
+    empty = {"document_type": None, "issuer_cik": None} | {t: [] for t in TABLES}
     if payload is None or not payload.strip():
         return empty | {"variant": "null"}
     try:
-        return _flatten(json.loads(payload))
-    except (ValueError, RecursionError):  # nested beyond what the parser follows is malformed too
+        root = classify(parse(payload))
+    except ValueError:
         return empty | {"variant": "malformed"}
-
-
-def _flatten(value: object) -> dict:
-    root = classify(value)
-    found: list[tuple[str, Node]] = []
-    holdings, notes = [], []
-    for state, node, category in _walk(root, None):
-        if state == TRANSACTION:
-            own = _category(_text(_get(node, "transaction_category")))
-            underlying = _get(node, "underlying_security")
-            found.append((own or category or ("derivative" if underlying is not None else "non_derivative"), node))
-        elif state == HOLDING:
-            holdings.append({"position": len(holdings), "variant": f"{category or 'unplaced'}_holding", "security_title": _text(_get(node, "security_title")), "footnote_ids": list(dict.fromkeys(node.refs))})
+    out = empty
+    found: dict[str, list[tuple[Node, dict]]] = {"non_derivative": [], "derivative": []}
+    placed = encoded = False
+    for state, node, category, inside in walk(root):
+        fields = _fields(node)
+        if state in (TRANSACTION, HOLDING):
+            own = _category(_pick(fields, "transactioncategory", "category"))
+            right = any(k.startswith(("underlying", "conversion", "exercise", "expiration")) for k in fields) or any("underlying" in letters(k) for k in node.parts)
+            kind = own or category or ("derivative" if right else "non_derivative")
+            placed, encoded = placed or category is not None, encoded or inside
+            if state == TRANSACTION:
+                found[kind].append((node, fields))
+            else:
+                rows = out[f"{kind}_holdings"]
+                rows.append(_row(node, f"{kind}_holdings", len(rows), fields))
         else:
-            notes.append({"footnote_id": _text(_get(node, "id")), "text": _text(_get(node, "text"))})
-    found.sort(key=lambda x: x[0] != "non_derivative")  # stable: document order within a category
-    rows = []
-    for position, (category, node) in enumerate(found):
-        amounts, coding, ownership = _get(node, "amounts", "transactionAmounts"), _get(node, "coding", "transactionCoding"), _get(node, "ownership", "ownershipNature")
-        underlying = _get(node, "underlying_security")
-        rows.append({
-            "position": position, "transaction_index": _index(node, position), "transaction_category": category,
-            "variant": f"{category}_{'with_underlying' if underlying is not None else 'plain'}",
-            "security_title": _text(_get(node, "security_title")), "transaction_date": _text(_get(node, "transaction_date")), "transaction_code": _text(_get(coding, "transaction_code")),
-            "shares": _text(_get(amounts, "shares", "transactionShares")), "price_per_share": _text(_get(amounts, "price_per_share", "transactionPricePerShare")),
-            "acquired_disposed_code": _text(_get(amounts, "acquired_disposed", "transactionAcquiredDisposedCode")),
-            "direct_indirect": _text(_get(ownership, "direct_indirect", "directOrIndirectOwnership")), "underlying_title": _text(_get(underlying, "underlyingSecurityTitle")),
-            "footnote_ids": list(dict.fromkeys(node.refs)),
-        })
-    document = root
-    while document.state != DOCUMENT and isinstance(document.parts, dict):
-        inner = next((c for c in document.parts.values() if c.state in (DOCUMENT, TABLE, OTHER)), None)
-        if inner is None:
-            break
-        document = inner
-    owners = _get(document, "owners", "reportingOwner")
-    count = 0 if owners is None or owners.state == NIL else sum(c.state != NIL for c in owners.parts) if isinstance(owners.parts, list) else 1
-    return {"variant": _layout(root), "document_type": _text(_get(document, "document_type")), "issuer_cik": _text(_get(_get(document, "issuer"), "cik", "issuerCik")), "owners": count, "transactions": rows, "holdings": holdings, "notes": notes}
+            rows = out["owners" if state == OWNER else "notes"]
+            rows.append(_row(node, "owners" if state == OWNER else "notes", len(rows), fields))
+    position = 0
+    for kind in ("non_derivative", "derivative"):
+        for node, fields in found[kind]:
+            row = _row(node, kind, position, fields)
+            stated = _pick(fields, "transactionindex", "index")
+            row["transaction_index"] = int(float(stated)) if stated is not None and re.fullmatch(r"\s*\d{1,15}\.0+\s*", stated) else int(stated) if stated is not None and re.fullmatch(r"\s*\d{1,18}\s*", stated) else position
+            out[kind].append(row)
+            position += 1
+    header = _header(root)
+    if header is not None:
+        out["document_type"] = _text(next((c for k, c in header.parts.items() if letters(k) in ("documenttype", "formtype")), None))
+        issuer = next((c for k, c in header.parts.items() if letters(k) == "issuer" and isinstance(c.parts, dict)), header)
+        out["issuer_cik"] = _text(next((c for k, c in issuer.parts.items() if letters(k) in ("issuercik", "cik")), None))
+    holds = position > 0 or out["non_derivative_holdings"] or out["derivative_holdings"]
+    out["variant"] = ("encoded_" if encoded else "") + ("tables" if placed else "rows") if holds else "header_only" if header is not None else "unknown"
+    return out
+
+
+def _header(root: Node) -> Node | None:
+    """The outermost object, first by level, that has header fields."""
+    level = [root]
+    while level:
+        below = []
+        for node in level:
+            if isinstance(node.parts, dict):
+                if any(says(k) & SAYS_HEADER for k in node.parts):
+                    return node
+                below += [c for c in node.parts.values() if c.parts]
+            elif isinstance(node.parts, list):
+                below += [c for c in node.parts if c.parts]
+        level = below
+    return None
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,17 +529,36 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, schema=ARROW)
 
 
+# --- the tables --------------------------------------------------------------------------------------------------------------------
+
+
 def records(df: DataFrame, record_id: str = "record_id", accession: str = "accession_number", payload: str = "payload") -> DataFrame:
-    """One typed, nested row per record; the supertype table with its children inside. Extra columns are not read."""
+    """One row per record with an array per subtype table. Extra columns are not read."""
     return df.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(accession).cast("string").alias("accession_number"), F.col(payload).cast("string").alias("payload")).mapInArrow(_run, SCHEMA)
 
 
+def subtype(nested: DataFrame, table: str) -> DataFrame:
+    """A subtype table, typed, tied to its record by (record_id, position)."""
+    rows = nested.select("record_id", "accession_number", F.inline(table))
+    plain = lambda c: F.regexp_replace(F.btrim(F.col(c)), ",", "")
+    typed = {c: plain(c).try_cast("decimal(28,8)") for c in TABLES[table] if c in _NUMBERS} | {c: F.try_to_date(F.substring(c, 1, 10)) for c in TABLES[table] if c in _DATES}
+    return rows.withColumns(typed) if typed else rows
+
+
 def transactions(nested: DataFrame, category: str | None = None) -> DataFrame:
-    """Transactions tied to their record, typed; ``category`` gives one subtype table."""
-    rows = nested.select("record_id", "accession_number", F.col("variant").alias("record_variant"), F.inline("transactions"))
-    rows = rows if category is None else rows.filter(F.col("transaction_category") == category)
-    clean = lambda c: F.regexp_replace(F.btrim(F.col(c)), ",", "")
-    return rows.withColumns({"transaction_date": F.try_to_date(F.substring("transaction_date", 1, 10)), "shares": clean("shares").try_cast("decimal(28,8)"), "price_per_share": clean("price_per_share").try_cast("decimal(28,8)")})
+    """The supertype: what both kinds of transactions share, with their category; ``category`` gives one subtype with all its columns."""
+    if category is not None:
+        return subtype(nested, category).withColumn("transaction_category", F.lit(category))
+    shared = [c for c in _columns("non_derivative") if c in _columns("derivative")]
+    one, two = (subtype(nested, t).select("record_id", "accession_number", F.lit(t).alias("transaction_category"), *shared) for t in ("non_derivative", "derivative"))
+    return one.unionByName(two)
+
+
+def holdings(nested: DataFrame) -> DataFrame:
+    """The supertype of both kinds of holdings."""
+    shared = [c for c in _columns("non_derivative_holdings") if c in _columns("derivative_holdings")]
+    one, two = (subtype(nested, f"{t}_holdings").select("record_id", "accession_number", F.lit(t).alias("category"), *shared) for t in ("non_derivative", "derivative"))
+    return one.unionByName(two)
 
 
 def footnote_refs(nested: DataFrame) -> DataFrame:
@@ -302,18 +566,24 @@ def footnote_refs(nested: DataFrame) -> DataFrame:
     return transactions(nested).select("record_id", "position", "transaction_index", "transaction_category", F.explode("footnote_ids").alias("footnote_id"))
 
 
-def holdings(nested: DataFrame) -> DataFrame:
-    """Holdings tied to their record."""
-    return nested.select("record_id", "accession_number", F.inline("holdings"))
+def write_tables(df: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """The record table and all subtype tables under ``folder``, payloads parsed once: what the pass gives is kept there, and each table is cut from it."""
+    session = df.sparkSession
+    records(df).write.mode("overwrite").parquet(f"{folder}/nested")
+    nested = session.read.parquet(f"{folder}/nested")
+    made = {"records": nested.select(*_HEADER)} | {t: subtype(nested, t) for t in TABLES}
+    for name, rows in made.items():
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return {name: session.read.parquet(f"{folder}/{name}") for name in made}
 
 
-def notes(nested: DataFrame) -> DataFrame:
-    """Footnote texts tied to their record."""
-    return nested.select("record_id", "accession_number", F.inline("notes"))
+def attached(nested: DataFrame) -> DataFrame:
+    """A set of (record, transaction, category, footnote id), with ``''`` for a transaction without footnotes: the union of the two transaction subtype tables,
+    taken row by row, so that both come from one pass over the payloads."""
 
+    def side(table: str) -> Column:
+        ids = lambda t: F.when(F.size(t["footnote_ids"]) > 0, t["footnote_ids"]).otherwise(F.array(F.lit("")))
+        return F.transform(table, lambda t: F.struct(t["transaction_index"].alias("transaction_index"), F.lit(table).alias("transaction_category"), ids(t).alias("ids")))
 
-def attached(nested: DataFrame) -> DataFrame:
-    """A set of (record, transaction, category, footnote id), with ``''`` for a transaction without footnotes."""
-    rows = nested.select("record_id", F.explode("transactions").alias("t"))
-    ids = F.when(F.size("t.footnote_ids") > 0, F.col("t.footnote_ids")).otherwise(F.array(F.lit("")))
-    return rows.select("record_id", F.col("t.transaction_index").alias("transaction_index"), F.col("t.transaction_category").alias("transaction_category"), F.explode(ids).alias("footnote_id")).distinct()
+    rows = nested.select("record_id", F.inline(F.concat(side("non_derivative"), side("derivative"))))
+    return rows.select("record_id", F.col("transaction_index").try_cast("int").alias("transaction_index"), "transaction_category", F.explode("ids").alias("footnote_id")).distinct()

@@ -22,15 +22,16 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_records(spark: SparkSession, sf: str) -> DataFrame:
-    """The supertype table: one row per distinct record with its variant and the number of its children."""
+    """The record table: one row per distinct record with its variant and the number of its children."""
     rows = nested.records(_payloads(spark, sf))
-    return rows.select("record_id", "accession_number", "variant", "document_type", K.cik_digits("issuer_cik").alias("issuer_cik"), "owners", F.size("transactions").alias("transactions"), F.size("holdings").alias("holdings"), F.size("notes").alias("notes")).distinct()
+    return rows.select("record_id", "accession_number", "variant", "document_type", K.cik_digits("issuer_cik").alias("issuer_cik"), *[F.size(t).alias(t) for t in nested.TABLES]).distinct()
 
 
 def p1_variants(spark: SparkSession, sf: str) -> DataFrame:
-    """How many transactions each record variant and subtype table holds."""
-    rows = nested.transactions(nested.records(_payloads(spark, sf))).select("record_id", "record_variant", "variant", "position").distinct()
-    return rows.groupBy("record_variant", "variant").agg(F.count("*").alias("transactions"))
+    """How many rows of each subtype table come from each record variant; repeated records count once."""
+    rows = nested.records(_payloads(spark, sf)).select("record_id", "variant", *[F.size(t).alias(t) for t in nested.TABLES]).distinct()
+    told = rows.select("variant", F.inline(F.array(*[F.struct(F.lit(t).alias("subtype"), F.col(t).alias("n")) for t in nested.TABLES])))
+    return told.groupBy("variant", "subtype").agg(F.sum("n").alias("row_count"))
 
 
 # --- 2: history of attributes ------------------------------------------------------------------------------------------------------
