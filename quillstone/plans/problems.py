@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,41 @@ def p1_variants(spark: SparkSession, sf: str) -> DataFrame:
     return told.groupBy("variant", "subtype").agg(F.sum("n").alias("row_count"))
 
 
+# The SQL follows the paths of the layouts that these tables hold; it knows nothing of shapes.
+_P1 = r"""
+WITH raw AS (SELECT DISTINCT record_id, accession_number, try_cast(payload AS JSON) AS j FROM parsed_filing)
+, doc AS (SELECT record_id, accession_number, coalesce(j -> 'ownershipDocument', j -> 'filing', j) AS d FROM raw)
+, part AS (
+  SELECT *, coalesce(d -> '$.nonDerivativeTable.nonDerivativeTransaction', d -> '$.tables.non_derivative.transactions') AS nd, coalesce(d -> '$.derivativeTable.derivativeTransaction', d -> '$.tables.derivative.transactions') AS dv,
+    CASE json_type(d -> 'transactions') WHEN 'VARCHAR' THEN try_cast(d ->> 'transactions' AS JSON) ELSE d -> 'transactions' END AS flat, coalesce(json_type(d -> 'transactions') = 'VARCHAR', false) AS encoded,
+    coalesce(d -> '$.nonDerivativeTable.nonDerivativeHolding', d -> '$.tables.non_derivative.holdings') AS ndh, coalesce(d -> '$.derivativeTable.derivativeHolding', d -> '$.tables.derivative.holdings') AS dvh,
+    coalesce(d -> '$.footnotes.footnote', d -> 'footnotes') AS fn, coalesce(d -> 'owners', d -> 'reportingOwner') AS ow FROM doc
+), lists AS (SELECT *, {many}(nd) AS nds, {many}(dv) AS dvs, {many}(flat) AS flats, {many}(ndh) AS ndhs, {many}(dvh) AS dvhs, {many}(fn) AS fns, {many}(ow) AS ows FROM part)
+, members AS (
+  SELECT record_id, 'non_derivative' AS c, i, nds[i] AS t FROM (SELECT record_id, nds, unnest(range(1, len(nds) + 1)) AS i FROM lists)
+  UNION ALL SELECT record_id, 'derivative', i, dvs[i] FROM (SELECT record_id, dvs, unnest(range(1, len(dvs) + 1)) AS i FROM lists)
+  UNION ALL SELECT record_id, CASE WHEN regexp_replace(lower(flats[i] ->> 'transaction_category'), '[^a-z]', '', 'g') = 'derivative' THEN 'derivative' ELSE 'non_derivative' END, i, flats[i] FROM (SELECT record_id, flats, unnest(range(1, len(flats) + 1)) AS i FROM lists)
+), tx AS (
+  SELECT record_id, c, t, row_number() OVER (PARTITION BY record_id ORDER BY c = 'derivative', i) - 1 AS position FROM members
+), counted AS (
+  SELECT record_id, count(*) FILTER (WHERE c = 'non_derivative') AS n, count(*) FILTER (WHERE c = 'derivative') AS m FROM tx GROUP BY record_id
+), told AS (
+  SELECT l.record_id, accession_number, coalesce(d ->> 'document_type', d ->> 'documentType') AS document_type, nullif(ltrim(coalesce(d ->> '$.issuer.cik', d ->> '$.issuer.issuerCik'), '0'), '') AS issuer_cik,
+    coalesce(n, 0) AS non_derivative, coalesce(m, 0) AS derivative, len(ndhs) AS non_derivative_holdings, len(dvhs) AS derivative_holdings, len(ows) AS owners, len(fns) AS notes,
+    CASE WHEN coalesce(n, 0) + coalesce(m, 0) + len(ndhs) + len(dvhs) = 0 THEN 'header_only' WHEN len(flats) > 0 AND encoded THEN 'encoded_rows' WHEN len(flats) > 0 THEN 'rows' ELSE 'tables' END AS variant
+  FROM lists l LEFT JOIN counted USING (record_id)
+)
+"""
+_MANY = "list_filter(CASE json_type(@) WHEN 'ARRAY' THEN json_extract(@, '$[*]') WHEN 'OBJECT' THEN [@] ELSE [] END, lambda x: json_type(x) = 'OBJECT' AND x::VARCHAR <> '{}')"
+_P1 = re.sub(r"\{many\}\((\w+)\)", lambda m: _MANY.replace("@", m[1]), _P1)
+P1_FOUND = _P1 + r"""
+, refs AS (SELECT record_id, position, unnest(regexp_split_to_array(r.atom ->> '$', '[\s,;]+')) AS footnote_id FROM tx, json_tree(tx.t) AS r WHERE r.type = 'VARCHAR' AND regexp_matches(r.fullkey, '(?i)footnote_?ids?"?(\[[0-9]+\])*(\.id)?$'))
+SELECT DISTINCT tx.record_id, coalesce(try_cast(t ->> 'transaction_index' AS INTEGER), tx.position)::INTEGER AS transaction_index, c AS transaction_category, coalesce(footnote_id, '') AS footnote_id
+FROM tx LEFT JOIN (SELECT * FROM refs WHERE footnote_id <> '') f ON f.record_id = tx.record_id AND f.position = tx.position
+"""
+P1_RECORDS = _P1 + "SELECT * FROM told"
+P1_VARIANTS = _P1 + "SELECT variant, subtype, sum(n)::BIGINT AS row_count FROM (SELECT variant, unnest(['non_derivative', 'derivative', 'non_derivative_holdings', 'derivative_holdings', 'owners', 'notes']) AS subtype, unnest([non_derivative, derivative, non_derivative_holdings, derivative_holdings, owners, notes]) AS n FROM told) GROUP BY ALL"
+
 # --- 2: history of attributes ------------------------------------------------------------------------------------------------------
 
 
@@ -292,4 +329,4 @@ P7_FOUND = "SELECT DISTINCT * FROM (" + _P7.replace("{value}", "") + ")"
 P7_VALUES = "SELECT DISTINCT * FROM (" + _P7.replace("{value}", ", value") + ")"
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_variants, p2_found, p2_history, p3_found, p3_screen_loaded, p3_filings_loaded, p3_reasons, p4_found, p4_rolling, p5_found, p5_flags, p6_found, p6_changes, p7_found, p7_values)}
-SQL = {"p2_found": P2_FOUND, "p2_history": P2_HISTORY, "p3_found": P3_FOUND, "p3_screen_loaded": P3_SCREEN_LOADED, "p3_filings_loaded": P3_FILINGS_LOADED, "p3_reasons": P3_REASONS, "p4_found": P4_FOUND, "p4_rolling": P4_ROLLING, "p6_found": P6_FOUND, "p6_changes": P6_CHANGES, "p7_found": P7_FOUND, "p7_values": P7_VALUES}
+SQL = {"p1_found": P1_FOUND, "p1_records": P1_RECORDS, "p1_variants": P1_VARIANTS, "p2_found": P2_FOUND, "p2_history": P2_HISTORY, "p3_found": P3_FOUND, "p3_screen_loaded": P3_SCREEN_LOADED, "p3_filings_loaded": P3_FILINGS_LOADED, "p3_reasons": P3_REASONS, "p4_found": P4_FOUND, "p4_rolling": P4_ROLLING, "p6_found": P6_FOUND, "p6_changes": P6_CHANGES, "p7_found": P7_FOUND, "p7_values": P7_VALUES}
