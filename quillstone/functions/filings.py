@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ SUBMISSIONS = "https://data.sec.gov/submissions/CIK"
 FORMS = ("4", "4/A")
 #: Version prefix of a text's content hash.
 TEXT_VERSION = "1"
+#: The SHA-256 of no bytes, which stands for a document that was never fetched.
+EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+#: What makes a first token of a screen line a ticker, and links that point to ownership documents or to rendered copies of them.
+TICKER = r"^[A-Z][A-Z0-9.\-]{0,9}$"
+LINK = r'(?i)href="([^"]+\.xml)"'
+RENDERED, BEST_NAMES, NEXT_NAMES = r"(?i)xslf345x|/xslf345", r"(?i)form_?4|ownership", r"(?i)doc4"
+#: The search page for filings without a cik.
+SEARCH = "/cgi-bin/browse-edgar?action=getcompany&CIK=&type=4&dateb=&owner=include&count=40&search_text="
 
 
 def _c(c: Column | str) -> Column:
@@ -65,7 +75,7 @@ def document_of_path(path: Column | str) -> Column:
 
 def probable_ticker(c: Column | str) -> Column:
     """A letter, then up to nine letters, digits, dots or dashes; case and white space around it aside."""
-    return F.coalesce(F.upper(strip(c)).rlike(r"^[A-Z][A-Z0-9.\-]{0,9}$"), F.lit(False))
+    return F.coalesce(F.upper(strip(c)).rlike(TICKER), F.lit(False))
 
 
 def ticker_list(c: Column | str) -> Column:
@@ -94,7 +104,7 @@ def filing_index_url(cik: Column | str, accession: Column | str) -> Column:
     """Index page of a filing; a search page where there is no cik; null without accession."""
     acc = blank_to_null(accession)
     digits = F.nullif(F.regexp_replace(_c(cik), "[^0-9]", ""), F.lit(""))
-    search = F.concat(F.lit(f"{ARCHIVE}/cgi-bin/browse-edgar?action=getcompany&CIK=&type=4&dateb=&owner=include&count=40&search_text="), acc)
+    search = F.concat(F.lit(ARCHIVE + SEARCH), acc)
     page = F.concat(F.lit(f"{ARCHIVE}/Archives/edgar/data/"), cik_segment(digits), F.lit("/"), accession_plain(acc), F.lit("/"), acc, F.lit("-index.htm"))
     return F.when(digits.isNotNull(), page).otherwise(search)
 
@@ -132,26 +142,34 @@ def ownership_phrase(c: Column | str) -> Column:
     return F.when(_c(c) == "", None).when(low.isin("d", "direct"), "direct ownership").when(low.isin("i", "indirect"), "indirect ownership").otherwise(F.concat(F.lit("ownership: "), _c(c)))
 
 
+#: The sentences of a narrative; braces stand for what is filled in.
+NO_DATE, NO_PERSON, NO_COMPANY = "an undisclosed date", "an insider", "the issuer"
+BOTH = (" Amount: ", " shares at $", " per share.", " Total value about $")
+ONLY_SHARES, ONLY_PRICE = (" Share amount: ", "; price per share not reported."), (" Price per share: $", "; share amount not reported.")
+NEITHER = " Share amount and price were not reported as scalars."
+AMENDMENT, DOCUMENT = " Filing is a Form 4/A amendment.", " Document type: "
+
+
 def narrative() -> Column:
     """One sentence or more about a transaction joined with its filing; missing numbers are named as missing, never made up."""
     some = lambda c: F.coalesce(c, F.lit(""))
-    person = strip(F.coalesce(F.nullif(F.col("insider_name"), F.lit("")), F.lit("an insider")))
-    company = strip(F.coalesce(F.nullif(F.col("issuer_name"), F.lit("")), F.lit("the issuer")))
+    person = strip(F.coalesce(F.nullif(F.col("insider_name"), F.lit("")), F.lit(NO_PERSON)))
+    company = strip(F.coalesce(F.nullif(F.col("issuer_name"), F.lit("")), F.lit(NO_COMPANY)))
     ticker, title, document = (some(strip(c)) for c in ("issuer_ticker", "insider_title", "document_type"))
-    when = F.coalesce(F.date_format("transaction_date", "yyyy-MM-dd"), F.lit("an undisclosed date"))
+    when = F.coalesce(F.date_format("transaction_date", "yyyy-MM-dd"), F.lit(NO_DATE))
     shares, price, total = (number_text(c) for c in ("shares", "price_per_share", "total_value"))
     amounts = (
-        F.when(shares.isNotNull() & price.isNotNull(), F.concat(F.lit(" Amount: "), shares, F.lit(" shares at $"), price, F.lit(" per share."), some(F.concat(F.lit(" Total value about $"), total, F.lit(".")))))
-        .when(shares.isNotNull(), F.concat(F.lit(" Share amount: "), shares, F.lit("; price per share not reported.")))
-        .when(price.isNotNull(), F.concat(F.lit(" Price per share: $"), price, F.lit("; share amount not reported.")))
-        .otherwise(" Share amount and price were not reported as scalars.")
+        F.when(shares.isNotNull() & price.isNotNull(), F.concat(F.lit(BOTH[0]), shares, F.lit(BOTH[1]), price, F.lit(BOTH[2]), some(F.concat(F.lit(BOTH[3]), total, F.lit(".")))))
+        .when(shares.isNotNull(), F.concat(F.lit(ONLY_SHARES[0]), shares, F.lit(ONLY_SHARES[1])))
+        .when(price.isNotNull(), F.concat(F.lit(ONLY_PRICE[0]), price, F.lit(ONLY_PRICE[1])))
+        .otherwise(NEITHER)
     )
     whole = F.concat(
         F.lit("On "), when, F.lit(", "), person, F.when(title != "", F.concat(F.lit(", "), title, F.lit(","))).otherwise(""),
         F.lit(" at "), company, F.when(ticker != "", F.concat(F.lit(" ("), ticker, F.lit(")"))).otherwise(""),
         F.lit(" reported a "), action_phrase("transaction_code", "acquired_disposed_code"), F.when(some(strip("transaction_category")) == "derivative", " (derivative)").otherwise(""), F.lit("."),
         amounts, some(F.concat(F.lit(" "), ownership_phrase("direct_indirect"), F.lit("."))),
-        F.when(F.col("is_amendment"), " Filing is a Form 4/A amendment.").when(document != "", F.concat(F.lit(" Document type: "), document, F.lit("."))).otherwise(""),
+        F.when(F.col("is_amendment"), AMENDMENT).when(document != "", F.concat(F.lit(DOCUMENT), document, F.lit("."))).otherwise(""),
     )
     return strip(F.replace(whole, F.lit("  "), F.lit(" ")))
 
@@ -161,6 +179,18 @@ def content_hash(text: Column | str) -> Column:
     return F.sha2(F.concat(F.lit(f"{TEXT_VERSION}\n"), _c(text)), 256)
 
 
+def content_sha(c: Column | str) -> Column:
+    """SHA-256 of bytes, null for none."""
+    return F.sha2(_c(c).cast("binary"), 256)
+
+
+def cik_list(value: str | list[str] | None) -> list[str]:
+    """Ciks of a parameter that is a list or text separated by commas or white space, ten digits each, first occurrences in order."""
+    parts = re.split(r"[,\s]+", value) if isinstance(value, str) else value or []
+    digits = ("".join(c for c in str(p) if c.isdigit()) for p in parts)
+    return list(dict.fromkeys(d.zfill(10)[:10] for d in digits if d))
+
+
 def total_value(category: Column | str, shares: Column | str, price: Column | str, footnotes: Column | str) -> Column:
     """Shares times price of a non-derivative transaction without footnotes, to four places; null on overflow."""
     a, b = _c(shares).cast("decimal(28,8)"), _c(price).cast("decimal(28,8)")
@@ -195,12 +225,12 @@ def looks_like_html(c: Column | str) -> Column:
 def pick_href(html: Column | str) -> Column:
     """The ownership document among a page's links to ``.xml``: rendered copies only if there is nothing else, then by name, then the shortest, then the
     first; absolute."""
-    found = F.regexp_extract_all(_c(html), F.lit(r'(?i)href="([^"]+\.xml)"'), F.lit(1))
+    found = F.regexp_extract_all(_c(html), F.lit(LINK), F.lit(1))
     ranked = F.transform(
         found,
         lambda h, i: F.struct(
-            h.rlike("(?i)xslf345x|/xslf345").cast("int").alias("rendered"),
-            F.when(h.rlike("(?i)xslf345x|/xslf345"), 0).when(h.rlike("(?i)form_?4|ownership"), -3).when(h.rlike("(?i)doc4"), -2).otherwise(0).alias("rank"),
+            h.rlike(RENDERED).cast("int").alias("rendered"),
+            F.when(h.rlike(RENDERED), 0).when(h.rlike(BEST_NAMES), -3).when(h.rlike(NEXT_NAMES), -2).otherwise(0).alias("rank"),
             F.length(h).alias("size"), i.alias("at"), h.alias("href"),
         ),
     )
@@ -251,7 +281,7 @@ def known_metadata(m: Column | str) -> Column:
 
 def content_path(prefix: str, accession: Column | str, sha: Column | str) -> Column:
     """Object path of a raw document, addressed by its content."""
-    return F.concat_ws("/", F.lit(prefix.rstrip("/")), _c(accession), F.concat(_c(sha), F.lit(".xml")))
+    return F.concat_ws("/", F.lit(prefix.rstrip("/") or None), _c(accession), F.concat(_c(sha), F.lit(".xml")))
 
 
 def session_dates(single: str | None, several: str | None) -> list[str]:

@@ -1,45 +1,64 @@
 """Vectors of texts by pluggable providers, incremental sync by content hash, and filtered retrieval.
 
-A provider turns a list of texts into vectors; it is made once per worker process and called on batches of bounded size. Only texts whose state is missing, not ok
+A provider turns a list of texts into vectors, told whether they are documents or a query, which some embed differently; it is made once per worker process and called on batches of bounded size. Only texts whose state is missing, not ok
 or of another hash are embedded. A failing batch gives rows with status ``error``; it never fails the job nor touches a vector that is in use.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
 from quillstone.operators import knn, merge
 from quillstone.session import shared_folder
+from quillstone.sources.versions import Versions
 
 BATCH = 32
 MAX_BATCH = 256
 MESSAGE = 2_000
 RESULTS = (1, 6, 20)
+#: Words whose place a provider remembers; only speed depends on it.
+WORDS = 1 << 18
+_WORD = re.compile(r"\w+")
 
 
 class Hashing:
-    """Words hashed into signed dimensions, unit length; a deterministic provider without weights."""
+    """Words counted into hashed, signed dimensions; a deterministic provider without weights. Counts stay whole, so that what is computed from them is exact;
+    search does not heed length. Texts and questions are embedded alike."""
 
     def __init__(self, dimensions: int = 384):
         self.dimensions = dimensions
-
-    def embed(self, texts: Sequence[str]) -> list[list[float]]:
+        self.known: dict[str, tuple[int, int]] = {}
+
+    def place(self, word: str) -> tuple[int, int]:
+        """Dimension and sign of a word: the first 32 bits of its MD5."""
+        h = int.from_bytes(hashlib.md5(word.encode(), usedforsecurity=False).digest()[:4], "big")
+        return (h >> 1) % self.dimensions, 1 if h & 1 else -1
+
+    def embed(self, texts: Sequence[str], kind: str = "document") -> list[list[float]]:  # noqa: ARG002 - one space for both kinds
+        if len(self.known) > WORDS:
+            self.known.clear()
+        rows, at, signs = [], [], []
+        for i, text in enumerate(texts):
+            for word in _WORD.findall(text.lower()):
+                seen = self.known.get(word)
+                if seen is None:
+                    seen = self.known[word] = self.place(word)
+                rows.append(i)
+                at.append(seen[0])
+                signs.append(seen[1])
         out = np.zeros((len(texts), self.dimensions), dtype=np.float32)
-        for row, text in zip(out, texts, strict=True):
-            for word in re.findall(r"\w+", text.lower()):
-                h = zlib.crc32(word.encode())
-                row[(h >> 1) % self.dimensions] += 1 if h & 1 else -1
-        norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
-        return (out / np.where(norm > 0, norm, 1)).tolist()
+        np.add.at(out, (rows, at), signs)
+        return out.tolist()
 
 
 @dataclass(frozen=True)
@@ -76,7 +95,7 @@ def embed(chunks: DataFrame, model: Model, batch: int | None = None, keep: Seque
                 if there:
                     try:
                         provider = provider or make()
-                        for i, v in zip(there, provider.embed([texts[i] for i in there]), strict=True):
+                        for i, v in zip(there, provider.embed([texts[i] for i in there], "document"), strict=True):
                             vectors[i] = v if len(v) == width else None
                     except Exception as e:  # noqa: BLE001 - a provider may raise anything; the rows say what
                         error = f"{type(e).__name__}: {e}"[:MESSAGE]
@@ -88,17 +107,46 @@ def embed(chunks: DataFrame, model: Model, batch: int | None = None, keep: Seque
     return rows.mapInArrow(run, "chunk_id string, content_hash string, embedding array<float>, status string, error_message string" + "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in kept))
 
 
-def sync(chunks: DataFrame, state: DataFrame, vectors: DataFrame, model: Model, batch: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """New state (chunk_id, content_hash, status, error_message) and new vectors (chunk_id, embedding) after embedding what is pending.
+def sync(chunks: DataFrame, state: DataFrame, vectors: DataFrame, model: Model, now: Column, batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """New state (chunk_id, content_hash, status, error_message, embedded_at, updated_at) and new vectors (chunk_id, embedding) after embedding what is pending.
 
-    The embedded rows serve both results; they are written to the shared checkpoint folder, so that no text is embedded twice."""
+    ``embedded_at`` is the time of the last try if it went well, and null if it did not. The embedded rows serve both results; they are written to the
+    shared checkpoint folder, so that no text is embedded twice."""
     shared_folder(chunks.sparkSession)
     done = embed(merge.pending(chunks, state, ["chunk_id"]).filter("pending"), model, batch).checkpoint()
-    new_state = merge.upsert(state.select("chunk_id", "content_hash", "status", "error_message"), done.drop("embedding"), ["chunk_id"])
+    at = now.cast("timestamp_ntz")
+    tried = done.drop("embedding").withColumns({"embedded_at": F.when(F.col("status") == "ok", at), "updated_at": at})
+    new_state = merge.upsert(state.select("chunk_id", "content_hash", "status", "error_message", "embedded_at", "updated_at"), tried, ["chunk_id"])
     new_vectors = merge.upsert(vectors.select("chunk_id", "embedding"), done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"])
     return new_state, new_vectors
 
 
+STATE = "chunk_id string, content_hash string, status string, error_message string, embedded_at timestamp_ntz, updated_at timestamp_ntz"
+VECTORS = "chunk_id string, embedding array<float>"
+
+
+class VectorIndex:
+    """State and vectors of one model as versioned tables on shared storage. A question reads the vectors that are there; only ``sync`` reads texts."""
+
+    def __init__(self, spark: SparkSession, folder: str, model: Model):
+        self.spark, self.model = spark, model
+        self.states, self.kept = Versions(spark, f"{folder}/state"), Versions(spark, f"{folder}/vectors")
+
+    def _or_empty(self, table: Versions, schema: str) -> DataFrame:
+        found = table.read()
+        return self.spark.createDataFrame([], schema) if found is None else found
+
+    def sync(self, chunks: DataFrame, now: Column, batch: int | None = None) -> DataFrame:
+        """Embeds what is pending and publishes vectors before the state that tells of them; a job that dies in between embeds these again. Returns the state."""
+        state, vectors = sync(chunks, self._or_empty(self.states, STATE), self._or_empty(self.kept, VECTORS), self.model, now, batch)
+        self.kept.use(self.kept.write(vectors))
+        self.states.use(self.states.write(state))
+        return self.states.read()
+
+    def vectors(self) -> DataFrame:
+        return self._or_empty(self.kept, VECTORS)
+
+
 def where(df: DataFrame, ticker: str | None = None, side: str | None = None, group: str | None = None) -> DataFrame:
     """Rows of a ticker (upper case), a side (P and A are acquired, S and D disposed, others no filter) and a group (high or low, others no filter)."""
     if ticker and ticker.strip():
@@ -114,16 +162,47 @@ def where(df: DataFrame, ticker: str | None = None, side: str | None = None, gro
 def retrieve(vectors: DataFrame, question: str, model: Model, k: int | None = None, **filters: str | None) -> DataFrame:
     """The chunks nearest to a question, filtered first, with distance and the address of their filing."""
     low, usual, high = RESULTS
-    query = model.make().embed([question])[0]
+    query = model.make().embed([question], "query")[0]
     found = knn.nearest(where(vectors, **filters), "chunk_id", "embedding", query, usual if k is None else max(low, min(high, k)))
     return found.withColumn("url", X.filing_index_url("issuer_cik", "accession_number"))
 
 
-def answer(found: DataFrame, question: str, history: Sequence[tuple[str, str]], llm: Callable[[list[dict]], str], tail: int = 6) -> str:
-    """Asks a chat model with the retrieved chunks, at most 20 rows, and the last turns; a fixed reply if nothing was found."""
-    rows = found.select("accession_number", "transaction_index", "issuer_ticker", "transaction_code", "acquired_disposed_code", "url", "text").limit(RESULTS[2]).collect()
-    if not rows:
-        return "No matching filings were found for these filters."
-    parts = [f"[{i}] accession={r[0]} txn_index={r[1]} ticker={r[2]} code={r[3]} A/D={r[4]}" + (f"\nURL: {r[5]}" if r[5] else "") + f"\n{r[6]}" for i, r in enumerate(rows, 1)]
+#: Questions that retrieval is looked at with.
+QUESTIONS = ("chief executive buys in the open market", "sale of shares by an insider", "amended filing", "director exercises options")
+
+
+def evaluate(indexes: dict[str, tuple[DataFrame, Model]], questions: Sequence[str] = QUESTIONS, k: int = 3) -> DataFrame:
+    """(model_id, question, rank, chunk_id, distance): the ``k`` nearest chunks to each question in each model's vectors. Questions and models are few."""
+    out = []
+    for name, (vectors, model) in indexes.items():
+        for question in questions:
+            found = knn.nearest(vectors.select("chunk_id", "embedding"), "chunk_id", "embedding", model.make().embed([question], "query")[0], k)
+            place = F.row_number().over(Window.orderBy("distance", "chunk_id"))  # of k rows
+            out.append(found.select(F.lit(name).alias("model_id"), F.lit(question).alias("question"), place.alias("rank"), "chunk_id", "distance"))
+    return reduce(DataFrame.unionByName, out)
+
+
+#: The reply where nothing was found, the line that names the filters, and the heading of an excerpt.
+NOTHING = "I could not find matching Form 4 transactions for that question with the current filters. Try clearing the ticker filter or broadening the question."
+FILTERS = "Filters: ticker={ticker}, side={side}, universe_group={group}"
+HEADING = "[{i}] accession={accession_number} txn_index={transaction_index} ticker={issuer_ticker} code={transaction_code} A/D={acquired_disposed_code}"
+SYSTEM = "You answer questions about insider filings from the excerpts given and from nothing else. Name the accession number of each fact in parentheses. Say so if the excerpts do not suffice. Keep filing dates and transaction dates apart. Give no advice on investing."
+
+
+def prompt(rows: Sequence[Row], question: str, history: Sequence[tuple[str, str]], ticker: str | None = None, side: str | None = None, group: str | None = None, tail: int = 6, system: str = SYSTEM) -> list[dict[str, str]]:
+    """Messages for a chat model: the system's, the last turns, and the question under the filters and the excerpts."""
+    parts = []
+    for i, r in enumerate(rows, 1):
+        fields = r.asDict()
+        parts.append(HEADING.format(i=i, **fields) + (f"\nURL: {fields['url']}" if fields["url"] else "") + f"\n{fields['text']}")
+    named = FILTERS.format(ticker=ticker or "any", side=side or "any", group=group or "any")
+    asked = f"{named}\n\nRetrieved excerpts:\n" + "\n\n".join(parts) + f"\n\nQuestion: {question}"
     turns = [{"role": role, "content": text} for role, text in list(history)[-tail:]]
-    return llm([*turns, {"role": "user", "content": "Excerpts:\n\n" + "\n\n".join(parts) + f"\n\nQuestion: {question}"}])
+    return [{"role": "system", "content": system}, *turns, {"role": "user", "content": asked}]
+
+
+def answer(found: DataFrame, question: str, history: Sequence[tuple[str, str]], llm: Callable[[list[dict]], str], **filters: str | None) -> str:
+    """Asks a chat model with the retrieved chunks, at most 20 rows, and the last turns; a fixed reply if nothing was found. ``filters`` are those of ``where``."""
+    columns = ("accession_number", "transaction_index", "issuer_ticker", "transaction_code", "acquired_disposed_code", "url", "text")
+    rows = found.select(*columns).limit(RESULTS[2]).collect()
+    return llm(prompt(rows, question, history, **filters)) if rows else NOTHING

@@ -1,15 +1,16 @@
 """Exact cosine neighbours: one query, or a stated query set against all rows in blocks.
 
-A query set is cut into blocks, and so are the rows; each pair of blocks meets in one task as two matrices, and only the best ``k`` per query and block
-go on. No task and no broadcast holds more than a block, whatever the size of either side; all rows are compared.
+A query set is cut into blocks of bounded size, which are sent to the rows one at a time; block and rows meet as two matrices where the rows lie, and only the
+best ``k`` per query and batch of rows go on. All rows are compared.
 
-Defined results: vectors that are null, empty, of another length than the block's first query, without length (norm 0) or with null parts have no distance
+Defined results: vectors that are null, empty, of another length than the first query of a block, without length (norm 0) or with null parts have no distance
 and are no neighbours; ties go to the lesser id; a query is not its own neighbour.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-QUERY_BLOCK = 2_048
-ROW_BLOCK = 65_536
+QUERY_BLOCK = 8_192
 
 
 def _distances(column: pa.Array, query: np.ndarray) -> np.ndarray:
@@ -47,7 +47,7 @@ def nearest(df: DataFrame, id_column: str, vector: str, query: Sequence[float],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limit = np.inf
         for batch in batches:
-            d = _distances(batch.column(vector), unit)
+            d = np.round(_distances(batch.column(vector), unit), 9)  # so that ties are ties
             near = d[~np.isnan(d)]
             if len(near) >= k:
                 limit = min(limit, np.partition(near, k - 1)[k - 1])
@@ -60,50 +60,68 @@ def nearest(df: DataFrame, id_column: str, vector: str, query: Sequence[float],
     return source.mapInArrow(run, schema).orderBy("distance", id_column).limit(k)
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids, rows = [], []
-    for i, v in zip(table.column("id").to_pylist(), table.column("v").to_pylist(), strict=True):
-        if v and all(x is not None for x in v):
-            ids.append(i)
-            rows.append(v)
-    width = len(rows[0]) if rows else 0
-    keep = [j for j, v in enumerate(rows) if len(v) == width]
-    m = np.array([rows[j] for j in keep], dtype=np.float64).reshape(len(keep), width)
+def _matrix(ids: pa.Array, vectors: pa.Array, width: int | None) -> tuple[np.ndarray, np.ndarray, int | None]:
+    """Ids and unit vectors of the rows that have one of the width, in order of id; the width of the first vector if none is given."""
+    lengths = pc.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False)
+    if width is None:
+        some = lengths[lengths > 0]
+        width = int(some[0]) if len(some) else None
+    fit = np.flatnonzero((lengths == width) & ids.is_valid().to_numpy(zero_copy_only=False)) if width else np.zeros(0, np.int64)
+    if len(fit) == 0:
+        return np.zeros(0, np.int64), np.zeros((0, width or 0)), width
+    m = vectors.take(pa.array(fit)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(fit), width)
     norm = np.sqrt((m * m).sum(axis=1))
-    good = norm > 0
-    return np.array(ids, dtype=np.int64)[keep][good] if keep else np.zeros(0, np.int64), m[good] / norm[good][:, None]
+    good = np.flatnonzero(norm > 0)  # null parts make the norm NaN
+    own = ids.take(pa.array(fit[good])).to_numpy(zero_copy_only=False)
+    order = np.argsort(own, kind="stable")
+    return own[order], (m[good] / norm[good][:, None])[order], width
 
 
-def _meet(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
-    qi, q = _matrix(queries)
-    ri, r = _matrix(rows)
+def _best(qi: np.ndarray, q: np.ndarray, ri: np.ndarray, r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query ids, neighbour ids and distances of the ``k`` best rows for each query, of equal distances those with the lesser id; rows are in order of id."""
     out_q, out_r, out_d = [], [], []
-    if len(qi) and len(ri) and q.shape[1] == r.shape[1]:
-        order = np.argsort(ri, kind="stable")
-        ri, r = ri[order], r[order]
-        for at in range(0, len(qi), 256):
-            d = np.round(1 - q[at : at + 256] @ r.T, 9)
-            d[qi[at : at + 256][:, None] == ri[None, :]] = np.inf
-            for j in range(len(d)):
-                limit = np.partition(d[j], k - 1)[k - 1] if len(ri) > k else np.inf
-                near = np.flatnonzero(d[j] <= limit)
-                near = near[np.isfinite(d[j][near])]
-                near = near[np.argsort(d[j][near], kind="stable")][:k]
-                out_q.append(np.full(len(near), qi[at + j]))
-                out_r.append(ri[near])
-                out_d.append(d[j][near])
-    join = lambda p, t: pa.array(np.concatenate(p).astype(t) if p else np.zeros(0, t))
-    return pa.table({"query_id": join(out_q, np.int64), "neighbour_id": join(out_r, np.int64), "distance": join(out_d, np.float64)})
-
-
-def nearest_of_each(queries: DataFrame, rows: DataFrame, id_column: str, vector: str, k: int, n_queries: int, n_rows: int) -> DataFrame:
-    """(query_id, neighbour_id, distance, rank) for each query. ``n_queries`` and ``n_rows`` are about how many there are; they only set the blocks."""
-    q_blocks, r_blocks = max(1, -(-n_queries // QUERY_BLOCK)), max(1, -(-n_rows // ROW_BLOCK))
-    mine = F.pmod(F.xxhash64(id_column), F.lit(q_blocks)).cast("int")
-    theirs = F.pmod(F.xxhash64(id_column), F.lit(r_blocks)).cast("int")
-    shape = [F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")]
-    q = queries.select(mine.alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))).alias("rb"), *shape)
-    r = rows.select(F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"), theirs.alias("rb"), *shape)
-    partial = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInArrow(lambda a, b: _meet(a, b, k), "query_id bigint, neighbour_id bigint, distance double")
-    best = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")  # at most k rows per row block
-    return partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    for at in range(0, len(qi), 256):
+        d = np.round(1 - q[at : at + 256] @ r.T, 9)
+        d[qi[at : at + 256][:, None] == ri[None, :]] = np.inf
+        for j in range(len(d)):
+            limit = np.partition(d[j], k - 1)[k - 1] if len(ri) > k else np.inf
+            near = np.flatnonzero(d[j] <= limit)
+            near = near[np.isfinite(d[j][near])]
+            near = near[np.argsort(d[j][near], kind="stable")][:k]
+            out_q.append(np.full(len(near), qi[at + j]))
+            out_r.append(ri[near])
+            out_d.append(d[j][near])
+    join = lambda p, t: np.concatenate(p).astype(t) if p else np.zeros(0, t)
+    return join(out_q, np.int64), join(out_r, np.int64), join(out_d, np.float64)
+
+
+def nearest_of_each(queries: DataFrame, rows: DataFrame, id_column: str, vector: str, k: int) -> DataFrame:
+    """(query_id, neighbour_id, distance, rank) for each query. A block of queries at a time is sent to all tasks, which hold their own rows against it where these
+    lie: rows are never moved or copied, and what is sent has ``QUERY_BLOCK`` vectors at most, however many queries there are."""
+    context = rows.sparkSession.sparkContext
+    mine = queries.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("id is not null and v is not null")
+    n = mine.count()
+    blocks = max(1, -(-n // QUERY_BLOCK))
+    theirs = rows.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    parts = []
+    for b in range(blocks):
+        block = mine if blocks == 1 else mine.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
+        table = block.toArrow()  # about QUERY_BLOCK rows
+        qi, q, width = _matrix(table.column("id").combine_chunks(), table.column("v").combine_chunks(), None)
+        if len(qi) == 0:
+            continue
+        sent = context.broadcast((qi, q, width))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own_i, own_q, own_width = sent.value
+            for batch in batches:
+                ri, r, _ = _matrix(batch.column("id"), batch.column("v"), own_width)
+                if len(ri):
+                    columns = _best(own_i, own_q, ri, r, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "neighbour_id", "distance"])
+
+        parts.append(theirs.mapInArrow(run, "query_id bigint, neighbour_id bigint, distance double"))
+    if not parts:
+        return rows.sparkSession.createDataFrame([], "query_id bigint, neighbour_id bigint, distance double, rank int")
+    best = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")  # at most k rows per batch of rows; the engine keeps the best k before it shuffles
+    return reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -9,6 +9,10 @@ from quillstone.functions import filings as X
 from quillstone.functions import keys as K
 
 
+#: Characters of a dead letter's message that are kept.
+MESSAGE = 500
+
+
 def members(df: DataFrame) -> DataFrame:
     """Distinct (trading_date, ticker, universe_group, cik) in normal form."""
     return df.select("trading_date", K.ticker("ticker").alias("ticker"), K.group_name("universe_group").alias("universe_group"), "cik").distinct()
@@ -37,13 +41,21 @@ def entrants(df: DataFrame) -> DataFrame:
 
 
 def in_scope(filings: DataFrame, universe: DataFrame) -> DataFrame:
-    """Filings whose cik or ticker the universe has: two equi semi-joins instead of one with OR, which would be a nested loop."""
-    ciks = universe.select(F.col("cik").alias("__cik")).filter("__cik is not null").distinct()
-    tickers = universe.select(F.upper(F.trim("ticker")).alias("__ticker")).filter("__ticker is not null").distinct()
+    """Filings whose cik or ticker the universe has: a flag from each of two equi-joins and one filter, instead of a join with OR, which would be a nested
+    loop. Filings are read once."""
+    ciks = universe.select(F.col("cik").alias("__cik")).filter("__cik is not null").distinct().withColumn("__by_cik", F.lit(True))
+    tickers = universe.select(F.upper(F.trim("ticker")).alias("__ticker")).filter("__ticker is not null").distinct().withColumn("__by_ticker", F.lit(True))
     flagged = filings.withColumn("__ticker", F.upper(F.trim(F.coalesce("issuer_ticker", F.lit(""))))).withColumn("__cik", F.col("issuer_cik"))
-    by_cik = flagged.join(ciks, "__cik", "left_semi")
-    by_ticker = flagged.join(ciks, "__cik", "left_anti").join(tickers, "__ticker", "left_semi")
-    return by_cik.select(*flagged.columns).unionByName(by_ticker.select(*flagged.columns)).drop("__cik", "__ticker")
+    both = flagged.join(ciks, "__cik", "left").join(tickers, "__ticker", "left").filter("__by_cik or __by_ticker")
+    return both.select(*filings.columns)
+
+
+def session_tickers(df: DataFrame, day: str | None = None, group: str | None = None) -> DataFrame:
+    """(ticker, universe_group) of a session, the last one if no day is given, in order of ticker, or of group and ticker where no group is asked."""
+    wanted = F.lit(day).cast("date") if day else df.agg(F.max("trading_date").alias("d")).select("d").scalar()
+    rows = df.filter(F.col("trading_date") == wanted).select("ticker", "universe_group").distinct()
+    name = (group or "").strip().lower()
+    return rows.filter(F.col("universe_group") == name).orderBy("ticker") if name else rows.orderBy("universe_group", "ticker")
 
 
 def lookup_cik(tickers: DataFrame, ciks: DataFrame) -> DataFrame:
@@ -89,4 +101,4 @@ def calendar(plan: DataFrame) -> DataFrame:
 
 def dead_letters(df: DataFrame, stage: str, kind, message, payload_columns: list[str], created_at) -> DataFrame:
     """Rows of a dead-letter table: (id, accession_number, stage, error_type, message, payload, created_at); messages are cut at 500 characters as stored."""
-    return df.select(F.expr("uuid()").alias("id"), "accession_number", F.lit(stage).alias("stage"), kind.alias("error_type"), F.left(message, F.lit(500)).alias("message"), F.to_json(F.struct(*payload_columns)).alias("payload"), created_at.alias("created_at"))
+    return df.select(F.expr("uuid()").alias("id"), "accession_number", F.lit(stage).alias("stage"), kind.alias("error_type"), F.left(message, F.lit(MESSAGE)).alias("message"), F.to_json(F.struct(*payload_columns)).alias("payload"), created_at.alias("created_at"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
 from quillstone.functions import keys as K
-from quillstone.operators import knn, market, merge, parsefail, universe
+from quillstone.operators import embed, knn, market, merge, parsefail, universe
+from quillstone.session import scratch
 from quillstone.sources import landed
 from quillstone.sources.tables import table
 
@@ -160,11 +161,18 @@ def recent_sessions(spark, sf):
     return table(spark, sf, "universe_snapshot").select("trading_date").distinct().orderBy(F.desc("trading_date")).limit(30).select(K.iso("trading_date").alias("trading_date"))
 
 
-@query(_BASE + "SELECT strftime(trading_date, '%Y-%m-%d') AS trading_date, universe_group, string_agg(DISTINCT ticker, ',' ORDER BY ticker) AS tickers, count(DISTINCT ticker) AS n FROM uni GROUP BY ALL")
+@query(_BASE + "SELECT DISTINCT strftime(trading_date, '%Y-%m-%d') AS trading_date, universe_group, ticker, dense_rank() OVER (PARTITION BY trading_date, universe_group ORDER BY ticker)::INTEGER AS place FROM uni")
 def tickers_by_session(spark, sf):
-    """Sorted tickers of each list."""
-    g = _universe(spark, sf).groupBy("trading_date", "universe_group").agg(F.array_sort(F.collect_set("ticker")).alias("t"))
-    return g.select(K.iso("trading_date").alias("trading_date"), "universe_group", F.array_join("t", ",").alias("tickers"), F.size("t").cast("bigint").alias("n"))
+    """The tickers of each list in order, a row each; an array would grow with the universe."""
+    rows = _universe(spark, sf).select("trading_date", "universe_group", "ticker").distinct()
+    place = F.row_number().over(Window.partitionBy("trading_date", "universe_group").orderBy("ticker"))
+    return rows.select(K.iso("trading_date").alias("trading_date"), "universe_group", "ticker", place.alias("place"))
+
+
+@query(_BASE + "SELECT ticker, min(universe_group) AS first_group FROM uni WHERE trading_date = (SELECT max(trading_date) FROM uni) AND universe_group = 'high' GROUP BY ticker ORDER BY ticker")
+def session_tickers(spark, sf):
+    """The last session's tickers of one list, as an optional filter gives them."""
+    return universe.session_tickers(_universe(spark, sf), None, "HIGH ").select("ticker", F.col("universe_group").alias("first_group"))
 
 
 _ENTRANTS = _BASE + """
@@ -380,11 +388,14 @@ def cik_forms(spark, sf):
 
 
 @query(r"""WITH l AS (SELECT source, string_agg(ticker, ', ' ORDER BY ticker, updated_at) AS s FROM security_master GROUP BY source), p AS (SELECT source, upper(unnest(regexp_split_to_array(s, '[,\s]+'))) AS t FROM l)
-SELECT source, count(DISTINCT t) AS n, string_agg(DISTINCT t, ' ' ORDER BY t) AS tickers FROM p WHERE t <> '' GROUP BY source""")
+SELECT DISTINCT source, t AS ticker FROM p WHERE t <> ''""")
 def ticker_list_parse(spark, sf):
-    """Tickers of a long list as text, parsed back into a distinct list. The lists here are as long as the tiny master table per source."""
-    lists = table(spark, sf, "security_master").groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ticker", "updated_at"))), lambda x: x["ticker"]), ", ").alias("s"))
-    return lists.select("source", X.ticker_list("s").alias("t")).select("source", F.size("t").cast("bigint").alias("n"), F.array_join(F.array_sort("t"), " ").alias("tickers"))
+    """Tickers of lists as text, parsed back into distinct ones. Each list is a block of a source's rows, of about a thousand; what they say is merged."""
+    rows = table(spark, sf, "security_master").select("source", "ticker", "updated_at")
+    sizes = rows.groupBy("source").agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("ticker", "updated_at"), F.ceil(F.col("n") / 1000))
+    lists = rows.join(sizes, "source").groupBy("source", part.alias("part")).agg(F.array_join(F.collect_list("ticker"), ", ").alias("s"))
+    return lists.select("source", F.explode(X.ticker_list("s")).alias("ticker")).distinct()
 
 
 @query(r"""WITH t AS (SELECT DISTINCT split_part(c0, ',', 1) AS token FROM screen_line) SELECT token, regexp_full_match(upper(regexp_replace(token, '^\s+|\s+$', '', 'g')), '[A-Z][A-Z0-9.\-]{0,9}') AS probable FROM t""")
@@ -410,10 +421,11 @@ def master_index_parse(spark, sf):
 
 @query(_BASE + """, g AS (SELECT DISTINCT issuer_cik, accession_number, document_type, period_of_report::DATE AS d FROM filing) SELECT DISTINCT lpad(nullif(regexp_replace(issuer_cik, '[^0-9]', '', 'g'), ''), 10, '0') AS cik, accession_number, document_type AS form, strftime(d, '%Y-%m-%d') AS filed FROM g WHERE document_type IN ('4', '4/A')""")
 def submissions_filter(spark, sf):
-    """Submission records with parallel arrays, a block of at most 1,000 filings each, zipped back into rows."""
+    """Submission records with parallel arrays, about a thousand filings each, zipped back into rows."""
     f = table(spark, sf, "filing").select("issuer_cik", "accession_number", "document_type", "period_of_report").distinct()
-    part = F.pmod(F.xxhash64("accession_number"), F.lit(64))
-    rows = f.groupBy("issuer_cik", part.alias("part")).agg(F.collect_list(F.struct(F.col("document_type").alias("form"), F.coalesce(K.iso("period_of_report"), F.lit("")).alias("filingDate"), F.col("accession_number").alias("accessionNumber"))).alias("r"))
+    sizes = f.groupBy("issuer_cik").agg(F.count("*").alias("n"))  # an issuer's filings are cut into as many records as they fill
+    part = F.pmod(F.xxhash64("accession_number"), F.ceil(F.col("n") / 1000))
+    rows = f.join(sizes, "issuer_cik").groupBy("issuer_cik", part.alias("part")).agg(F.collect_list(F.struct(F.col("document_type").alias("form"), F.coalesce(K.iso("period_of_report"), F.lit("")).alias("filingDate"), F.col("accession_number").alias("accessionNumber"))).alias("r"))
     record = F.struct(F.col("issuer_cik").alias("cik"), F.struct(F.struct(F.col("r.form").alias("form"), F.col("r.filingDate").alias("filingDate"), F.col("r.accessionNumber").alias("accessionNumber"), F.transform("r", lambda x: F.lit("doc.xml")).alias("primaryDocument")).alias("recent")).alias("filings"))
     return landed.submissions(rows.select(F.to_json(record).alias("value"))).select("cik", "accession_number", "form", K.iso("filed").alias("filed")).distinct()
 
@@ -513,16 +525,16 @@ def knn_batch(spark, sf):
     """Five neighbours of each row whose id is divisible by 20, against all rows."""
     rows = table(spark, sf, "embeddings")
     queries = rows.filter("vec_id % 20 = 0")
-    n = rows.count()
-    return knn.nearest_of_each(queries, rows, "vec_id", "embedding", 5, n // 20 + 1, n).select("query_id", "neighbour_id", F.round("distance", 6).alias("distance"))
+    return knn.nearest_of_each(queries, rows, "vec_id", "embedding", 5).select("query_id", "neighbour_id", F.round("distance", 6).alias("distance"))
 
 
 @query(_BASE + f"""SELECT accession_number, string_agg('[' || i || '] accession=' || accession_number || ' txn_index=' || transaction_index || ' ticker=' || coalesce(issuer_ticker, 'None') || ' code=' || coalesce(transaction_code, 'None') || ' A/D=' || coalesce(acquired_disposed_code, 'None') || chr(10) || t, chr(10) || chr(10) ORDER BY i) AS context
 FROM (SELECT accession_number, transaction_index, issuer_ticker, transaction_code, acquired_disposed_code, {_TEXT} AS t, row_number() OVER (PARTITION BY accession_number ORDER BY transaction_index) AS i FROM tx JOIN fl USING (accession_number)) WHERE i <= 6 GROUP BY accession_number""")
 def context_block(spark, sf):
     """The first six excerpts of each filing as one numbered block; six is the prompt's k."""
-    rows = _join(_tx(spark, sf), _filing(spark, sf)).withColumn("text", X.narrative())
-    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("accession_number").orderBy("transaction_index"))).filter("i <= 6")
+    first = Window.partitionBy("accession_number").orderBy("transaction_index")
+    ranked = _tx(spark, sf).withColumn("i", F.row_number().over(first)).filter("i <= 6")  # ranked before any text is written
+    rows = _join(ranked, _filing(spark, sf)).withColumn("text", X.narrative())
     named = lambda c: F.coalesce(F.col(c), F.lit("None"))
     block = F.concat(F.lit("["), F.col("i").cast("string"), F.lit("] accession="), F.col("accession_number"), F.lit(" txn_index="), F.col("transaction_index").cast("string"), F.lit(" ticker="), named("issuer_ticker"), F.lit(" code="), named("transaction_code"), F.lit(" A/D="), named("acquired_disposed_code"), F.lit("\n"), F.col("text"))
     g = rows.groupBy("accession_number").agg(F.array_sort(F.collect_list(F.struct("i", block.alias("b")))).alias("x"))
@@ -653,28 +665,61 @@ def message_merge(spark, sf):
 
 # --- vectors of chunks -------------------------------------------------------------------------------------------------------------
 
+_TOKENS = f"""
+, chunk AS (SELECT accession_number || ':' || transaction_index AS chunk_id, accession_number, issuer_cik, upper(acquired_disposed_code) AS side, {_TEXT} AS text FROM tx JOIN scoped USING (accession_number))
+, token AS (SELECT chunk_id, ('0x' || substr(md5(w), 1, 8))::BIGINT AS h FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM chunk))
+, place AS (SELECT chunk_id, (h >> 1) % 384 AS d, sum(CASE WHEN h % 2 = 1 THEN 1 ELSE -1 END) AS s FROM token GROUP BY ALL)
+"""
+
 
 def _dealt(chunks: DataFrame) -> DataFrame:
     """Chunks over all cores: what is small to move is dear to embed, and the engine would join it into few partitions by its bytes."""
-    return chunks.select("chunk_id", "content_hash", "text", "accession_number", "issuer_cik").repartition(4 * chunks.sparkSession.sparkContext.defaultParallelism, "chunk_id")
+    return chunks.select("chunk_id", "content_hash", "text").repartition(4 * chunks.sparkSession.sparkContext.defaultParallelism, "chunk_id")
+
+
+_kept: dict[tuple[str, str], str] = {}
+
 
+def _index(spark: SparkSession, sf: str) -> embed.VectorIndex:
+    """The vector index of a folder's chunks, synced once per application; questions read it as it is."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at in _kept:
+        return embed.VectorIndex(spark, _kept[at], embed.MODELS["hashing-384"])
+    index = embed.VectorIndex(spark, scratch(spark, "vectors"), embed.MODELS["hashing-384"])
+    index.sync(_dealt(_chunks(spark, sf)), F.lit("2025-01-01").cast("timestamp"))
+    _kept[at] = index.kept.folder.removesuffix("/vectors")
+    return index
 
-@query()
+
+@query(_BASE + _SCOPE + _TOKENS + "SELECT chunk_id, 'ok' AS status, 384 AS dimensions, round(coalesce(sqrt((SELECT sum(s * s) FROM place p WHERE p.chunk_id = chunk.chunk_id)), 0), 3) AS norm FROM chunk")
 def chunk_vectors(spark, sf):
     """Vectors of all chunks in scope by the weightless provider, as (chunk_id, status, dimensions, length)."""
-    from quillstone.operators import embed
-
     done = embed.embed(_dealt(_chunks(spark, sf)), embed.MODELS["hashing-384"])
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     return done.select("chunk_id", "status", F.size("embedding").alias("dimensions"), F.round(norm, 3).alias("norm"))
 
 
-@query()
-def chunk_retrieval(spark, sf):
-    """The six chunks nearest to a question among disposals."""
-    from quillstone.operators import embed
+_QUESTION = "open-market sale by the chief executive"
+
 
-    model = embed.MODELS["hashing-384"]
-    chunks = _dealt(embed.where(_chunks(spark, sf), side="S"))
-    rows = embed.embed(chunks, model, keep=("accession_number", "issuer_cik"))
-    return embed.retrieve(rows, "open-market sale by the chief executive", model).select("chunk_id", "url", F.round("distance", 6).alias("distance"))
+def _asked(question: str) -> str:
+    """Stage of a question's own words and the distances of all chunks to it."""
+    return f""", q AS (SELECT (h >> 1) % 384 AS d, sum(CASE WHEN h % 2 = 1 THEN 1 ELSE -1 END) AS s FROM (SELECT ('0x' || substr(md5(w), 1, 8))::BIGINT AS h FROM (SELECT unnest(regexp_extract_all('{question}', '[\\p{{L}}\\p{{N}}_]+')) AS w)) GROUP BY ALL)
+, far AS (SELECT chunk_id, round(1 - coalesce(sum(place.s * q.s), 0) / sqrt(sum(place.s * place.s)) / (SELECT sqrt(sum(s * s)) FROM q), 9) AS distance FROM place LEFT JOIN q USING (d) GROUP BY chunk_id HAVING sum(place.s * place.s) > 0)"""
+
+
+@query(_BASE + _SCOPE + _TOKENS + _asked(_QUESTION) + """SELECT chunk_id, 'https://www.sec.gov/Archives/edgar/data/' || ltrim(issuer_cik, '0') || '/' || replace(accession_number, '-', '') || '/' || accession_number || '-index.htm' AS url, round(distance, 6) AS distance
+FROM far JOIN (SELECT DISTINCT chunk_id, issuer_cik, accession_number, side FROM chunk) c USING (chunk_id) WHERE side = 'D' ORDER BY far.distance, chunk_id LIMIT 6""")
+def chunk_retrieval(spark, sf):
+    """The six chunks nearest to a question among disposals, from the kept vectors; only the question is embedded. Six is the search's k."""
+    index = _index(spark, sf)
+    meta = _tx(spark, sf, "acquired_disposed_code").join(_filing(spark, sf, "issuer_cik"), "accession_number").select(X.chunk_id("accession_number", "transaction_index").alias("chunk_id"), "accession_number", "issuer_cik", "acquired_disposed_code")
+    sides = embed.where(meta, side="S")
+    return embed.retrieve(index.vectors().join(sides, "chunk_id"), _QUESTION, index.model).select("chunk_id", "url", F.round("distance", 6).alias("distance"))
+
+
+@query(" UNION ALL ".join(f"(SELECT 'hashing-384' AS model_id, '{q}' AS question, row_number() OVER (ORDER BY distance, chunk_id)::INTEGER AS rank, chunk_id, round(distance, 6) AS distance FROM ({_BASE} {_SCOPE} {_TOKENS} {_asked(q)} SELECT * FROM far) QUALIFY rank <= 3)" for q in embed.QUESTIONS))
+def eval_retrieval(spark, sf):
+    """The three nearest chunks to each of the fixed questions; three is the report's size."""
+    index = _index(spark, sf)
+    return embed.evaluate({index.model.model_id: (index.vectors(), index.model)}).withColumn("distance", F.round("distance", 6))

@@ -23,19 +23,32 @@ def date_of(c: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd")).when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
 
 
-def master_index(df: DataFrame, line: str = "value") -> DataFrame:
-    """Rows (cik, company, form, filed, path) of daily index lines of the forms in scope, separated by bars or, in old files, by white space; headers,
-    rules and rows with a bad date or cik are dropped. Other columns are kept."""
+def _index_parts(df: DataFrame, line: str) -> DataFrame:
+    """``df`` with ``__p``, the fields of an index line separated by bars or, in old files, by white space; null for what is no such line."""
     raw = F.col(line)
     bars = F.transform(F.split(raw, r"\|"), lambda x: X.strip(x))
     tokens = F.filter(F.split(X.strip(raw), r"\s+"), lambda x: x != "")
     at = F.array_position(F.transform(tokens, lambda x: x.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{8})$")), True).cast("int")
     spaced = F.when((at >= 4) & (F.size(tokens) > at), F.array(F.element_at(tokens, 1), F.array_join(F.slice(tokens, 2, F.greatest(at - 3, F.lit(0))), " "), F.try_element_at(tokens, at - 1), F.try_element_at(tokens, at), F.array_join(F.slice(tokens, at + 1, F.size(tokens)), " ")))
-    parts = F.when(raw.contains("|"), F.when(F.size(bars) >= 5, bars)).otherwise(spaced)
-    rows = with_once(df, "__p", parts).filter("__p is not null")
+    return with_once(df, "__p", F.when(raw.contains("|"), F.when(F.size(bars) >= 5, bars)).otherwise(spaced))
+
+
+def _index_fields(df: DataFrame, line: str) -> DataFrame:
     get = lambda i: F.get("__p", F.lit(i))
-    rows = rows.withColumns({"cik": X.pad_cik_strict(get(0)), "company": get(1), "form": get(2), "filed": date_of(get(3)), "path": get(4)}).drop("__p")
-    return rows.filter(F.col("form").isin(*X.FORMS) & F.col("cik").isNotNull() & F.col("filed").isNotNull())
+    rows = _index_parts(df, line).filter("__p is not null")
+    return rows.withColumns({"cik": X.pad_cik_strict(get(0)), "company": get(1), "form": get(2), "filed": date_of(get(3)), "path": get(4)}).drop("__p").filter(F.col("form").isin(*X.FORMS))
+
+
+def master_index(df: DataFrame, line: str = "value") -> DataFrame:
+    """Rows (cik, company, form, filed, path) of daily index lines of the forms in scope; headers, rules and rows with a bad date or cik are left out. Other
+    columns are kept."""
+    return _index_fields(df, line).filter("cik is not null and filed is not null")
+
+
+def master_index_rejects(df: DataFrame, line: str = "value") -> DataFrame:
+    """(line, reason) of index lines of the forms in scope that have a bad date or cik."""
+    bad = _index_fields(df, line).filter("cik is null or filed is null")
+    return bad.select(F.col(line).alias("line"), F.when(F.col("filed").isNull(), "bad_date").otherwise("bad_cik").alias("reason"))
 
 
 SUBMISSIONS = "cik string, name string, entityType string, sic string, sicDescription string, tickers array<string>, exchanges array<string>, stateOfIncorporation string, fiscalYearEnd string, filings struct<recent:struct<form:array<string>,filingDate:array<string>,accessionNumber:array<string>,primaryDocument:array<string>>>"
@@ -51,9 +64,9 @@ def submissions(df: DataFrame, payload: str = "value") -> DataFrame:
     return out.select(X.pad_cik("cik").alias("cik"), F.col("accessionNumber").alias("accession_number"), "form", date_of(F.col("filingDate")).alias("filed"), F.col("primaryDocument").alias("document"))
 
 
-def company_fields(df: DataFrame, payload: str = "value") -> DataFrame:
-    """Company-level fields of a submissions record; blank text and empty lists are null."""
-    rows = with_once(df.select(payload), "s", F.from_json(payload, SUBMISSIONS)).select("s.*")
+def company_fields(df: DataFrame, payload: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Company-level fields of a submissions record; blank text and empty lists are null. Columns of ``keep`` pass through, with rows that have no record."""
+    rows = with_once(df.select(payload, *[F.col(c).alias(f"__{c}") for c in keep]), "s", F.from_json(payload, SUBMISSIONS)).select(*[f"__{c}" for c in keep], "s.*")
 
     def listed(c: str) -> Column:
         some = F.filter(F.transform(c, X.strip), lambda x: x != "")
@@ -61,19 +74,27 @@ def company_fields(df: DataFrame, payload: str = "value") -> DataFrame:
 
     sic = F.when(F.col("sic").try_cast("bigint").isNotNull(), F.col("sic").try_cast("bigint").cast("string")).otherwise(X.blank_to_null("sic"))
     return rows.select(
-        X.pad_cik("cik").alias("cik"), X.blank_to_null("name").alias("entity_name"), X.blank_to_null("entityType").alias("entity_type"), sic.alias("sic_code"), X.blank_to_null("sicDescription").alias("sic_description"),
+        *[F.col(f"__{c}").alias(c) for c in keep], X.pad_cik("cik").alias("cik"), X.blank_to_null("name").alias("entity_name"), X.blank_to_null("entityType").alias("entity_type"), sic.alias("sic_code"), X.blank_to_null("sicDescription").alias("sic_description"),
         listed("tickers").alias("tickers"), listed("exchanges").alias("exchanges"), X.blank_to_null("stateOfIncorporation").alias("state_of_incorporation"), X.blank_to_null("fiscalYearEnd").alias("fiscal_year_end"),
     )
 
 
 _LEAF = "struct<_VALUE:string,value:string>"
 _AMOUNT = "struct<_VALUE:string,_footnoteId:string,_id:string,footnoteId:array<struct<_id:string>>,value:struct<_VALUE:string,_footnoteId:string,_id:string>>"
-_TX = f"struct<securityTitle:{_LEAF},transactionDate:{_LEAF},transactionCoding:struct<transactionCode:string>,transactionAmounts:struct<transactionShares:{_AMOUNT},transactionPricePerShare:{_AMOUNT},transactionAcquiredDisposedCode:{_AMOUNT}>,ownershipNature:struct<directOrIndirectOwnership:{_LEAF}>>"
+_TX = f"struct<securityTitle:{_LEAF},transactionDate:{_LEAF},transactionCoding:struct<transactionCode:string>,transactionAmounts:struct<transactionShares:{_AMOUNT},transactionPricePerShare:{_AMOUNT},transactionAcquiredDisposedCode:{_AMOUNT}>,ownershipNature:struct<directOrIndirectOwnership:{_LEAF}>,transactionAcquiredDisposedCode:{_AMOUNT}>"
 OWNERSHIP = f"""schemaVersion string, documentType string, periodOfReport string, issuer struct<issuerCik:string,issuerName:string,issuerTradingSymbol:string>,
 reportingOwner array<struct<reportingOwnerId:struct<rptOwnerCik:string,rptOwnerName:string>,reportingOwnerRelationship:struct<isOfficer:string,isDirector:string,isTenPercentOwner:string,isOther:string,officerTitle:string,otherText:string>>>,
 nonDerivativeTable struct<nonDerivativeTransaction:array<{_TX}>>, derivativeTable struct<derivativeTransaction:array<{_TX}>>, _corrupt_record string"""
 
 
+def first_below(xml: Column | str, name: str) -> Column:
+    """Own text of the first element of a local name anywhere in a document, its entities decoded; null if there is none or it is blank."""
+    text = F.regexp_extract(xml, rf"<(?:[A-Za-z0-9_]+:)?{name}(?:\s[^>]*)?>\s*([^<]*)", 1)
+    for entity, c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(c))
+    return X.blank_to_null(text)
+
+
 def ownership(df: DataFrame, xml: str = "xml", nested_values: bool = True) -> DataFrame:
     """``df`` with ``doc``, the parsed ownership document, and ``parse_error``, why it could not be read (null if it could).
 
@@ -81,13 +102,19 @@ def ownership(df: DataFrame, xml: str = "xml", nested_values: bool = True) -> Da
     # the attribute's two spellings would be one name to the column resolver
     doc = F.from_xml(F.regexp_replace(xml, r"\bfootnoteID=", "footnoteId="), OWNERSHIP, {"rowTag": "ownershipDocument", "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     rows = with_once(df, "doc", doc)
-    kind = X.blank_to_null("doc.documentType")
+    # a leaf that does not stand where the schema has it is taken from anywhere below: the first element of its name, whatever wraps it
+    kind = F.coalesce(X.blank_to_null("doc.documentType"), first_below(xml, "documentType"))
+    cik = F.coalesce(X.blank_to_null("doc.issuer.issuerCik"), first_below(xml, "issuerCik"))
     error = (
         F.when(F.col(xml).isNull() | ~F.col(xml).rlike(r"<([A-Za-z0-9_]+:)?ownershipDocument[\s>]"), "missing ownershipDocument root")
         .when(F.col("doc._corrupt_record").isNotNull(), "malformed XML").when(kind.isNull(), "missing documentType")
-        .when(~kind.isin(*X.FORMS), F.concat(F.lit("unsupported documentType '"), kind, F.lit("'"))).when(X.blank_to_null("doc.issuer.issuerCik").isNull(), "missing issuerCik")
+        .when(~kind.isin(*X.FORMS), F.concat(F.lit("unsupported documentType '"), kind, F.lit("'"))).when(cik.isNull(), "missing issuerCik")
     )
-    return rows.withColumn("parse_error", error).withColumn("nested_values", F.lit(nested_values))
+    owner = F.try_element_at("doc.reportingOwner", F.lit(1))["reportingOwnerId"]
+    found = {"document_type": kind, "issuer_cik": cik}
+    found |= {c: F.coalesce(X.blank_to_null(given), first_below(xml, name)) for c, given, name in (("issuer_name", "doc.issuer.issuerName", "issuerName"), ("issuer_ticker", "doc.issuer.issuerTradingSymbol", "issuerTradingSymbol"), ("period", "doc.periodOfReport", "periodOfReport"), ("schema_version", "doc.schemaVersion", "schemaVersion"))}
+    found |= {"insider_cik": F.coalesce(X.blank_to_null(owner["rptOwnerCik"]), first_below(xml, "rptOwnerCik")), "insider_name": F.coalesce(X.blank_to_null(owner["rptOwnerName"]), first_below(xml, "rptOwnerName"))}
+    return rows.withColumns({"parse_error": error, "nested_values": F.lit(nested_values), "head": F.struct(*[v.alias(k) for k, v in found.items()])})
 
 
 def ownership_header(parsed: DataFrame) -> DataFrame:
@@ -96,18 +123,20 @@ def ownership_header(parsed: DataFrame) -> DataFrame:
     role = owner["reportingOwnerRelationship"]
     flag = lambda c: X.strip(role[c]).isin("1", "true", "True")
     title = F.concat_ws("; ", F.when(flag("isOfficer"), X.blank_to_null(role["officerTitle"])), F.when(flag("isDirector"), F.lit("director")), F.when(flag("isTenPercentOwner"), F.lit("ten percent owner")), F.when(flag("isOther"), X.blank_to_null(role["otherText"])))
-    kind = X.blank_to_null("doc.documentType")
     others = F.size("doc.reportingOwner")
     return parsed.filter("parse_error is null").select(
-        "accession_number", kind.alias("document_type"), (kind == "4/A").alias("is_amendment"), X.blank_to_null("doc.schemaVersion").alias("schema_version"), date_of(F.col("doc.periodOfReport")).alias("period_of_report"),
-        X.pad_cik("doc.issuer.issuerCik").alias("issuer_cik"), X.blank_to_null("doc.issuer.issuerName").alias("issuer_name"), X.blank_to_null("doc.issuer.issuerTradingSymbol").alias("issuer_ticker"),
-        X.pad_cik(owner["reportingOwnerId"]["rptOwnerCik"]).alias("insider_cik"), X.blank_to_null(owner["reportingOwnerId"]["rptOwnerName"]).alias("insider_name"), F.nullif(title, F.lit("")).alias("insider_title"),
+        "accession_number", F.col("head.document_type"), (F.col("head.document_type") == "4/A").alias("is_amendment"), F.col("head.schema_version"), date_of(F.col("head.period")).alias("period_of_report"),
+        X.pad_cik("head.issuer_cik").alias("issuer_cik"), F.col("head.issuer_name"), F.col("head.issuer_ticker"),
+        X.pad_cik("head.insider_cik").alias("insider_cik"), F.col("head.insider_name"), F.nullif(title, F.lit("")).alias("insider_title"),
         F.when(others > 1, F.concat(F.lit("multiple reportingOwner blocks ("), others.cast("string"), F.lit("); using first only"))).alias("warning"),
     )
 
 
-def ownership_transactions(parsed: DataFrame) -> DataFrame:
-    """One row per transaction of documents that could be read, indexed in document order, non-derivative before derivative."""
+def ownership_transactions(parsed: DataFrame, strict_footnotes: bool = False) -> DataFrame:
+    """One row per transaction of documents that could be read, indexed in document order, non-derivative before derivative.
+
+    With ``strict_footnotes`` only the attributes of an amount and of its value are footnotes, not elements inside it; the total then counts where elements
+    alone would have kept it null."""
     empty = F.array().cast(f"array<{_TX}>")
     both = F.concat(
         F.transform(F.coalesce("doc.nonDerivativeTable.nonDerivativeTransaction", empty), lambda t: F.struct(F.lit("non_derivative").alias("category"), t.alias("t"))),
@@ -122,8 +151,11 @@ def ownership_transactions(parsed: DataFrame) -> DataFrame:
         return F.when(~text.rlike("[A-Za-z]"), X.strip(text).try_cast("decimal(28,8)"))
 
     nodes = [amounts[n] for n in ("transactionShares", "transactionPricePerShare", "transactionAcquiredDisposedCode")]
-    ids = F.array_distinct(F.array_compact(F.flatten(F.array(*[F.concat(F.array(n["_footnoteId"], n["_id"], n["value"]["_footnoteId"], n["value"]["_id"]), F.coalesce(F.transform(n["footnoteId"], lambda f: f["_id"]), F.array().cast("array<string>"))) for n in nodes]))))
-    side = F.coalesce(X.blank_to_null(nodes[2]["value"]["_VALUE"]), X.blank_to_null(nodes[2]["_VALUE"]))
+    none = F.array().cast("array<string>")
+    inside = lambda n: none if strict_footnotes else F.coalesce(F.transform(n["footnoteId"], lambda f: f["_id"]), none)
+    ids = F.array_distinct(F.array_compact(F.flatten(F.array(*[F.concat(F.array(n["_footnoteId"], n["_id"], n["value"]["_footnoteId"], n["value"]["_id"]), inside(n)) for n in nodes]))))
+    outside = F.col("x.t.transactionAcquiredDisposedCode")  # where it does not stand among the amounts
+    side = F.coalesce(*[X.blank_to_null(leaf) for n in (nodes[2], outside) for leaf in (n["value"]["_VALUE"], n["_VALUE"])])
     held = own(F.col("x.t.ownershipNature.directOrIndirectOwnership"))
     return rows.select(
         "accession_number", F.col("transaction_index").cast("int").alias("transaction_index"), F.col("x.category").alias("transaction_category"), F.coalesce(X.blank_to_null("x.t.securityTitle.value"), X.blank_to_null("x.t.securityTitle._VALUE")).alias("security_title"),
@@ -150,9 +182,12 @@ def price_bars(df: DataFrame, ticker: str = "ticker", body: str = "value") -> Da
     rows = F.split(text, r"\r\n|\n|\r")
     head = F.transform(F.split(F.lower(F.element_at(rows, 1)), ","), lambda x: X.strip(x))
     reason = F.when(text == "", "empty").when(X.looks_like_html(text), "html").when(F.lower(text).contains(QUOTA), "quota").when(~(F.array_contains(head, "date") & F.array_contains(head, "close")), "no_header")
-    base = df.select(F.col(ticker).alias("ticker"), reason.alias("reason"), head.alias("h"), F.when(reason.isNull(), F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("l"))
-    lines = base.select("ticker", "reason", "h", F.explode_outer("l").alias("line")).withColumn("f", F.split("line", ","))
-    field = lambda n: F.nullif(X.strip(F.get("f", F.array_position("h", F.lit(n)).cast("int") - 1)), F.lit(""))
-    has = lambda n: F.when(F.array_position("h", F.lit(n)) > 0, field(n))
-    out = lines.select("ticker", date_of(has("date")).alias("price_date"), *[X.finite_price(has(c)).cast("decimal(18,6)").alias(c) for c in ("open", "high", "low", "close")], X.whole_volume(has("volume")).alias("volume"), "reason")
+    names = ("date", "open", "high", "low", "close", "volume")
+    place = F.struct(*[(F.array_position(head, F.lit(n)).cast("int") - 1).alias(n) for n in names])  # -1 where a file has no such column
+    base = with_once(df.select(F.col(ticker).alias("ticker"), body), "file", F.struct(reason.alias("reason"), place.alias("at"), F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))).alias("lines")))
+    lines = base.select("ticker", "file.reason", "file.at", F.explode_outer(F.when(F.col("file.reason").isNull(), F.col("file.lines"))).alias("line"))
+    cut = with_once(lines, "f", F.split("line", ","))
+    field = lambda n: F.when(F.col(f"at.{n}") >= 0, F.nullif(X.strip(F.get("f", F.col(f"at.{n}"))), F.lit("")))
+    bar = F.struct(date_of(field("date")).alias("price_date"), *[X.finite_price(field(c)).cast("decimal(18,6)").alias(c) for c in ("open", "high", "low", "close")], X.whole_volume(field("volume")).alias("volume"))
+    out = with_once(cut.select("ticker", "reason", "at", "f"), "bar", bar).select("ticker", "bar.*", "reason")
     return out.filter("reason is not null or (price_date is not null and close is not null)")

@@ -1,4 +1,7 @@
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from quillstone.operators import embed
 from quillstone.sources import http
@@ -10,21 +13,58 @@ def chunks(spark, rows):
     return spark.createDataFrame(rows, "chunk_id string, content_hash string, text string")
 
 
+NOW = lambda n: F.lit(dt.datetime(2024, 1, n))
+
+
 def test_incremental_sync(spark):
-    state0 = spark.createDataFrame([], "chunk_id string, content_hash string, status string, error_message string")
-    vectors0 = spark.createDataFrame([], "chunk_id string, embedding array<float>")
+    state0 = spark.createDataFrame([], embed.STATE)
+    vectors0 = spark.createDataFrame([], embed.VECTORS)
     first = chunks(spark, [("a", "1", "alpha beta"), ("b", "1", None)])
-    state, vectors = embed.sync(first, state0, vectors0, MODEL)
-    assert {(r.chunk_id, r.status) for r in state.collect()} == {("a", "ok"), ("b", "error")} and {r.chunk_id for r in vectors.collect()} == {"a"}
-    state2, vectors2 = embed.sync(chunks(spark, [("a", "1", "changed text, same hash"), ("b", "2", "now here"), ("c", "1", "new")]), state, vectors, MODEL)
-    assert {(r.chunk_id, r.status, r.content_hash) for r in state2.collect()} == {("a", "ok", "1"), ("b", "ok", "2"), ("c", "ok", "1")}
+    state, vectors = embed.sync(first, state0, vectors0, MODEL, NOW(1))
+    assert {(r.chunk_id, r.status, r.embedded_at is None) for r in state.collect()} == {("a", "ok", False), ("b", "error", True)} and {r.chunk_id for r in vectors.collect()} == {"a"}
+    state2, vectors2 = embed.sync(chunks(spark, [("a", "1", "changed text, same hash"), ("b", "2", "now here"), ("c", "1", "new")]), state, vectors, MODEL, NOW(2))
+    assert {(r.chunk_id, r.status, r.content_hash, r.embedded_at.day) for r in state2.collect()} == {("a", "ok", "1", 1), ("b", "ok", "2", 2), ("c", "ok", "1", 2)}
     v1, v2 = ({r.chunk_id: list(r.embedding) for r in v.collect()} for v in (vectors, vectors2))
-    assert v2["a"] == v1["a"] and set(v2) == {"a", "b", "c"} and sum(x * x for x in v2["c"]) == pytest.approx(1, abs=1e-5)
+    assert v2["a"] == v1["a"] and set(v2) == {"a", "b", "c"} and sum(abs(x) for x in v2["c"]) == 1
+    state3, vectors3 = embed.sync(chunks(spark, [("a", "9", None)]), state2, vectors2, MODEL, NOW(3))
+    a = state3.filter("chunk_id = 'a'").head()
+    assert (a.status, a.embedded_at, a.updated_at.day) == ("error", None, 3) and {r.chunk_id for r in vectors3.collect()} == {"a", "b", "c"}  # the vector in use stays
+
+
+def test_kept_index_embeds_once_and_questions_read_no_text(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counts(embed.Hashing):
+        def embed(self, texts, kind="document"):
+            if kind == "document":
+                calls.add(len(texts))
+            return super().embed(texts, kind)
+
+    model = embed.Model("counts", 16, lambda: Counts(16))
+    index = embed.VectorIndex(spark, f"file://{tmp_path}", model)
+    texts = [("a", "1", "alpha beta"), ("b", "1", "gamma delta")]
+    index.sync(chunks(spark, texts), NOW(1))
+    index.sync(chunks(spark, texts), NOW(2))
+    assert calls.value == 2
+    got = embed.evaluate({"one": (index.vectors(), model), "two": (embed.VectorIndex(spark, f"file://{tmp_path}", model).vectors(), model)}, ["gamma delta", "alpha"], 2).collect()
+    assert [(r.model_id, r.question, r["rank"], r.chunk_id) for r in got if r["rank"] == 1] == [(m, q, 1, c) for m in ("one", "two") for q, c in (("gamma delta", "b"), ("alpha", "a"))] and len(got) == 8 and calls.value == 2
+    assert embed.VectorIndex(spark, f"file://{tmp_path}/none", model).vectors().count() == 0
+
+
+def test_words_go_where_their_digest_says():
+    h = embed.Hashing(8)
+    vector = h.embed(["Sale, SALE of"], "query")[0]
+    want = [0.0] * 8
+    for word, n in (("sale", 2), ("of", 1)):
+        d = int(__import__("hashlib").md5(word.encode()).hexdigest()[:8], 16)
+        want[(d >> 1) % 8] += n if d & 1 else -n
+    assert vector == want
 
 
 def test_failures_stay_in_their_batch(spark):
     class Fails:
-        def embed(self, texts):
+        def embed(self, texts, kind):
+            assert kind == "document"
             if any("bad" in t for t in texts):
                 raise RuntimeError("no service")
             return [[1.0, 0.0]] * len(texts)
@@ -44,9 +84,11 @@ def test_retrieval_filters_and_answer(spark):
     assert [r.chunk_id for r in found.collect()][0] == "c0" and found.count() == 2 and found.head().url.endswith("/7/0001247/0001-24-7-index.htm")
     assert [r.chunk_id for r in embed.retrieve(vectors, "x", MODEL, side="P", group="HIGH").collect()] == ["c1"]
     said = []
-    reply = embed.answer(found, "why?", [("user", str(i)) for i in range(9)], lambda m: said.append(m) or "because")
-    assert reply == "because" and len(said[0]) == 7 and "[1] accession=0001-24-7 txn_index=0 ticker=AB code=S A/D=D\nURL: " in said[0][-1]["content"]
-    assert embed.answer(found.limit(0), "why?", [], lambda m: "never") == "No matching filings were found for these filters."
+    reply = embed.answer(found, "why?", [("user", str(i)) for i in range(9)], lambda m: said.append(m) or "because", ticker="AB", side="s")
+    assert reply == "because" and [m["role"] for m in said[0]] == ["system", *["user"] * 7] and [m["content"] for m in said[0][1:7]] == list("345678")
+    last = said[0][-1]["content"]
+    assert last.startswith("Filters: ticker=AB, side=s, universe_group=any\n\nRetrieved excerpts:\n[1] accession=0001-24-7 txn_index=0 ticker=AB code=S A/D=D\nURL: ") and last.endswith("\n\nQuestion: why?")
+    assert embed.answer(found.limit(0), "why?", [], lambda m: "never") == embed.NOTHING
 
 
 def test_pages_source(spark):

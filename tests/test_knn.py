@@ -5,7 +5,6 @@ from quillstone.operators import knn
 
 def test_blocks_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(knn, "QUERY_BLOCK", 7)
-    monkeypatch.setattr(knn, "ROW_BLOCK", 40)
     rng = np.random.default_rng(0)
     v = rng.normal(size=(150, 8)).astype(np.float32)
     v[10] = v[11] = v[12]
@@ -13,7 +12,7 @@ def test_blocks_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id long, v array<float>, rank string")
     queries = df.filter("id % 5 = 0")
     got = {}
-    for r in knn.nearest_of_each(queries, df, "id", "v", 4, 30, 150).collect():
+    for r in knn.nearest_of_each(queries, df, "id", "v", 4).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.neighbour_id, r.distance))
     n = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
     assert set(got) == set(range(0, 150, 5))
@@ -28,4 +27,4 @@ def test_single_query_and_empty_table(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0]), (4, [1.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [1.0])], "id long, v array<float>")
     assert [(r.id, round(r.distance, 4)) for r in knn.nearest(df, "id", "v", [2.0, 0.0], 3).collect()] == [(1, 0.0), (3, 0.2929), (4, 0.2929)]
     assert knn.nearest(df.limit(0), "id", "v", [1.0], 3).count() == 0
-    assert knn.nearest_of_each(df.limit(0), df, "id", "v", 3, 0, 7).count() == 0
+    assert knn.nearest_of_each(df.limit(0), df, "id", "v", 3).count() == 0
