@@ -438,47 +438,83 @@ def issuer_metadata(spark, sf):
     return landed.company_fields(p.select(record.alias("value"))).select("cik", "entity_name", "sic_code", F.array_join("tickers", ",").alias("tickers")).distinct()
 
 
-def _element(name: str, value, inner: bool = False):
+def _element(name: str, value, inner: bool = False, attribute=None, after=None):
     text = F.replace(F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     body = F.concat(F.lit("<value>"), text, F.lit("</value>")) if inner else text
-    return F.coalesce(F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>")), F.lit(""))
+    opening = F.lit(f"<{name}>") if attribute is None else F.concat(F.lit(f"<{name}"), F.coalesce(F.concat(F.lit(' footnoteID="'), attribute, F.lit('"')), F.lit("")), F.lit(">"))
+    return F.coalesce(F.concat(opening, body, F.lit("") if after is None else after, F.lit(f"</{name}>")), F.lit(""))
 
 
-def ownership_xml(spark, sf) -> DataFrame:
-    """(accession_number, xml): each filing written as an ownership document."""
-    tx = _tx(spark, sf, "transaction_category", "security_title", "transaction_date", "transaction_code", "acquired_disposed_code", "shares", "price_per_share", "direct_indirect")
-    amounts = F.concat(F.lit("<transactionAmounts>"), _element("transactionShares", F.col("shares").cast("string"), True), _element("transactionPricePerShare", F.col("price_per_share").cast("string"), True), _element("transactionAcquiredDisposedCode", F.col("acquired_disposed_code"), True), F.lit("</transactionAmounts>"))
+def ownership_xml(spark, sf, varied: bool = False) -> DataFrame:
+    """(accession_number, xml): each filing written as an ownership document. ``varied`` ones bear footnotes (the first as an attribute of the shares, the others as
+    elements in the price), a second owner where there is no title, a name space where there is no ticker, and end too early where they have a message."""
+    tx = _tx(spark, sf, "transaction_category", "security_title", "transaction_date", "transaction_code", "acquired_disposed_code", "shares", "price_per_share", "direct_indirect", *(("footnote_ids",) if varied else ()))
+    one = F.try_element_at("footnote_ids", F.lit(1)) if varied else None
+    rest = F.array_join(F.transform(F.coalesce(F.slice("footnote_ids", 2, 1_000_000), F.array().cast("array<string>")), lambda x: F.concat(F.lit('<footnoteId id="'), x, F.lit('"/>'))), "") if varied else None
+    amounts = F.concat(F.lit("<transactionAmounts>"), _element("transactionShares", F.col("shares").cast("string"), True, one), _element("transactionPricePerShare", F.col("price_per_share").cast("string"), True, None, rest), _element("transactionAcquiredDisposedCode", F.col("acquired_disposed_code"), True), F.lit("</transactionAmounts>"))
     body = F.concat(_element("securityTitle", F.col("security_title"), True), _element("transactionDate", K.iso("transaction_date"), True), F.lit("<transactionCoding>"), _element("transactionCode", F.col("transaction_code")), F.lit("</transactionCoding>"), amounts, F.lit("<ownershipNature>"), _element("directOrIndirectOwnership", F.col("direct_indirect"), True), F.lit("</ownershipNature>"))
     tx = tx.select("accession_number", "transaction_category", F.struct("transaction_index", body.alias("b")).alias("t"))
     pick = lambda c: F.array_sort(F.collect_list(F.when(F.col("transaction_category") == c, F.col("t"))))
     wrap = lambda c, n: F.array_join(F.transform(c, lambda x: F.concat(F.lit(f"<{n}>"), x["b"], F.lit(f"</{n}>"))), "")
     sides = tx.groupBy("accession_number").agg(pick("non_derivative").alias("nd"), pick("derivative").alias("d"))
-    header = _filing(spark, sf, "document_type", "issuer_cik", "issuer_name", "insider_cik", "insider_name").join(sides, "accession_number")
+    header = _filing(spark, sf, "document_type", "issuer_cik", "issuer_name", "insider_cik", "insider_name", *(("insider_title", "issuer_ticker", "parse_error") if varied else ())).join(sides, "accession_number")
+    second = F.when(F.col("insider_title").isNull(), F.lit("<reportingOwner><reportingOwnerId><rptOwnerCik>99</rptOwnerCik><rptOwnerName>Second</rptOwnerName></reportingOwnerId></reportingOwner>")).otherwise("") if varied else F.lit("")
     xml = F.concat(
         F.lit('<?xml version="1.0"?><ownershipDocument>'), _element("documentType", F.col("document_type")), F.lit("<issuer>"), _element("issuerCik", F.col("issuer_cik")), _element("issuerName", F.col("issuer_name")), F.lit("</issuer>"),
-        F.lit("<reportingOwner><reportingOwnerId>"), _element("rptOwnerCik", F.col("insider_cik")), _element("rptOwnerName", F.col("insider_name")), F.lit("</reportingOwnerId></reportingOwner><nonDerivativeTable>"), wrap("nd", "nonDerivativeTransaction"),
+        F.lit("<reportingOwner><reportingOwnerId>"), _element("rptOwnerCik", F.col("insider_cik")), _element("rptOwnerName", F.col("insider_name")), F.lit("</reportingOwnerId></reportingOwner>"), second, F.lit("<nonDerivativeTable>"), wrap("nd", "nonDerivativeTransaction"),
         F.lit("</nonDerivativeTable><derivativeTable>"), wrap("d", "derivativeTransaction"), F.lit("</derivativeTable></ownershipDocument>"),
     )
+    if varied:
+        spaced = F.replace(F.regexp_replace(xml, "<(/?)([A-Za-z])", "<$1n:$2"), F.lit("<n:ownershipDocument>"), F.lit('<n:ownershipDocument xmlns:n="urn:own">'))
+        xml = F.when(F.col("issuer_ticker").isNull(), spaced).otherwise(xml)
+        header = header.withColumn("x", xml)
+        xml = F.when(F.col("parse_error").isNotNull(), F.left("x", F.length("x") - 30)).otherwise(F.col("x"))
     return header.select("accession_number", xml.alias("xml"))
 
 
-_XML_SQL = _BASE + """, ord AS (SELECT DISTINCT accession_number, transaction_index, transaction_category, security_title, transaction_date::DATE AS transaction_date, transaction_code, acquired_disposed_code, shares, price_per_share, direct_indirect FROM form4_transaction)
-SELECT accession_number, (row_number() OVER (PARTITION BY accession_number ORDER BY transaction_category <> 'non_derivative', transaction_index) - 1)::INTEGER AS transaction_index, transaction_category, nullif(regexp_replace(security_title, '^\\s+|\\s+$', '', 'g'), '') AS security_title, strftime(transaction_date, '%Y-%m-%d') AS transaction_date, transaction_code, acquired_disposed_code, shares, price_per_share,
-  direct_indirect, CASE WHEN transaction_category = 'non_derivative' THEN (shares * price_per_share)::DECIMAL(28,4) END AS total_value FROM ord"""
+_ORD = """, ord AS (SELECT DISTINCT accession_number, transaction_index, transaction_category, security_title, transaction_date::DATE AS transaction_date, transaction_code, acquired_disposed_code, shares, price_per_share, direct_indirect, footnote_ids FROM form4_transaction)
+, whole AS (SELECT DISTINCT accession_number FROM filing WHERE parse_error IS NULL)
+, noted AS (SELECT *, CASE WHEN shares IS NOT NULL THEN footnote_ids[1] END AS attr, CASE WHEN price_per_share IS NOT NULL THEN footnote_ids[2:] ELSE [] END AS inner_ids FROM ord JOIN whole USING (accession_number))
+"""
+
+
+def _xml_sql(strict: bool) -> str:
+    ids = "CASE WHEN attr IS NULL THEN [] ELSE [attr] END" if strict else "list_distinct(CASE WHEN attr IS NULL THEN [] ELSE [attr] END || coalesce(inner_ids, []))"
+    return _BASE + _ORD + f"""SELECT accession_number, (row_number() OVER (PARTITION BY accession_number ORDER BY transaction_category <> 'non_derivative', transaction_index) - 1)::INTEGER AS transaction_index, transaction_category, nullif(regexp_replace(security_title, '^\\s+|\\s+$', '', 'g'), '') AS security_title,
+  strftime(transaction_date, '%Y-%m-%d') AS transaction_date, transaction_code, acquired_disposed_code, shares, price_per_share, direct_indirect, coalesce(array_to_string(list_sort({ids}), ','), '') AS footnotes,
+  CASE WHEN transaction_category = 'non_derivative' AND len({ids}) = 0 THEN (shares * price_per_share)::DECIMAL(28,4) END AS total_value FROM noted"""
+
+
+def _read_back(spark, sf, strict: bool) -> DataFrame:
+    rows = landed.ownership_transactions(landed.ownership(ownership_xml(spark, sf, varied=True)), strict)
+    notes = F.array_join(F.array_sort(F.coalesce("footnote_ids", F.array().cast("array<string>"))), ",")
+    return rows.select("accession_number", "transaction_index", "transaction_category", "security_title", K.iso("transaction_date").alias("transaction_date"), "transaction_code", "acquired_disposed_code", "shares", "price_per_share", "direct_indirect", notes.alias("footnotes"), "total_value")
 
 
-@query(_XML_SQL)
+@query(_xml_sql(False))
 def xml_transactions(spark, sf):
-    """Transactions read back from ownership XML."""
-    rows = landed.ownership_transactions(landed.ownership(ownership_xml(spark, sf)))
-    return rows.select("accession_number", "transaction_index", "transaction_category", "security_title", K.iso("transaction_date").alias("transaction_date"), "transaction_code", "acquired_disposed_code", "shares", "price_per_share", "direct_indirect", "total_value")
+    """Transactions read back from ownership XML with footnotes, name spaces, several owners and damaged documents."""
+    return _read_back(spark, sf, False)
 
 
-@query(r"""SELECT DISTINCT accession_number, document_type, document_type = '4/A' AS is_amendment, lpad(nullif(regexp_replace(issuer_cik, '[^0-9]', '', 'g'), ''), 10, '0') AS issuer_cik, nullif(regexp_replace(issuer_name, '^\s+|\s+$', '', 'g'), '') AS issuer_name, lpad(nullif(regexp_replace(insider_cik, '[^0-9]', '', 'g'), ''), 10, '0') AS insider_cik, nullif(regexp_replace(insider_name, '^\s+|\s+$', '', 'g'), '') AS insider_name
-FROM filing WHERE accession_number IN (SELECT accession_number FROM form4_transaction)""")
+@query(_xml_sql(True))
+def xml_transactions_strict(spark, sf):
+    """The same where only attributes are footnotes."""
+    return _read_back(spark, sf, True)
+
+
+@query(r"""SELECT DISTINCT accession_number, document_type, document_type = '4/A' AS is_amendment, lpad(nullif(regexp_replace(issuer_cik, '[^0-9]', '', 'g'), ''), 10, '0') AS issuer_cik, nullif(regexp_replace(issuer_name, '^\s+|\s+$', '', 'g'), '') AS issuer_name, lpad(coalesce(nullif(regexp_replace(insider_cik, '[^0-9]', '', 'g'), ''), CASE WHEN insider_title IS NULL THEN '99' END), 10, '0') AS insider_cik,
+  coalesce(nullif(regexp_replace(insider_name, '^\s+|\s+$', '', 'g'), ''), CASE WHEN insider_title IS NULL THEN 'Second' END) AS insider_name, CASE WHEN insider_title IS NULL THEN 'multiple reportingOwner blocks (2); using first only' END AS warning
+FROM filing WHERE parse_error IS NULL AND accession_number IN (SELECT accession_number FROM form4_transaction)""")
 def xml_headers(spark, sf):
-    """Headers read back from ownership XML."""
-    return landed.ownership_header(landed.ownership(ownership_xml(spark, sf))).select("accession_number", "document_type", "is_amendment", "issuer_cik", "issuer_name", "insider_cik", "insider_name")
+    """Headers read back from ownership XML; of several owners the first one counts."""
+    return landed.ownership_header(landed.ownership(ownership_xml(spark, sf, varied=True))).select("accession_number", "document_type", "is_amendment", "issuer_cik", "issuer_name", "insider_cik", "insider_name", "warning")
+
+
+@query("SELECT reason, count(*) AS n FROM (SELECT CASE WHEN parse_error IS NULL THEN 'read' ELSE 'malformed XML' END AS reason FROM (SELECT DISTINCT accession_number, parse_error FROM filing WHERE accession_number IN (SELECT accession_number FROM form4_transaction))) GROUP BY reason")
+def xml_errors(spark, sf):
+    """How many documents could be read, and why not."""
+    return landed.ownership(ownership_xml(spark, sf, varied=True)).groupBy(F.coalesce("parse_error", F.lit("read")).alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query("""SELECT DISTINCT accession_number, CASE WHEN is_amendment THEN 'https://www.sec.gov/Archives/x/doc4.xml' ELSE 'https://www.sec.gov/Archives/edgar/' || accession_number || '/form4.xml' END AS href FROM filing""")
@@ -639,15 +675,20 @@ def symbol_forms(spark, sf):
     return table(spark, sf, "security_master").select("ticker", X.quote_symbol("ticker").alias("quote_symbol"), X.price_symbol("ticker").alias("price_symbol")).distinct()
 
 
-@query(r"""SELECT DISTINCT ticker, strftime(price_date, '%Y-%m-%d') AS price_date, close, high, volume FROM security_daily_prices WHERE close IS NOT NULL""")
+@query(r"""WITH p AS (SELECT DISTINCT ticker, price_date::DATE AS d, close, high, volume, source FROM security_daily_prices), f AS (SELECT ticker, strftime(d, '%Y-%m') AS m, min(source) AS source, bool_or(volume IS NULL) AS odd, bool_or(high IS NULL) AS bare FROM p GROUP BY ALL)
+SELECT DISTINCT p.ticker, strftime(d, '%Y-%m-%d') AS price_date, close, CASE WHEN NOT bare THEN high END AS high, volume, NULL AS reason FROM p JOIN f ON f.ticker = p.ticker AND f.m = strftime(d, '%Y-%m') WHERE close IS NOT NULL AND NOT (odd AND bare)
+UNION SELECT ticker, NULL, NULL, NULL, NULL, 'html' FROM f WHERE odd AND bare""")
 def price_file_parse(spark, sf):
-    """Bars written as price files, one per ticker and month, and read back."""
+    """Bars written as price files, one per ticker and month, and read back: some end their lines otherwise or order columns otherwise, some lack a column, bear bad
+    lines, or are a page instead."""
     p = table(spark, sf, "security_daily_prices").select("ticker", "price_date", "close", "high", "volume").distinct()
     some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    line = F.concat_ws(",", K.iso("price_date"), some("high"), some("close"), some("volume"))
-    files = p.groupBy("ticker", F.date_format("price_date", "yyyy-MM").alias("m")).agg(F.collect_list(line).alias("l"))
-    body = F.concat(F.lit("Date,High,Close,Volume\n"), F.array_join("l", "\n"))
-    return landed.price_bars(files.select("ticker", body.alias("value"))).select("ticker", K.iso("price_date").alias("price_date"), "close", "high", "volume").distinct()
+    line = F.struct(F.concat_ws(",", K.iso("price_date"), some("high"), some("close"), some("volume")).alias("whole"), F.concat_ws(",", some("volume"), some("close"), F.date_format("price_date", "yyyyMMdd")).alias("bare"))
+    files = p.groupBy("ticker", F.date_format("price_date", "yyyy-MM").alias("m")).agg(F.collect_list(line).alias("l"), F.bool_or(F.col("volume").isNull()).alias("odd"), F.bool_or(F.col("high").isNull()).alias("no_high"))
+    whole = F.concat(F.lit("Date,High,Close,Volume\n"), F.array_join("l.whole", "\n"), F.when(F.col("odd"), F.lit("\n2024-99-01,1,1,1\nnothing\n,,,")).otherwise(""))
+    bare = F.concat(F.lit("VOLUME, close ,Date\r\n"), F.array_join("l.bare", "\r\n"), F.lit("\r\n7,inf,20240101"))
+    body = F.when(F.col("odd") & F.col("no_high"), F.lit("<!DOCTYPE html><html>")).when(F.col("no_high"), bare).otherwise(whole)
+    return landed.price_bars(files.select("ticker", body.alias("value"))).select("ticker", K.iso("price_date").alias("price_date"), "close", "high", "volume", "reason").distinct()
 
 
 @query(f"SELECT accession_number, left(parse_error, 500) AS message, kind AS error_type FROM (SELECT DISTINCT accession_number, parse_error, {_KIND} AS kind FROM filing) WHERE kind IS NOT NULL")

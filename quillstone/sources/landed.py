@@ -87,6 +87,11 @@ reportingOwner array<struct<reportingOwnerId:struct<rptOwnerCik:string,rptOwnerN
 nonDerivativeTable struct<nonDerivativeTransaction:array<{_TX}>>, derivativeTable struct<derivativeTransaction:array<{_TX}>>, _corrupt_record string"""
 
 
+def block_of(xml: Column | str, name: str) -> Column:
+    """The inside of the first element of a local name anywhere in a document, empty if there is none."""
+    return F.regexp_extract(xml, rf"(?s)<(?:[A-Za-z0-9_]+:)?{name}(?:\s[^>]*)?>(.*?)</(?:[A-Za-z0-9_]+:)?{name}\s*>", 1)
+
+
 def first_below(xml: Column | str, name: str) -> Column:
     """Own text of the first element of a local name anywhere in a document, its entities decoded; null if there is none or it is blank."""
     text = F.regexp_extract(xml, rf"<(?:[A-Za-z0-9_]+:)?{name}(?:\s[^>]*)?>\s*([^<]*)", 1)
@@ -102,19 +107,22 @@ def ownership(df: DataFrame, xml: str = "xml", nested_values: bool = True) -> Da
     # the attribute's two spellings would be one name to the column resolver
     doc = F.from_xml(F.regexp_replace(xml, r"\bfootnoteID=", "footnoteId="), OWNERSHIP, {"rowTag": "ownershipDocument", "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     rows = with_once(df, "doc", doc)
-    # a leaf that does not stand where the schema has it is taken from anywhere below: the first element of its name, whatever wraps it
-    kind = F.coalesce(X.blank_to_null("doc.documentType"), first_below(xml, "documentType"))
-    cik = F.coalesce(X.blank_to_null("doc.issuer.issuerCik"), first_below(xml, "issuerCik"))
+    # a leaf that does not stand where the schema has it is the first element of its name anywhere below its parent, whatever wraps it
+    owner = F.try_element_at("doc.reportingOwner", F.lit(1))["reportingOwnerId"]
+    issuer_block, owner_block = block_of(xml, "issuer"), block_of(xml, "reportingOwner")
+    leaves = {
+        "document_type": ("doc.documentType", xml, "documentType"), "schema_version": ("doc.schemaVersion", xml, "schemaVersion"), "period": ("doc.periodOfReport", xml, "periodOfReport"),
+        "issuer_cik": ("doc.issuer.issuerCik", issuer_block, "issuerCik"), "issuer_name": ("doc.issuer.issuerName", issuer_block, "issuerName"), "issuer_ticker": ("doc.issuer.issuerTradingSymbol", issuer_block, "issuerTradingSymbol"),
+        "insider_cik": (owner["rptOwnerCik"], owner_block, "rptOwnerCik"), "insider_name": (owner["rptOwnerName"], owner_block, "rptOwnerName"),
+    }
+    rows = with_once(rows, "head", F.struct(*[F.coalesce(X.blank_to_null(given), first_below(place, name)).alias(c) for c, (given, place, name) in leaves.items()]))
+    kind = F.col("head.document_type")
     error = (
         F.when(F.col(xml).isNull() | ~F.col(xml).rlike(r"<([A-Za-z0-9_]+:)?ownershipDocument[\s>]"), "missing ownershipDocument root")
         .when(F.col("doc._corrupt_record").isNotNull(), "malformed XML").when(kind.isNull(), "missing documentType")
-        .when(~kind.isin(*X.FORMS), F.concat(F.lit("unsupported documentType '"), kind, F.lit("'"))).when(cik.isNull(), "missing issuerCik")
+        .when(~kind.isin(*X.FORMS), F.concat(F.lit("unsupported documentType '"), kind, F.lit("'"))).when(X.pad_cik("head.issuer_cik").isNull(), "missing issuerCik")
     )
-    owner = F.try_element_at("doc.reportingOwner", F.lit(1))["reportingOwnerId"]
-    found = {"document_type": kind, "issuer_cik": cik}
-    found |= {c: F.coalesce(X.blank_to_null(given), first_below(xml, name)) for c, given, name in (("issuer_name", "doc.issuer.issuerName", "issuerName"), ("issuer_ticker", "doc.issuer.issuerTradingSymbol", "issuerTradingSymbol"), ("period", "doc.periodOfReport", "periodOfReport"), ("schema_version", "doc.schemaVersion", "schemaVersion"))}
-    found |= {"insider_cik": F.coalesce(X.blank_to_null(owner["rptOwnerCik"]), first_below(xml, "rptOwnerCik")), "insider_name": F.coalesce(X.blank_to_null(owner["rptOwnerName"]), first_below(xml, "rptOwnerName"))}
-    return rows.withColumns({"parse_error": error, "nested_values": F.lit(nested_values), "head": F.struct(*[v.alias(k) for k, v in found.items()])})
+    return rows.withColumns({"parse_error": error, "nested_values": F.lit(nested_values)})
 
 
 def ownership_header(parsed: DataFrame) -> DataFrame:

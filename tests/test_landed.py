@@ -49,6 +49,25 @@ def test_ownership_xml(spark):
     assert h.warning == "multiple reportingOwner blocks (2); using first only" and heads["flat"].warning is None
 
 
+def test_leaves_below_other_wrappers_and_strict_footnotes(spark):
+    tx = TX.format(date="2024-01-02", attr="", shares="10").replace("<value>2.5</value>", '<value>2.5</value><footnoteId id="F2"/>')
+    side = "<transactionAcquiredDisposedCode><value>Acquired</value></transactionAcquiredDisposedCode>"
+    moved = tx.replace(side, "").replace("<transactionAmounts>", side.replace("Acquired<", "disposed<") + "<transactionAmounts>").replace("</transactionAmounts>", "</transactionAmounts>")
+    wrapped = doc(moved, owners=2).replace("<issuerCik>718293</issuerCik>", "<w><x><issuerCik>718293</issuerCik></x></w>").replace("<documentType>4</documentType>", "<h><documentType> 4 </documentType></h>").replace("<rptOwnerName>A B</rptOwnerName>", "<n><rptOwnerName>A &lt;B&gt;</rptOwnerName></n>", 1)
+    df = spark.createDataFrame([("w", wrapped)], "accession_number string, xml string")
+    parsed = landed.ownership(df)
+    h = landed.ownership_header(parsed).head()
+    assert (h.document_type, h.issuer_cik, h.insider_name, h.warning) == ("4", "0000718293", "A <B>", "multiple reportingOwner blocks (2); using first only")
+    loose, strict = (landed.ownership_transactions(parsed, s).filter("transaction_index = 0").head() for s in (False, True))
+    assert (loose.footnote_ids, loose.total_value) == (["F2"], None) and (strict.footnote_ids, strict.total_value) == (None, Decimal("25.0000"))
+
+
+def test_index_lines_that_are_set_apart(spark):
+    lines = ["7|A|4|2024-01-02|a.txt", "7|A|4|2024-13-03|b.txt", "x7|A|4/A|2024-01-02|c.txt", "7|A|8-K|bad|d.txt", None, "-----"]
+    got = {(r.line[-5:], r.reason) for r in landed.master_index_rejects(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    assert got == {("b.txt", "bad_date"), ("c.txt", "bad_cik")}
+
+
 def test_exact_product_and_overflow(spark):
     df = spark.createDataFrame([("non_derivative", Decimal("0.00012345"), Decimal("0.00012345"), None), ("non_derivative", Decimal("1234.5678"), Decimal("3.00000001"), []), ("non_derivative", Decimal("99999999999999999999"), Decimal("99999999999999999999"), None), ("derivative", Decimal(1), Decimal(1), None), ("non_derivative", None, Decimal(1), None), ("non_derivative", Decimal(1), Decimal(1), ["F1"])], "c string, s decimal(28,8), p decimal(28,8), f array<string>")
     assert [r.t for r in df.select(X.total_value("c", "s", "p", "f").alias("t")).collect()] == [Decimal("0.0000"), Decimal("3703.7034"), None, None, None, None]
@@ -111,6 +130,8 @@ def test_small_functions(spark):
     assert v(landed.text_of("v"), b"a\xffb", "binary") == "a�b" and v(X.new_york("v"), dt.datetime(2024, 7, 1, 12), "timestamp_ntz") == dt.datetime(2024, 7, 1, 8)
     assert v(X.filing_index_url("v", F.lit("0001-24-7")), "0000718293") == "https://www.sec.gov/Archives/edgar/data/718293/0001247/0001-24-7-index.htm" and "search_text=0001-24-7" in v(X.filing_index_url("v", F.lit("0001-24-7")), None)
     assert v(X.document_url(F.lit("07"), F.lit("a-b"), "v"), "d.xml") == "https://www.sec.gov/Archives/edgar/data/7/ab/d.xml" and v(X.document_url(F.lit("07"), F.lit("a-b"), "v"), "https://x/y") == "https://x/y"
+    assert X.cik_list("CIK7, 12345678901\n7") == ["0000000007", "1234567890"] and X.cik_list(None) == [] and X.cik_list(["x", "9"]) == ["0000000009"]
+    assert v(X.content_sha("v"), b"", "binary") == X.EMPTY_SHA and v(X.content_path("raw/", F.lit("a"), "v"), "h") == "raw/a/h.xml"
     assert X.session_dates("2024-01-02", None) == ["2024-01-02"] and X.session_dates("2024-01-02", "2024-02-02T1, 2024-01-05,2024-01-05") == ["2024-01-05", "2024-02-02"]
     with pytest.raises(ValueError):
         X.session_dates(" ", "")
