@@ -209,8 +209,16 @@ def encoder(path: str = VOCABULARY) -> Encoder:
     return _built[path]
 
 
+_sent: dict[tuple[str, str], object] = {}
+
+
 def _shared(df: DataFrame, path: str):
-    return df.sparkSession.sparkContext.broadcast(encoder(path))
+    """The encoder on the workers, sent once per application; its size is that of the vocabulary file."""
+    context = df.sparkSession.sparkContext
+    at = (context.applicationId, path)
+    if at not in _sent:
+        _sent[at] = context.broadcast(encoder(path))
+    return _sent[at]
 
 
 def encode(df: DataFrame, key: str, text: str | Column, path: str = VOCABULARY) -> DataFrame:

@@ -3,7 +3,8 @@
 * A word's acquisition grade is the interpolated median of its graded distribution: its mean relative frequency in the labelled texts of each level,
   each level weighing the same. Words of fewer than ``min_texts`` labelled texts have no grade.
 * A text is described by quantiles (and the mean) of the grades of its known words; a ridge regression of the labels on these quantiles calibrates
-  them, and the level is the calibrated score rounded to 1..5.
+  them, and the level is the calibrated score rounded to 1..5. The calibration is cross-fitted: each labelled text is described by grades learnt from the
+  other folds of the sample, as a text without a label is, and the grades of all folds together score the corpus.
 * English prose is text with at least ``min_words`` words of letters, mostly letters, whose words are largely known to the graded vocabulary, and
   whose stated language, if any, is English. Tables, logs and other languages fall out without a list of formats.
 
@@ -38,8 +39,9 @@ MIN_WORDS = 30
 MIN_LETTERS = 0.6
 MIN_KNOWN = 0.5
 RIDGE = 1e-2
+FOLDS = 5
 
-_TAG = re.compile(r"<[^<>]{1,300}>")
+_TAG = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->|<[!?][^<>]*>", re.DOTALL)
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _SPACE = re.compile(r"\s+")
 #: Marks without width that may stand inside a word.
@@ -116,45 +118,63 @@ def calibrate(described: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np
 
 def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        level, out_level, out_word, out_share = batch.column("level").to_pylist(), [], [], []
-        for lv, text in zip(level, batch.column("text").to_pylist(), strict=True):
+        level, fold, out_level, out_fold, out_word, out_share = batch.column("level").to_pylist(), batch.column("fold").to_pylist(), [], [], [], []
+        for lv, f, text in zip(level, fold, batch.column("text").to_pylist(), strict=True):
             found = words(text)[0]
             for w, k in Counter(found).items():
                 out_level.append(lv)
+                out_fold.append(f)
                 out_word.append(w)
                 out_share.append(k / len(found))
-        yield pa.RecordBatch.from_arrays([pa.array(out_word, pa.string()), pa.array(out_level, pa.int32()), pa.array(out_share, pa.float64())], names=["word", "level", "share"])
+        yield pa.RecordBatch.from_arrays([pa.array(out_word, pa.string()), pa.array(out_level, pa.int32()), pa.array(out_fold, pa.int32()), pa.array(out_share, pa.float64())], names=["word", "level", "fold", "share"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, min_texts: int = MIN_TEXTS) -> Model:
+def _graded(names: list[str], texts: np.ndarray, sums: np.ndarray, sizes: np.ndarray, min_texts: int) -> dict[str, float]:
+    """Grades of the words of at least ``min_texts`` texts; ``sums`` has a row per word and a column per level."""
+    weights = sums / np.maximum(sizes, 1)
+    fit = np.flatnonzero((texts >= min_texts) & (weights.sum(axis=1) > 0))
+    return dict(zip([names[i] for i in fit], np.round(grade(weights[fit]), 4).tolist(), strict=True)) if len(fit) else {}
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, min_texts: int = MIN_TEXTS, folds: int = FOLDS) -> Model:
     """The model of a bounded labelled sample. ``docs`` has (doc_id, text), ``labels`` has (doc_id, reading_level)."""
     known = labels.filter(f"doc_id is not null and reading_level between 1 and {LEVELS}").groupBy("doc_id").agg(F.max("reading_level").cast("int").alias("level"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("level", "text")  # at most max_labelled small rows
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(folds)).cast("int"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("level", "fold", "text")  # at most max_labelled small rows
     texts = texts.persist(StorageLevel.DISK_ONLY)
+    shared = None
     try:
-        per_level = {r["level"]: r["n"] for r in texts.groupBy("level").agg(F.count("*").alias("n")).collect()}
-        if not per_level:
+        sizes = np.zeros((folds, LEVELS))
+        for r in texts.groupBy("fold", "level").agg(F.count("*").alias("n")).collect():  # a row per fold and level
+            sizes[r["fold"], r["level"] - 1] = r["n"]
+        if not sizes.any():
             return Model({})
-        sums = [F.sum(F.when(F.col("level") == lv, F.col("share")).otherwise(0.0)).alias(f"s{lv}") for lv in range(1, LEVELS + 1)]
-        table = texts.mapInArrow(_shares, "word string, level int, share double").groupBy("word").agg(F.count("*").alias("texts"), *sums).filter(F.col("texts") >= min_texts).drop("texts").toArrow()
-        sizes = np.array([max(1, per_level.get(lv, 0)) for lv in range(1, LEVELS + 1)])
-        weights = np.column_stack([table.column(f"s{lv}").to_numpy() for lv in range(1, LEVELS + 1)]) / sizes
-        model = Model(dict(zip(table.column("word").to_pylist(), np.round(grade(weights), 4).tolist(), strict=True)) if len(weights) else {})
-        names = [f"f{i}" for i in range(len(QUANTILES) + 1)]
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+        parts = [F.sum(F.when((F.col("level") == lv) & (F.col("fold") == f), F.col("share")).otherwise(0.0)).alias(f"s{f}_{lv}") for f in range(folds) for lv in range(1, LEVELS + 1)]
+        counts = [F.count_if(F.col("fold") == f).alias(f"n{f}") for f in range(folds)]
+        table = texts.mapInArrow(_shares, "word string, level int, fold int, share double").groupBy("word").agg(F.count("*").alias("texts"), *counts, *parts).filter(F.col("texts") >= min_texts).toArrow()
+        names = table.column("word").to_pylist()
+        seen_in = np.column_stack([table.column(f"n{f}").to_numpy() for f in range(folds)]).reshape(len(names), folds)
+        sums = np.column_stack([table.column(f"s{f}_{lv}").to_numpy() for f in range(folds) for lv in range(1, LEVELS + 1)]).reshape(len(names), folds, LEVELS)
+        model = Model(_graded(names, seen_in.sum(axis=1), sums.sum(axis=1), sizes.sum(axis=0), min_texts))
+        apart = [Model(_graded(names, seen_in.sum(axis=1) - seen_in[:, f], sums.sum(axis=1) - sums[:, f], sizes.sum(axis=0) - sizes[f], min_texts)) for f in range(folds)]
+        columns = [f"f{i}" for i in range(len(QUANTILES) + 1)]
+        shared = docs.sparkSession.sparkContext.broadcast(apart)
 
         def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = shared.value
             for batch in batches:
-                rows = [(lv, d) for lv, t in zip(batch.column("level").to_pylist(), batch.column("text").to_pylist(), strict=True) if (d := shared.value.describe(words(t)[0])[0]) is not None]
-                values = np.array([d for _, d in rows]).reshape(len(rows), len(names))
-                yield pa.RecordBatch.from_arrays([pa.array([lv for lv, _ in rows], pa.int32()), *[pa.array(values[:, i]) for i in range(len(names))]], names=["level", *names])
+                each = zip(batch.column("level").to_pylist(), batch.column("fold").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                rows = [(lv, d) for lv, f, t in each if (d := own[f].describe(words(t)[0])[0]) is not None]
+                values = np.array([d for _, d in rows]).reshape(len(rows), len(columns))
+                yield pa.RecordBatch.from_arrays([pa.array([lv for lv, _ in rows], pa.int32()), *[pa.array(values[:, i]) for i in range(len(columns))]], names=["level", *columns])
 
-        seen = texts.mapInArrow(describe, "level int, " + ", ".join(f"{n} double" for n in names)).toArrow()
+        seen = texts.mapInArrow(describe, "level int, " + ", ".join(f"{n} double" for n in columns)).toArrow()
     finally:
         texts.unpersist()
+        if shared is not None:
+            shared.unpersist()
     if seen.num_rows:
-        x = np.column_stack([seen.column(n).to_numpy() for n in names])
+        x = np.column_stack([seen.column(n).to_numpy() for n in columns])
         y = seen.column("level").to_numpy().astype(float)
         order = np.lexsort([*x.T, y])  # sums in one order, whatever order the rows came in
         model.center, model.beta = calibrate(x[order], y[order])

@@ -41,6 +41,17 @@ def test_held_out_levels_and_prose(corpus):
     assert all(abs((again[i] or 0) - (got[i].score or 0)) < 1e-6 for i in got)
 
 
+def test_calibration_is_not_fitted_on_the_texts_that_graded_the_words(spark):
+    """Labels without any relation to the words: grades learnt from a text itself would seem to explain them, grades of other folds must not."""
+    rng = np.random.default_rng(5)
+    pool = [f"{a}{b}" for a in "bcdfghjklm" for b in ("ab", "eb", "ib", "ob", "ub", "ad", "ed", "id", "od", "ud")]
+    rows = [(i, " ".join(str(w) for w in rng.choice(pool, 25)), None) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(rng.integers(1, 6))) for i in range(150)], "doc_id long, reading_level int")
+    scores = np.array([r.score for r in reading.levels(docs, reading.fit(docs, labels)).collect()])
+    assert scores.std() < 0.5 and 2 < scores.mean() < 4
+
+
 def test_sample_is_bounded_and_nothing_to_learn_is_fine(corpus, spark):
     docs, labels = corpus
     assert len(reading.fit(docs, labels, max_labelled=1, min_texts=1).grades) < 40
@@ -56,4 +67,5 @@ def test_grades_of_plain_distributions():
 
 def test_words():
     assert reading.words("<b>Théy don’t</b> sell&amp;buy 3 AB­C!")[0] == ["they", "don't", "sell", "buy", "abc"]
+    assert reading.words("<a " + "title='pecuniary thereof' " * 400 + ">see</a><!-- not\n this --> if 2 < 3 they > we")[0] == ["see", "if", "they", "we"]
     assert reading.words(None) == ([], 0.0) and reading.words(" \n")[0] == []
