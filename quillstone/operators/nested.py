@@ -23,6 +23,7 @@ Defined results
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from collections.abc import Iterator
@@ -237,22 +238,45 @@ def ref_ids(value: object) -> list[str]:
     return out
 
 
+def _shape(value: str) -> Node:
+    """The node of a text by its shape."""
+    c = value[:1]
+    if c.isdigit() or c in "+-.":
+        state = DATE if _DATE.fullmatch(value) else NUMBER if _NUMBER.fullmatch(value) else TEXT
+    else:
+        state = CODE if len(value) <= 2 and value.isalpha() and value.isupper() else TEXT if value.strip() else NIL
+    return Node(state, value)
+
+
+_short = lru_cache(maxsize=1 << 14)(_shape)  # nodes are never changed, so like texts may share one
+
+
 def _leaf(value: object) -> Node | None:
     """The node of a scalar; null for a list, an object or text that may be JSON."""
     if value is None:
         return _NIL
-    if isinstance(value, str):
-        c = value[:1]
-        if c in "[{" and c and value.rstrip()[-1:] in ("]", "}"):
+    kind = type(value)
+    if kind is str:
+        if value[:1] in ("[", "{") and value.rstrip()[-1:] in ("]", "}"):
             return None
-        if c.isdigit() or c in "+-.":
-            state = DATE if _DATE.fullmatch(value) else NUMBER if _NUMBER.fullmatch(value) else TEXT
-        else:
-            state = CODE if len(value) <= 2 and value.isalpha() and value.isupper() else TEXT if value.strip() else NIL
-        return Node(state, value)
-    if isinstance(value, bool):
+        return _short(value) if len(value) < 24 else _shape(value)
+    if kind is bool:
         return Node(FLAG, value)
-    return Node(NUMBER, value) if isinstance(value, (int, float)) else None
+    return Node(NUMBER, value) if kind is int or kind is float else None
+
+
+def _wrapped(value: object) -> Node | None:
+    """The node of an object that holds nothing but a scalar value: by far the most frequent one, told without a frame of its own."""
+    if type(value) is dict and len(value) == 1:
+        for name, held in value.items():
+            if says(name) & SAYS_VALUE and (leaf := _leaf(held)) is not None:
+                return Node(leaf.state, value, {name: leaf})
+    return None
+
+
+@lru_cache(maxsize=1 << 14)
+def _id_name(names: tuple[str, ...]) -> str | None:
+    return next((k for k in names if letters(k) == "id"), None)
 
 
 class _Open:
@@ -262,10 +286,10 @@ class _Open:
 
     def __init__(self, value: list | dict, encoded: bool):
         self.value, self.refs, self.key, self.encoded = value, (), None, encoded
-        if isinstance(value, dict):
+        if type(value) is dict:
             self.rest, self.parts = iter(value.items()), {}
         else:
-            self.rest, self.parts = ((None, v) for v in value), []
+            self.rest, self.parts = iter(value), []
 
     def add(self, key: str | None, node: Node) -> None:
         if node.refs:
@@ -276,51 +300,75 @@ class _Open:
             self.parts[key] = node
 
     def close(self) -> Node:
-        if isinstance(self.parts, list):
-            states = {c.state for c in self.parts}
+        parts = self.parts
+        if type(parts) is list:
+            states = {c.state for c in parts}
             state = TABLE if TRANSACTION in states or TABLE in states else OWNER if states == {OWNER} else OTHER
-            return Node(state, self.value, self.parts, self.refs, self.encoded)
-        state = transition(tuple(self.parts), tuple(c.state for c in self.parts.values()))
+            return Node(state, self.value, parts, self.refs, self.encoded)
+        names = tuple(parts)
+        state = transition(names, tuple([c.state for c in parts.values()]))
         refs = self.refs
         if state == REF:
             refs = ref_ids(self.value)
-        elif state == NOTE:
-            refs = ref_ids({"id": next(v for k, v in self.value.items() if letters(k) == "id")})
-        elif state in LEAVES and (own := next((v for k, v in self.value.items() if letters(k) == "id"), None)) is not None:
-            refs = [*refs, *ref_ids(own)]  # a wrapped value with the id of its footnote beside it
-        return Node(state, self.value, self.parts, refs, self.encoded)
+        elif state in _MAY_HAVE_ID and (own := _id_name(names)) is not None:
+            # of a note its id; of a wrapped value the id of its footnote beside it
+            refs = ref_ids({"id": self.value[own]}) if state == NOTE else [*refs, *ref_ids(self.value[own])]
+        return Node(state, self.value, parts, refs, self.encoded)
+
+
+_MAY_HAVE_ID = LEAVES | {NOTE}
 
 
 def classify(value: object) -> Node:
     """One transition per node, members first, on a stack of open lists and objects."""
+    root = _leaf(value)
+    if root is not None:
+        return root
     frames: list[_Open] = []
-    key: str | None = None
-    child = value
+    child, key = value, None
     while True:
-        node = Node(REF, child, None, ref_ids(child)) if key is not None and says(key) & SAYS_FOOTNOTE and not _has_text(child) else _leaf(child)
-        if node is None:
-            encoded = isinstance(child, str)
-            inner = child
-            if encoded:
-                try:
-                    inner = parse(child)
-                except ValueError:
-                    inner = None
-                if not isinstance(inner, (list, dict)):
-                    node = Node(TEXT, child)
-            if node is None:
-                frames.append(_Open(inner, encoded or bool(frames) and frames[-1].encoded))
-                if len(frames) > 1:
-                    frames[-2].key = key
+        # open a list, an object or a text that holds one
+        inner, encoded = child, type(child) is str
+        if encoded:
+            try:
+                inner = parse(child)
+            except ValueError:
+                inner = None
+        if type(inner) in (list, dict):
+            if frames:
+                frames[-1].key = key
+                encoded = encoded or frames[-1].encoded
+            frames.append(_Open(inner, encoded))
         elif frames:
-            frames[-1].add(key, node)
+            frames[-1].add(key, Node(TEXT, child))
         else:
-            return node
-        while True:  # the next member, closing what has none left
+            return Node(TEXT, child)
+        # go on with the innermost one until a member has to be opened; close what has no member left
+        while True:
             frame = frames[-1]
-            step = next(frame.rest, None)
-            if step is not None:
-                key, child = step
+            parts = frame.parts
+            opened = False
+            if type(parts) is dict:
+                for key, child in frame.rest:
+                    if says(key) & SAYS_FOOTNOTE and not _has_text(child):
+                        node = Node(REF, child, None, ref_ids(child))
+                    else:
+                        node = _leaf(child) or _wrapped(child)
+                        if node is None:
+                            opened = True
+                            break
+                    if node.refs:
+                        frame.refs = [*frame.refs, *node.refs] if frame.refs else node.refs
+                    parts[key] = node
+            else:
+                key = None
+                for child in frame.rest:
+                    node = _leaf(child)
+                    if node is None:
+                        opened = True
+                        break
+                    parts.append(node)
+            if opened:
                 break
             done = frame.close()
             frames.pop()
@@ -446,20 +494,25 @@ def _columns(table: str) -> dict[str, str]:
 
 
 _ARROW_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
-SCHEMA = "record_id bigint, accession_number string, variant string, document_type string, issuer_cik string, " + ", ".join(f"{t} array<struct<{', '.join(f'{c}:{k}' for c, k in _columns(t).items())}>>" for t in TABLES)
-ARROW = pa.schema([("record_id", pa.int64()), *[(c, pa.string()) for c in _HEADER[1:]], *[(t, pa.list_(pa.struct([(c, _ARROW_TYPES[k]) for c, k in _columns(t).items()]))) for t in TABLES]])
+#: What links need of the transaction tables, and nothing else.
+LINKS = {"non_derivative": ("transaction_index", "footnote_ids"), "derivative": ("transaction_index", "footnote_ids")}
 
 
-def _row(node: Node, table: str, position: int, fields: dict[str, Node]) -> dict:
-    row = {c: _pick(fields, *names) for c, names in TABLES[table].items()}
+def _schemas(only: dict[str, tuple[str, ...]] | None) -> tuple[str, pa.Schema]:
+    kept = {t: {c: k for c, k in _columns(t).items() if only is None or c in only[t]} for t in TABLES if only is None or t in only}
+    ddl = "record_id bigint, accession_number string, variant string, document_type string, issuer_cik string, " + ", ".join(f"{t} array<struct<{', '.join(f'{c}:{k}' for c, k in cs.items())}>>" for t, cs in kept.items())
+    return ddl, pa.schema([("record_id", pa.int64()), *[(c, pa.string()) for c in _HEADER[1:]], *[(t, pa.list_(pa.struct([(c, _ARROW_TYPES[k]) for c, k in cs.items()]))) for t, cs in kept.items()]])
+
+
+def _row(node: Node, wanted: dict[str, tuple[str, ...]], position: int, fields: dict[str, Node]) -> dict:
+    row = {c: _pick(fields, *names) for c, names in wanted.items()}
     row["position"] = position
-    if table not in ("owners", "notes"):
-        row["footnote_ids"] = list(dict.fromkeys(node.refs))
+    row["footnote_ids"] = list(dict.fromkeys(node.refs)) if node.refs else []
     return row
 
 
-def flatten(payload: str | None) -> dict:
-    """The typed, nested row of one payload: header fields and an array of rows per subtype table."""
+def flatten(payload: str | None, tables: dict[str, dict[str, tuple[str, ...]]] = TABLES) -> dict:
+    """The typed, nested row of one payload: header fields and an array of rows per subtype table; ``tables`` says which of their columns are wanted."""
     empty = {"document_type": None, "issuer_cik": None} | {t: [] for t in TABLES}
     if payload is None or not payload.strip():
         return empty | {"variant": "null"}
@@ -481,14 +534,14 @@ def flatten(payload: str | None) -> dict:
                 found[kind].append((node, fields))
             else:
                 rows = out[f"{kind}_holdings"]
-                rows.append(_row(node, f"{kind}_holdings", len(rows), fields))
+                rows.append(_row(node, tables[f"{kind}_holdings"], len(rows), fields))
         else:
-            rows = out["owners" if state == OWNER else "notes"]
-            rows.append(_row(node, "owners" if state == OWNER else "notes", len(rows), fields))
+            name = "owners" if state == OWNER else "notes"
+            out[name].append(_row(node, tables[name], len(out[name]), fields))
     position = 0
     for kind in ("non_derivative", "derivative"):
         for node, fields in found[kind]:
-            row = _row(node, kind, position, fields)
+            row = _row(node, tables[kind], position, fields)
             stated = _pick(fields, "transactionindex", "index")
             row["transaction_index"] = int(float(stated)) if stated is not None and re.fullmatch(r"\s*\d{1,15}\.0+\s*", stated) else int(stated) if stated is not None and re.fullmatch(r"\s*\d{1,18}\s*", stated) else position
             out[kind].append(row)
@@ -519,22 +572,33 @@ def _header(root: Node) -> Node | None:
     return None
 
 
-def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            part = batch.slice(at, 1000)
-            rows = [flatten(p) for p in part.column(2).to_pylist()]
-            columns = [part.column(0).cast(pa.int64()), part.column(1).cast(pa.string())]
-            columns += [pa.array([r[f.name] for r in rows], type=f.type) for f in list(ARROW)[2:]]
-            yield pa.RecordBatch.from_arrays(columns, schema=ARROW)
+def _pass(wanted: dict[str, dict[str, tuple[str, ...]]], schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                gc.disable()  # trees have no cycles; searching them for some costs a fifth of the time
+                try:
+                    rows = [flatten(p, wanted) for p in part.column(2).to_pylist()]
+                finally:
+                    gc.enable()
+                columns = [part.column(0).cast(pa.int64()), part.column(1).cast(pa.string())]
+                columns += [pa.array([r[f.name] for r in rows], type=f.type) for f in list(schema)[2:]]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return run
 
 
 # --- the tables --------------------------------------------------------------------------------------------------------------------
 
 
-def records(df: DataFrame, record_id: str = "record_id", accession: str = "accession_number", payload: str = "payload") -> DataFrame:
-    """One row per record with an array per subtype table. Extra columns are not read."""
-    return df.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(accession).cast("string").alias("accession_number"), F.col(payload).cast("string").alias("payload")).mapInArrow(_run, SCHEMA)
+def records(df: DataFrame, record_id: str = "record_id", accession: str = "accession_number", payload: str = "payload", only: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """One row per record with an array per subtype table. Extra columns are not read. ``only`` names the subtype tables and their columns that are wanted; the
+    optimizer can't see into the pass, so what is not wanted is left out here."""
+    ddl, schema = _schemas(only)
+    wanted = {t: {c: names for c, names in columns.items() if only is None or c in only.get(t, ())} for t, columns in TABLES.items()}
+    rows = df.select(F.col(record_id).cast("bigint").alias("record_id"), F.col(accession).cast("string").alias("accession_number"), F.col(payload).cast("string").alias("payload"))
+    return rows.mapInArrow(_pass(wanted, schema), ddl)
 
 
 def subtype(nested: DataFrame, table: str) -> DataFrame:

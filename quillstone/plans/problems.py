@@ -20,18 +20,21 @@ def _payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return nested.attached(nested.records(_payloads(spark, sf)))
+    return nested.attached(nested.records(_payloads(spark, sf), only=nested.LINKS))
+
+
+_COUNTED = {t: ("position",) for t in nested.TABLES}
 
 
 def p1_records(spark: SparkSession, sf: str) -> DataFrame:
     """The record table: one row per distinct record with its variant and the number of its children."""
-    rows = nested.records(_payloads(spark, sf))
+    rows = nested.records(_payloads(spark, sf), only=_COUNTED)
     return rows.select("record_id", "accession_number", "variant", "document_type", K.cik_digits("issuer_cik").alias("issuer_cik"), *[F.size(t).alias(t) for t in nested.TABLES]).distinct()
 
 
 def p1_variants(spark: SparkSession, sf: str) -> DataFrame:
     """How many rows of each subtype table come from each record variant; repeated records count once."""
-    rows = nested.records(_payloads(spark, sf)).select("record_id", "variant", *[F.size(t).alias(t) for t in nested.TABLES]).distinct()
+    rows = nested.records(_payloads(spark, sf), only=_COUNTED).select("record_id", "variant", *[F.size(t).alias(t) for t in nested.TABLES]).distinct()
     told = rows.select("variant", F.inline(F.array(*[F.struct(F.lit(t).alias("subtype"), F.col(t).alias("n")) for t in nested.TABLES])))
     return told.groupBy("variant", "subtype").agg(F.sum("n").alias("row_count"))
 
