@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
 from quillstone.functions import keys as K
-from quillstone.operators import ingest, merge
+from quillstone.operators import ingest, merge, universe
 from quillstone.plans import reference
 from quillstone.sources import landed
 from quillstone.sources.tables import table
@@ -233,3 +233,111 @@ def index_state_counts(spark, sf):
     """Rows of an index state by model and status, the form standing for the model."""
     rows = table(spark, sf, "filing").select("accession_number", F.col("document_type").alias("model_id"), F.when(F.col("parse_error").isNull(), "ok").otherwise("error").alias("status")).distinct()
     return rows.groupBy("model_id", "status").agg(F.count("*").alias("n"))
+
+
+# --- keyed merges of the loaded tables ---------------------------------------------------------------------------------------------
+
+_CUT = "TIMESTAMP '2024-07-01'"
+
+
+def _sides(rows: DataFrame, keys: list[str], at: str) -> tuple[DataFrame, DataFrame]:
+    """The last row per key of what came before the cut, and of what came after it."""
+    early = F.col(at).cast("timestamp_ntz") < F.lit("2024-07-01 00:00:00").cast("timestamp_ntz")
+    return merge.last_per_key(rows.filter(early), keys, [at]), merge.last_per_key(rows.filter(~early), keys, [at])
+
+
+def _sides_sql(rows: str, keys: str, at: str, rest: str) -> str:
+    pick = lambda op: f"SELECT * FROM rows WHERE {at} {op} {_CUT} QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {at} DESC, {rest}) = 1"
+    return f"WITH rows AS ({rows}), t AS ({pick('<')}), s AS ({pick('>=')})"
+
+
+@query(_sides_sql("SELECT trading_date::DATE AS d, upper(trim(ticker, ' ' || chr(9))) AS ticker, lower(trim(universe_group, ' ' || chr(9))) AS g, cik, source, created_at FROM universe_snapshot", "d, ticker, g", "created_at", "cik DESC NULLS LAST, source DESC") + """
+SELECT strftime(coalesce(s.d, t.d), '%Y-%m-%d') AS trading_date, coalesce(s.ticker, t.ticker) AS ticker, coalesce(s.g, t.g) AS universe_group, CASE WHEN s.d IS NULL THEN t.cik ELSE s.cik END AS cik, strftime(coalesce(t.created_at, s.created_at), '%Y-%m-%d') AS created_at FROM t FULL JOIN s ON s.d = t.d AND s.ticker = t.ticker AND s.g = t.g""")
+def merge_universe(spark, sf):
+    """Session membership after a later delivery: cik and source are replaced, the time of creation stays."""
+    keys = ["trading_date", "ticker", "universe_group"]
+    rows = table(spark, sf, "universe_snapshot").select("trading_date", K.ticker("ticker").alias("ticker"), K.group_name("universe_group").alias("universe_group"), "cik", "source", "created_at")
+    target, source = _sides(rows, keys, "created_at")
+    return merge.upsert(target, source, keys, {"created_at": merge.keep_old}).select(*[K.iso(c).alias(c) if c in ("trading_date", "created_at") else F.col(c) for c in (*keys, "cik", "created_at")])
+
+
+@query(_sides_sql("SELECT upper(trim(ticker, ' ' || chr(9))) AS ticker, price_date::DATE AS d, close, volume, source, ingested_at FROM security_daily_prices WHERE close IS NOT NULL", "ticker, d", "ingested_at", "close DESC, volume DESC NULLS LAST, source DESC") + """
+SELECT coalesce(s.ticker, t.ticker) AS ticker, strftime(coalesce(s.d, t.d), '%Y-%m-%d') AS price_date, CASE WHEN s.d IS NULL THEN t.close ELSE s.close END AS close, CASE WHEN s.d IS NULL THEN t.volume ELSE s.volume END AS volume FROM t FULL JOIN s ON s.ticker = t.ticker AND s.d = t.d""")
+def merge_prices(spark, sf):
+    """Bars after a later ingestion: everything is replaced; bars without a usable close are left out before."""
+    keys = ["ticker", "price_date"]
+    rows = table(spark, sf, "security_daily_prices").filter(X.finite_price("close").isNotNull()).select(K.ticker("ticker").alias("ticker"), "price_date", "close", "volume", "source", "ingested_at")
+    target, source = _sides(rows, keys, "ingested_at")
+    return merge.upsert(target, source, keys).select("ticker", K.iso("price_date").alias("price_date"), "close", "volume")
+
+
+@query(_sides_sql("SELECT trading_date::DATE AS d, lower(trim(universe_group, ' ' || chr(9))) AS g, upper(trim(ticker, ' ' || chr(9))) AS ticker, close, ret_5d, created_at FROM universe_market_context", "d, g, ticker", "created_at", "close DESC NULLS LAST, ret_5d DESC NULLS LAST") + """
+SELECT strftime(coalesce(s.d, t.d), '%Y-%m-%d') AS trading_date, coalesce(s.g, t.g) AS universe_group, coalesce(s.ticker, t.ticker) AS ticker, CASE WHEN s.d IS NULL THEN t.close ELSE s.close END AS close, CASE WHEN s.d IS NULL THEN t.ret_5d ELSE s.ret_5d END AS ret_5d, strftime(coalesce(s.created_at, t.created_at), '%Y-%m-%d') AS created_at FROM t FULL JOIN s ON s.d = t.d AND s.ticker = t.ticker AND s.g = t.g""")
+def merge_context(spark, sf):
+    """Market context after a later run: everything is replaced, the time of creation too."""
+    keys = ["trading_date", "universe_group", "ticker"]
+    rows = table(spark, sf, "universe_market_context").select("trading_date", K.group_name("universe_group").alias("universe_group"), K.ticker("ticker").alias("ticker"), "close", "ret_5d", "created_at")
+    target, source = _sides(rows, keys, "created_at")
+    return merge.upsert(target, source, keys).select(K.iso("trading_date").alias("trading_date"), "universe_group", "ticker", "close", "ret_5d", K.iso("created_at").alias("created_at"))
+
+
+@query(_sides_sql("SELECT trading_date::DATE AS d, upper(trim(ticker, ' ' || chr(9))) AS ticker, sector, market_cap, enrichment_status, fetched_at FROM universe_company_profile", "d, ticker", "fetched_at", "sector DESC NULLS LAST, market_cap DESC NULLS LAST, enrichment_status DESC") + """
+SELECT strftime(coalesce(s.d, t.d), '%Y-%m-%d') AS trading_date, coalesce(s.ticker, t.ticker) AS ticker, CASE WHEN s.d IS NULL THEN t.sector ELSE s.sector END AS sector, CASE WHEN s.d IS NULL THEN t.market_cap ELSE s.market_cap END AS market_cap, CASE WHEN s.d IS NULL THEN t.enrichment_status ELSE s.enrichment_status END AS enrichment_status FROM t FULL JOIN s ON s.d = t.d AND s.ticker = t.ticker""")
+def merge_session_profiles(spark, sf):
+    """Session profiles after a later fetch: everything is replaced, by nulls too."""
+    keys = ["trading_date", "ticker"]
+    rows = table(spark, sf, "universe_company_profile").select("trading_date", K.ticker("ticker").alias("ticker"), "sector", "market_cap", "enrichment_status", "fetched_at")
+    target, source = _sides(rows, keys, "fetched_at")
+    return merge.upsert(target, source, keys).select(K.iso("trading_date").alias("trading_date"), "ticker", "sector", "market_cap", "enrichment_status")
+
+
+# --- loaded tables together --------------------------------------------------------------------------------------------------------
+
+
+@query(_F + _RAW + "SELECT document_type, raw.status AS http_status, count(*) AS transactions FROM (SELECT DISTINCT accession_number, transaction_index FROM form4_transaction) t JOIN f ON f.acc = t.accession_number JOIN raw ON raw.acc = f.acc GROUP BY ALL")
+def transactions_with_raw(spark, sf):
+    """Transactions with their filing and raw document, three tables on one key."""
+    tx = table(spark, sf, "form4_transaction").select("accession_number", "transaction_index").distinct()
+    raw = _raw(spark, sf).select("accession_number", "http_status")
+    return tx.join(_filings(spark, sf).select("accession_number", "document_type"), "accession_number").join(raw, "accession_number").groupBy("document_type", "http_status").agg(F.count("*").alias("transactions"))
+
+
+@query("WITH made AS (" + reference.SQL["screen_universe"] + """), k AS (SELECT upper(trim(ticker, ' ' || chr(9))) AS t, max(cik) AS cik FROM security_master WHERE cik IS NOT NULL GROUP BY 1)
+SELECT trading_date, universe_group, ticker, coalesce(a.cik, b.cik, c.cik) AS cik FROM made LEFT JOIN k a ON a.t = ticker LEFT JOIN k b ON b.t = replace(ticker, '.', '-') LEFT JOIN k c ON c.t = replace(ticker, '-', '.')""")
+def universe_build(spark, sf):
+    """Session membership made from the screens, with ciks by the tickers' spellings, merged into an empty table."""
+    made = universe.screen_members(table(spark, sf, "screen_line"))
+    known = table(spark, sf, "security_master").filter("cik is not null").groupBy(K.ticker("ticker").alias("ticker")).agg(F.max("cik").alias("cik"))
+    rows = made.join(universe.lookup_cik(made, known), "ticker", "left").select("trading_date", "universe_group", "ticker", "cik")
+    return merge.upsert(rows.limit(0), rows, ["trading_date", "universe_group", "ticker"]).withColumn("trading_date", K.iso("trading_date"))
+
+
+@query(_F + r"""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN parse_error IS NOT NULL THEN 'missing ownershipDocument root' WHEN insider_title IS NULL THEN 'missing documentType' WHEN schema_version IS NULL THEN 'unsupported documentType ''3''' WHEN por IS NULL THEN 'missing issuerCik' ELSE 'read' END AS reason FROM f) GROUP BY reason""")
+def xml_validation(spark, sf):
+    """Documents that lack what makes them ownership documents, by what they lack."""
+    f = _filings(spark, sf)
+    kind = F.when(F.col("insider_title").isNull(), F.lit("")).when(F.col("schema_version").isNull(), "3").otherwise("4")
+    cik = F.when(F.col("period_of_report").isNull(), F.lit(" ")).otherwise(F.lit("7"))
+    root = F.when(F.col("parse_error").isNotNull(), F.lit("other")).otherwise(F.lit("ownershipDocument"))
+    xml = F.concat(F.lit("<"), root, F.lit("><documentType>"), kind, F.lit("</documentType><issuer><issuerCik>"), cik, F.lit("</issuerCik></issuer></"), root, F.lit(">"))
+    return landed.ownership(f.select("accession_number", xml.alias("xml"))).groupBy(F.coalesce("parse_error", F.lit("read")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(r"""WITH x AS (SELECT DISTINCT accession_number, insider_title, is_amendment, insider_cik FROM filing)
+SELECT accession_number, concat_ws('; ', nullif(regexp_replace(insider_title, '^\s+|\s+$', '', 'g'), ''), CASE WHEN is_amendment THEN 'director' END, CASE WHEN insider_cik IS NULL THEN 'ten percent owner' END, 'other') AS insider_title FROM x""")
+def insider_titles(spark, sf):
+    """Roles of the first owner as one title."""
+    f = table(spark, sf, "filing").select("accession_number", "insider_title", "is_amendment", "insider_cik").distinct()
+    text = F.replace(F.replace(F.coalesce("insider_title", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    flag = lambda c: F.when(c, F.lit("1")).otherwise("0")
+    xml = F.concat(F.lit("<ownershipDocument><documentType>4</documentType><issuer><issuerCik>7</issuerCik></issuer><reportingOwner><reportingOwnerRelationship><isOfficer>true</isOfficer><officerTitle>"), text, F.lit("</officerTitle><isDirector>"), flag(F.col("is_amendment")), F.lit("</isDirector><isTenPercentOwner>"), flag(F.col("insider_cik").isNull()), F.lit("</isTenPercentOwner><isOther>True</isOther><otherText> other </otherText></reportingOwnerRelationship></reportingOwner></ownershipDocument>"))
+    return landed.ownership_header(landed.ownership(f.select("accession_number", xml.alias("xml")))).select("accession_number", "insider_title")
+
+
+@query(r"""SELECT DISTINCT accession_number, regexp_replace(regexp_replace(issuer_name || '  ' || coalesce(insider_name, ''), '[ \t\r\n]+', ' ', 'g'), '^ | $', '', 'g') AS line, least(20, greatest(1, length(accession_number) - 15))::INTEGER AS clamped, CASE WHEN issuer_name IS NULL THEN 0 ELSE 1 END + CASE WHEN insider_name IS NULL THEN 0 ELSE 1 END AS known FROM filing""")
+def text_and_bounds(spark, sf):
+    """White space collapsed, a number held within bounds, null entries of a map dropped."""
+    f = table(spark, sf, "filing").select("accession_number", "issuer_name", "insider_name")
+    line = X.one_line(F.concat("issuer_name", F.lit("  "), F.coalesce("insider_name", F.lit(""))))
+    known = F.size(X.known_metadata(F.create_map(F.lit("issuer"), F.col("issuer_name"), F.lit("insider"), F.col("insider_name"))))
+    return f.select("accession_number", line.alias("line"), X.clamp(F.length("accession_number") - 15, 1, 20).alias("clamped"), known.alias("known")).distinct()

@@ -764,3 +764,22 @@ def eval_retrieval(spark, sf):
     """The three nearest chunks to each of the fixed questions; three is the report's size."""
     index = _index(spark, sf)
     return embed.evaluate({index.model.model_id: (index.vectors(), index.model)}).withColumn("distance", F.round("distance", 6))
+
+
+@query(_BASE + _SCOPE + f"SELECT accession_number || ':' || transaction_index AS chunk_id, sha256('1' || chr(10) || ({_TEXT})) AS content_hash, 'ok' AS status, '2025-01-01' AS embedded_at FROM tx JOIN scoped USING (accession_number)")
+def index_state(spark, sf):
+    """The index state that a sync left."""
+    return _index(spark, sf).states.read().select("chunk_id", "content_hash", "status", K.iso("embedded_at").alias("embedded_at"))
+
+
+@query(_BASE + _SCOPE + _TOKENS + _asked(_QUESTION) + f"""SELECT 'Filters: ticker=any, side=S, universe_group=any' || chr(10) || chr(10) || 'Retrieved excerpts:' || chr(10) || string_agg('[' || i || '] accession=' || accession_number || ' txn_index=' || transaction_index || ' ticker=' || coalesce(issuer_ticker, 'None') || ' code=' || coalesce(transaction_code, 'None') || ' A/D=D' || chr(10)
+  || 'URL: https://www.sec.gov/Archives/edgar/data/' || ltrim(issuer_cik, '0') || '/' || replace(accession_number, '-', '') || '/' || accession_number || '-index.htm' || chr(10) || t, chr(10) || chr(10) ORDER BY i) || chr(10) || chr(10) || 'Question: {_QUESTION}' AS content
+FROM (SELECT *, {_TEXT} AS t, row_number() OVER (ORDER BY far.distance, chunk_id) AS i FROM far JOIN (SELECT *, accession_number || ':' || transaction_index AS chunk_id FROM tx JOIN scoped USING (accession_number)) c USING (chunk_id) WHERE acquired_disposed_code = 'D' QUALIFY i <= 6)""")
+def answer_prompt(spark, sf):
+    """What a chat model is asked about the six nearest disposals; six is the search's k."""
+    index = _index(spark, sf)
+    rows = _join(_tx(spark, sf), _filing(spark, sf)).withColumn("chunk_id", X.chunk_id("accession_number", "transaction_index"))
+    found = embed.retrieve(index.vectors().join(embed.where(rows, side="S"), "chunk_id"), _QUESTION, index.model).withColumn("text", X.narrative())
+    said: list[str] = []
+    embed.answer(found, _QUESTION, [], lambda m: said.append(m[-1]["content"]) or "", side="S")
+    return spark.createDataFrame([(x,) for x in said], "content string")
