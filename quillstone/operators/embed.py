@@ -61,6 +61,39 @@ class Hashing:
         return out.tolist()
 
 
+class Sentences:
+    """A sentence encoder of a locally installed library, unit length; documents and queries alike."""
+
+    def __init__(self, model_id: str):
+        from sentence_transformers import SentenceTransformer
+
+        self.model = SentenceTransformer(model_id)
+
+    def embed(self, texts: Sequence[str], kind: str = "document") -> list[list[float]]:  # noqa: ARG002
+        return [v.tolist() for v in self.model.encode(list(texts), normalize_embeddings=True)] if texts else []
+
+
+class Remote:
+    """A hosted encoder that is told which kind of text it gets. ``client`` has ``embed(texts, model=..., input_type=...)`` with ``embeddings`` in its answer."""
+
+    def __init__(self, model_id: str, client: Callable[[], object]):
+        self.model_id, self.client = model_id, client()
+
+    def embed(self, texts: Sequence[str], kind: str = "document") -> list[list[float]]:
+        return [list(v) for v in self.client.embed(list(texts), model=self.model_id, input_type=kind).embeddings] if texts else []
+
+
+def _voyage() -> object:
+    import os
+
+    import voyageai
+
+    key = os.environ.get("VOYAGE_API_KEY", "").strip()
+    if not key:
+        raise ValueError("VOYAGE_API_KEY is not set")
+    return voyageai.Client(api_key=key)
+
+
 @dataclass(frozen=True)
 class Model:
     """A provider's factory under a model id."""
@@ -70,7 +103,11 @@ class Model:
     make: Callable[[], object]
 
 
-MODELS = {"hashing-384": Model("hashing-384", 384, lambda: Hashing(384)), "hashing-1024": Model("hashing-1024", 1024, lambda: Hashing(1024))}
+#: Models that need a library or a key fail where these are missing, batch by batch, with rows that say so.
+MODELS = {
+    "all-MiniLM-L6-v2": Model("all-MiniLM-L6-v2", 384, lambda: Sentences("all-MiniLM-L6-v2")), "voyage-finance-2": Model("voyage-finance-2", 1024, lambda: Remote("voyage-finance-2", _voyage)),
+    "hashing-384": Model("hashing-384", 384, lambda: Hashing(384)), "hashing-1024": Model("hashing-1024", 1024, lambda: Hashing(1024)),
+}
 
 
 def batch_size(asked: int | None) -> int:

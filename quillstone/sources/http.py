@@ -7,13 +7,18 @@
 from __future__ import annotations
 
 import importlib
+import json
 import random
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
 #: Answers after which a request is tried again.
 AGAIN = (403, 429, 500, 502, 503, 504)
@@ -73,6 +78,65 @@ def fetch(url: str, opener: Callable, headers: dict[str, str], pace: Pace, attem
     return status, None, error
 
 
+def _named(name: str) -> Callable:
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def fetch_rows(df: DataFrame, url: str, agent: str, opener: str = "quillstone.sources.http:urlopen", interval: float = 0.12, attempts: int = 6, first: float = 5.0, most: float = 120.0) -> DataFrame:
+    """``df`` with the page of each row's address as (status, body, error), so that addresses made from a table (submissions, daily indexes, index pages,
+    documents) are fetched where they stand. All rows go through one task, because the pace holds over all requests; a null address is an error without a request."""
+    kept = [c for c in df.columns if c not in ("status", "body", "error")]
+    headers = {"User-Agent": " ".join(agent.split())}
+    if not headers["User-Agent"]:
+        raise ValueError("agent must say who asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask, pace = _named(opener), Pace(interval)
+        for batch in batches:
+            got = [fetch(u, ask, headers, pace, attempts, first, most) if u else (None, None, "no address") for u in batch.column(url).to_pylist()]
+            pages = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *pages], names=[*kept, "status", "body", "error"])
+
+    rows = df.select(*kept)
+    schema = StructType([*rows.schema.fields, StructField("status", IntegerType()), StructField("body", BinaryType()), StructField("error", StringType())])
+    return rows.coalesce(1).mapInArrow(run, schema)
+
+
+def quote_info(symbol: str, timeout: float = 25.0) -> dict:  # noqa: ARG001 - the library keeps its own
+    """A symbol's quote record by the library that is commonly used for it; an error where it is not installed."""
+    import yfinance
+
+    return yfinance.Ticker(symbol).info
+
+
+def quotes(df: DataFrame, symbol: str = "symbol", info: str = "quillstone.sources.http:quote_info", interval: float = 0.35, timeout: float = 25.0) -> DataFrame:
+    """(symbol, value, error): the quote record of each distinct symbol as JSON, or why there is none. One task, for the pace."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask, pace = _named(info), Pace(interval)
+        for batch in batches:
+            values, errors = [], []
+            for s in batch.column(0).to_pylist():
+                pace.turn()
+                try:
+                    values.append(json.dumps(ask(s, timeout), default=str))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 - whatever a client raises, the row says it
+                    values.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.string()), pa.array(errors, pa.string())], names=["symbol", "value", "error"])
+
+    return df.filter(f"`{symbol}` is not null").select(F.col(symbol).alias("symbol")).distinct().coalesce(1).mapInArrow(run, "symbol string, value string, error string")
+
+
+def echo_info(symbol: str, timeout: float) -> dict:  # noqa: ARG001
+    """A stand-in without a network; an error for symbols that end with X."""
+    if symbol.endswith("X"):
+        raise TimeoutError(symbol)
+    return {"symbol": symbol, "longName": f"Name of {symbol}"}
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = dict(options)
@@ -82,8 +146,7 @@ class _Reader(DataSourceReader):
 
     def read(self, _partition: InputPartition) -> Iterator[tuple]:
         o = self.options
-        module, name = o.get("opener", "quillstone.sources.http:urlopen").split(":")
-        opener = getattr(importlib.import_module(module), name)
+        opener = _named(o.get("opener", "quillstone.sources.http:urlopen"))
         pace = Pace(float(o.get("interval", "0.12")))
         headers = {"User-Agent": " ".join(o.get("agent", "").split())}
         if not headers["User-Agent"]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from datetime import date, datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,13 @@ NAME = "all-us-exchanges-3-month-new-{side}s-{day:%m-%d-%Y}.csv"
 _NAME = re.compile(r"3-month-new-(high|low)s-(\d{2}-\d{2}-\d{4})\.csv$", re.IGNORECASE)
 
 
+def folder(given: str | None, mounted: str, usual: str) -> Path:
+    """Where files of a feed lie: what is given, else the mounted folder if its parent is there, else the usual one under the working directory."""
+    if given and given.strip():
+        return Path(given.strip()).expanduser().resolve()
+    return Path(mounted) if Path(mounted).parent.is_dir() else (Path.cwd() / usual).resolve()
+
+
 def file_names(day: date) -> tuple[str, str]:
     """Names of the high and the low file of a day."""
     return NAME.format(side="high", day=day), NAME.format(side="low", day=day)

@@ -97,6 +97,31 @@ def test_pages_source(spark):
     assert got["http://a/1"].body == b"http://a/1|me me@x" and got["http://a/missing"].error == "HTTP 404" and got["http://a/missing"].status == 404
 
 
+def test_pages_of_a_table_and_quotes(spark):
+    df = spark.createDataFrame([(1, "http://a/1", "own"), (2, "http://a/missing", "own"), (3, None, "own")], "id int, url string, error string")
+    got = {r.id: (r.status, r.body and bytes(r.body), r.error) for r in http.fetch_rows(df, "url", "me me@x", "quillstone.sources.http:dry_run", 0).collect()}
+    assert got == {1: (200, b"http://a/1|me me@x", None), 2: (404, None, "HTTP 404"), 3: (None, None, "no address")}
+    with pytest.raises(ValueError):
+        http.fetch_rows(df, "url", " ")
+    asked = http.quotes(spark.createDataFrame([("AB",), ("AB",), ("QX",), (None,)], "symbol string"), info="quillstone.sources.http:echo_info", interval=0)
+    assert {(r.symbol, r.value, r.error) for r in asked.collect()} == {("AB", '{"symbol": "AB", "longName": "Name of AB"}', None), ("QX", None, "TimeoutError: QX")}
+
+
+def test_hosted_models_are_told_the_kind_and_missing_libraries_are_rows(spark):
+    said = []
+
+    class Client:
+        def embed(self, texts, model, input_type):
+            said.append((tuple(texts), model, input_type))
+            return type("Answer", (), {"embeddings": [(1.0, 0.0)] * len(texts)})
+
+    remote = embed.Remote("m", Client)
+    assert remote.embed(["a"]) == [[1.0, 0.0]] and remote.embed(["b"], "query") == [[1.0, 0.0]] and remote.embed([]) == []
+    assert said == [(("a",), "m", "document"), (("b",), "m", "query")]
+    rows = embed.embed(chunks(spark, [("a", "h", "x")]), embed.MODELS["all-MiniLM-L6-v2"]).collect()
+    assert rows[0].status == "ok" or rows[0].error_message.startswith("ModuleNotFoundError")
+
+
 def test_retries_pace_and_pauses():
     now, slept, answers = [0.0], [], [(503, {}, b""), (429, {"Retry-After": "7"}, b""), (200, {}, b"ok")]
     pace = http.Pace(0.5, lambda: now[0], lambda s: (slept.append(round(s, 2)), now.__setitem__(0, now[0] + s)))
