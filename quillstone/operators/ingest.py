@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quillstone.functions import filings as X
 from quillstone.operators import merge, universe
 from quillstone.session import shared_folder
-from quillstone.sources import landed
+from quillstone.sources import http, landed
 
 STATUSES = ("ingested", "skipped", "fetch_failed", "parse_failed", "discover_failed")
 #: Raw documents by accession number.
@@ -174,6 +174,37 @@ def submission_references(payloads: DataFrame, first: str, last: str) -> DataFra
     return merge.last_per_key(refs.filter("accession_number is not null"), ["accession_number"], ["filing_date"])
 
 
+# --- endpoints: addresses made from a table, fetched, and read ----------------------------------------------------------------------
+
+
+def daily_indexes(days: DataFrame, agent: str, **how: object) -> tuple[DataFrame, DataFrame]:
+    """(index lines (day, value), dead letters) of the daily indexes of days; a day without one is a dead letter."""
+    pages = http.fetch_rows(days.select("day", X.daily_index_url("day").alias("url")), "url", agent, **how)
+    good = pages.filter("error is null")
+    lines = good.select("day", F.explode(F.split(landed.text_of("body"), "\r\n|\n|\r")).alias("value"))
+    bad = pages.filter("error is not null").withColumn("accession_number", F.lit(None).cast("string"))
+    return lines, _letters(bad, "discover", F.lit("edgar_request_error"), F.col("error"), F.to_json(F.struct(F.col("day").cast("string").alias("date"), "url")))
+
+
+def submission_records(ciks: DataFrame, agent: str, **how: object) -> DataFrame:
+    """(cik, value, error): the submission record of each cik."""
+    asked = ciks.select(X.pad_cik("cik").alias("cik")).filter("cik is not null").distinct()
+    pages = http.fetch_rows(asked.withColumn("url", X.submissions_url("cik")), "url", agent, **how)
+    return pages.select("cik", F.when(F.col("error").isNull(), landed.text_of("body")).alias("value"), "error")
+
+
+def resolve_documents(refs: DataFrame, agent: str, **how: object) -> DataFrame:
+    """(accession_number, primary_document) that filings' index pages name; filings whose page names none, or can't be had, have no row."""
+    pages = http.fetch_rows(refs.select("accession_number", X.filing_index_url("cik", "accession_number").alias("url")), "url", agent, **how)
+    return pages.filter("error is null").select("accession_number", X.pick_href(landed.text_of("body")).alias("primary_document")).filter("primary_document is not null")
+
+
+def documents(refs: DataFrame, agent: str, **how: object) -> DataFrame:
+    """(accession_number, primary_document, status, body, error): the document of each reference, as ``ingest`` takes it."""
+    asked = refs.select("accession_number", "primary_document", X.document_url("cik", "accession_number", "primary_document").alias("url"))
+    return http.fetch_rows(asked, "url", agent, **how).drop("url")
+
+
 # --- enrichment --------------------------------------------------------------------------------------------------------------------
 
 ERROR = 2_000

@@ -597,7 +597,7 @@ _KIND = """CASE WHEN parse_error ILIKE '%missing ownershipDocument root%' OR par
 @query(f"SELECT 'parse' AS stage, kind, count(*) AS n FROM (SELECT DISTINCT accession_number, {_KIND} AS kind FROM filing) WHERE kind IS NOT NULL GROUP BY kind")
 def errors_by_kind(spark, sf):
     """Dead letters by stage and kind, most first."""
-    rows = table(spark, sf, "filing").select("accession_number", parsefail.filing_reason(F.col("parse_error")).alias("kind")).filter("kind is not null").distinct()
+    rows = parsefail.filing_rows(table(spark, sf, "filing").select("accession_number", "parse_error")).filter("_reason is not null").select("accession_number", F.col("_reason").alias("kind")).distinct()
     return rows.groupBy(F.lit("parse").alias("stage"), "kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "stage", "kind")
 
 
@@ -694,8 +694,8 @@ def price_file_parse(spark, sf):
 @query(f"SELECT accession_number, left(parse_error, 500) AS message, kind AS error_type FROM (SELECT DISTINCT accession_number, parse_error, {_KIND} AS kind FROM filing) WHERE kind IS NOT NULL")
 def dead_letter_rows(spark, sf):
     """Filings that could not be read as rows of a dead-letter table."""
-    f = table(spark, sf, "filing").select("accession_number", "parse_error", "document_type").distinct().withColumn("kind", parsefail.filing_reason(F.col("parse_error"))).filter("kind is not null")
-    return universe.dead_letters(f, "parse", F.col("kind"), F.col("parse_error"), ["document_type"], F.lit("2025-01-01").cast("timestamp")).select("accession_number", "message", "error_type")
+    f = parsefail.filing_rows(table(spark, sf, "filing").select("accession_number", "parse_error", "document_type").distinct()).filter("_reason is not null")
+    return universe.dead_letters(f, "parse", F.col("_reason"), F.col("parse_error"), ["document_type"], F.lit("2025-01-01").cast("timestamp")).select("accession_number", "message", "error_type")
 
 
 @query(r"""SELECT DISTINCT accession_number, nullif(concat_ws(' | ', nullif(regexp_replace(parse_error, '^\s+|\s+$', '', 'g'), ''), CASE WHEN insider_title IS NULL THEN 'insider title empty' END), '') AS message FROM filing""")

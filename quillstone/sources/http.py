@@ -78,12 +78,14 @@ def fetch(url: str, opener: Callable, headers: dict[str, str], pace: Pace, attem
     return status, None, error
 
 
-def _named(name: str) -> Callable:
+def _named(name: str | Callable) -> Callable:
+    if callable(name):
+        return name
     module, _, function = name.partition(":")
     return getattr(importlib.import_module(module), function)
 
 
-def fetch_rows(df: DataFrame, url: str, agent: str, opener: str = "quillstone.sources.http:urlopen", interval: float = 0.12, attempts: int = 6, first: float = 5.0, most: float = 120.0) -> DataFrame:
+def fetch_rows(df: DataFrame, url: str, agent: str, opener: str | Callable = "quillstone.sources.http:urlopen", interval: float = 0.12, attempts: int = 6, first: float = 5.0, most: float = 120.0) -> DataFrame:
     """``df`` with the page of each row's address as (status, body, error), so that addresses made from a table (submissions, daily indexes, index pages,
     documents) are fetched where they stand. All rows go through one task, because the pace holds over all requests; a null address is an error without a request."""
     kept = [c for c in df.columns if c not in ("status", "body", "error")]
@@ -110,7 +112,7 @@ def quote_info(symbol: str, timeout: float = 25.0) -> dict:  # noqa: ARG001 - th
     return yfinance.Ticker(symbol).info
 
 
-def quotes(df: DataFrame, symbol: str = "symbol", info: str = "quillstone.sources.http:quote_info", interval: float = 0.35, timeout: float = 25.0) -> DataFrame:
+def quotes(df: DataFrame, symbol: str = "symbol", info: str | Callable = "quillstone.sources.http:quote_info", interval: float = 0.35, timeout: float = 25.0) -> DataFrame:
     """(symbol, value, error): the quote record of each distinct symbol as JSON, or why there is none. One task, for the pace."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,6 +139,23 @@ def echo_info(symbol: str, timeout: float) -> dict:  # noqa: ARG001
     return {"symbol": symbol, "longName": f"Name of {symbol}"}
 
 
+def post(url: str, payload: bytes, timeout: float) -> bytes:
+    request = urllib.request.Request(url, data=payload, headers={"Content-Type": "application/json"})  # noqa: S310
+    with urllib.request.urlopen(request, timeout=timeout) as r:  # noqa: S310
+        return r.read()
+
+
+def chat(messages: list[dict[str, str]], url: str, model: str, temperature: float = 0.2, timeout: float = 120.0, send: Callable[[str, bytes, float], bytes] = post) -> str:
+    """The reply of a chat model behind an address that takes ``{"model", "messages", "stream", "options"}`` and answers ``{"message": {"content"}}``; an empty
+    reply or one of another form is an error."""
+    asked = {"model": model, "messages": messages, "stream": False, "options": {"temperature": temperature}}
+    said = json.loads(send(f"{url.rstrip('/')}/api/chat", json.dumps(asked).encode(), timeout))
+    content = (said.get("message") or {}).get("content") if isinstance(said, dict) else None
+    if not isinstance(content, str) or not content.strip():
+        raise ValueError("the model gave no reply")
+    return content.strip()
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = dict(options)

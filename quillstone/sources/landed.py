@@ -94,7 +94,9 @@ def block_of(xml: Column | str, name: str) -> Column:
 
 def first_below(xml: Column | str, name: str) -> Column:
     """Own text of the first element of a local name anywhere in a document, its entities decoded; null if there is none or it is blank."""
-    text = F.regexp_extract(xml, rf"<(?:[A-Za-z0-9_]+:)?{name}(?:\s[^>]*)?>\s*([^<]*)", 1)
+    source = F.col(xml) if isinstance(xml, str) else xml
+    # most documents that lack an element don't bear its name at all, which is told faster than by a pattern
+    text = F.when(source.contains(name), F.regexp_extract(source, rf"<(?:[A-Za-z0-9_]+:)?{name}(?:\s[^>]*)?>\s*([^<]*)", 1))
     for entity, c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(c))
     return X.blank_to_null(text)
@@ -109,11 +111,12 @@ def ownership(df: DataFrame, xml: str = "xml", nested_values: bool = True) -> Da
     rows = with_once(df, "doc", doc)
     # a leaf that does not stand where the schema has it is the first element of its name anywhere below its parent, whatever wraps it
     owner = F.try_element_at("doc.reportingOwner", F.lit(1))["reportingOwnerId"]
-    issuer_block, owner_block = block_of(xml, "issuer"), block_of(xml, "reportingOwner")
+    # the blocks are cut out only where one of their leaves is named and not found
+    issuer_block, owner_block = ({n: F.when(F.col(xml).contains(n), block_of(xml, block)) for n in names} for block, names in (("issuer", ("issuerCik", "issuerName", "issuerTradingSymbol")), ("reportingOwner", ("rptOwnerCik", "rptOwnerName"))))
     leaves = {
         "document_type": ("doc.documentType", xml, "documentType"), "schema_version": ("doc.schemaVersion", xml, "schemaVersion"), "period": ("doc.periodOfReport", xml, "periodOfReport"),
-        "issuer_cik": ("doc.issuer.issuerCik", issuer_block, "issuerCik"), "issuer_name": ("doc.issuer.issuerName", issuer_block, "issuerName"), "issuer_ticker": ("doc.issuer.issuerTradingSymbol", issuer_block, "issuerTradingSymbol"),
-        "insider_cik": (owner["rptOwnerCik"], owner_block, "rptOwnerCik"), "insider_name": (owner["rptOwnerName"], owner_block, "rptOwnerName"),
+        "issuer_cik": ("doc.issuer.issuerCik", issuer_block["issuerCik"], "issuerCik"), "issuer_name": ("doc.issuer.issuerName", issuer_block["issuerName"], "issuerName"), "issuer_ticker": ("doc.issuer.issuerTradingSymbol", issuer_block["issuerTradingSymbol"], "issuerTradingSymbol"),
+        "insider_cik": (owner["rptOwnerCik"], owner_block["rptOwnerCik"], "rptOwnerCik"), "insider_name": (owner["rptOwnerName"], owner_block["rptOwnerName"], "rptOwnerName"),
     }
     rows = with_once(rows, "head", F.struct(*[F.coalesce(X.blank_to_null(given), first_below(place, name)).alias(c) for c, (given, place, name) in leaves.items()]))
     kind = F.col("head.document_type")

@@ -122,6 +122,15 @@ def test_hosted_models_are_told_the_kind_and_missing_libraries_are_rows(spark):
     assert rows[0].status == "ok" or rows[0].error_message.startswith("ModuleNotFoundError")
 
 
+def test_chat_model_behind_an_address():
+    sent = []
+    reply = http.chat([{"role": "user", "content": "why?"}], "http://h/", "m", send=lambda url, body, timeout: sent.append((url, body, timeout)) or b'{"message": {"content": " because "}}')
+    assert reply == "because" and sent[0][0] == "http://h/api/chat" and b'"temperature": 0.2' in sent[0][1] and sent[0][2] == 120.0
+    for bad in (b"{}", b"[]", b'{"message": {"content": " "}}'):
+        with pytest.raises(ValueError, match="no reply"):
+            http.chat([], "http://h", "m", send=lambda *_, bad=bad: bad)
+
+
 def test_retries_pace_and_pauses():
     now, slept, answers = [0.0], [], [(503, {}, b""), (429, {"Retry-After": "7"}, b""), (200, {}, b"ok")]
     pace = http.Pace(0.5, lambda: now[0], lambda s: (slept.append(round(s, 2)), now.__setitem__(0, now[0] + s)))

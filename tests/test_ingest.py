@@ -86,3 +86,31 @@ def test_profiles(spark):
     bad = got.filter("enrichment_status = 'error'")
     assert {r.entity_name for r in ingest.upsert_profiles(old, bad, ["cik"]).filter("cik <> '0000000007'").collect()} == {None}
     assert {r.entity_name for r in ingest.upsert_profiles(old, bad, ["cik"], protect=True).collect()} == {"Old"}
+
+
+def test_endpoints_from_index_to_loaded_filing(spark):
+    """A whole run over a web of three pages and one day without an index."""
+    acc, plain = "0000718293-23-000917", "000071829323000917"
+    web = {
+        "https://www.sec.gov/Archives/edgar/daily-index/2024/QTR2/master20240506.idx": f"CIK|Company|Form|Date|File\n7|N|4|2024-05-06|edgar/data/7/{plain}\n".encode(),
+        f"https://www.sec.gov/Archives/edgar/data/7/{plain}/{acc}-index.htm": b'<a href="/Archives/x/form4.xml">x</a>', "https://www.sec.gov/Archives/x/form4.xml": GOOD, "https://data.sec.gov/submissions/CIK0000000007.json": b'{"cik": 7, "name": "Seven"}',
+    }
+
+    def opener(url, headers, timeout):
+        return (200, {}, web[url]) if url in web else (404, {}, b"")
+
+    how = {"opener": opener, "interval": 0.0}
+    frame = spark.createDataFrame
+    lines, lost = ingest.daily_indexes(frame([(D,), (dt.date(2024, 5, 7),)], "day date"), "me me@x", **how)
+    assert [(r.stage, r.error_type, json.loads(r.payload)["date"]) for r in lost.collect()] == [("discover", "edgar_request_error", "2024-05-07")]
+    rows = ingest.landed.master_index(lines)
+    named, none = ingest.references(rows)
+    assert named.count() == 0 and none.head().error_type == "missing_primary_document"
+    found = ingest.resolve_documents(rows.select("cik", X.accession_of_path(F.concat("path", F.lit("/"))).alias("accession_number")), "me me@x", **how)
+    refs, none = ingest.references(rows, found)
+    assert none.count() == 0
+    pages = ingest.documents(refs, "me me@x", **how)
+    done = ingest.ingest(refs.drop("form"), pages, raw_rows(spark, []), frame([], FILING), frame([], TX), now())
+    assert done.status.head().status == "ingested" and done.filing.head().issuer_cik == "0000000007"
+    records = ingest.submission_records(frame([("7",), ("8",)], "cik string"), "me me@x", **how)
+    assert {r.cik[-1]: r.enrichment_status for r in ingest.issuer_profiles(frame([("7",), ("8",)], "cik string"), records, now()).collect()} == {"7": "ok", "8": "error"}
