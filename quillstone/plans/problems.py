@@ -29,7 +29,7 @@ _COUNTED = {t: ("position",) for t in nested.TABLES}
 def p1_records(spark: SparkSession, sf: str) -> DataFrame:
     """The record table: one row per distinct record with its variant and the number of its children."""
     rows = nested.records(_payloads(spark, sf), only=_COUNTED)
-    return rows.select("record_id", "accession_number", "variant", "document_type", K.cik_digits("issuer_cik").alias("issuer_cik"), *[F.size(t).alias(t) for t in nested.TABLES]).distinct()
+    return rows.select("record_id", "accession_number", "variant", "document_type", K.cik_digits("issuer_cik").alias("issuer_cik"), *[F.size(t).cast("bigint").alias(t) for t in nested.TABLES]).distinct()
 
 
 def p1_variants(spark: SparkSession, sf: str) -> DataFrame:
