@@ -144,16 +144,22 @@ def embed(chunks: DataFrame, model: Model, batch: int | None = None, keep: Seque
     return rows.mapInArrow(run, "chunk_id string, content_hash string, embedding array<float>, status string, error_message string" + "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in kept))
 
 
-def sync(chunks: DataFrame, state: DataFrame, vectors: DataFrame, model: Model, now: Column, batch: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """New state (chunk_id, content_hash, status, error_message, embedded_at, updated_at) and new vectors (chunk_id, embedding) after embedding what is pending.
-
-    ``embedded_at`` is the time of the last try if it went well, and null if it did not. The embedded rows serve both results; they are written to the
-    shared checkpoint folder, so that no text is embedded twice."""
+def tried(chunks: DataFrame, state: DataFrame, model: Model, now: Column, batch: int | None = None) -> DataFrame:
+    """(chunk_id, embedding, content_hash, status, error_message, embedded_at, updated_at) of the chunks that were pending. ``embedded_at`` is null where it did not go
+    well. Written to the shared checkpoint folder, so that no text is embedded twice however often the rows are read."""
     shared_folder(chunks.sparkSession)
-    done = embed(merge.pending(chunks, state, ["chunk_id"]).filter("pending"), model, batch).checkpoint()
     at = now.cast("timestamp_ntz")
-    tried = done.drop("embedding").withColumns({"embedded_at": F.when(F.col("status") == "ok", at), "updated_at": at})
-    new_state = merge.upsert(state.select("chunk_id", "content_hash", "status", "error_message", "embedded_at", "updated_at"), tried, ["chunk_id"])
+    done = embed(merge.pending(chunks, state, ["chunk_id"]).filter("pending"), model, batch)
+    return done.withColumns({"embedded_at": F.when(F.col("status") == "ok", at), "updated_at": at}).checkpoint()
+
+
+_STATE = ("chunk_id", "content_hash", "status", "error_message", "embedded_at", "updated_at")
+
+
+def sync(chunks: DataFrame, state: DataFrame, vectors: DataFrame, model: Model, now: Column, batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """New state (chunk_id, content_hash, status, error_message, embedded_at, updated_at) and new vectors (chunk_id, embedding) after embedding what is pending."""
+    done = tried(chunks, state, model, now, batch)
+    new_state = merge.upsert(state.select(*_STATE), done.select(*_STATE), ["chunk_id"])
     new_vectors = merge.upsert(vectors.select("chunk_id", "embedding"), done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"])
     return new_state, new_vectors
 
@@ -174,11 +180,12 @@ class VectorIndex:
         return self.spark.createDataFrame([], schema) if found is None else found
 
     def sync(self, chunks: DataFrame, now: Column, batch: int | None = None) -> DataFrame:
-        """Embeds what is pending and publishes vectors before the state that tells of them; a job that dies in between embeds these again. Returns the state."""
-        state, vectors = sync(chunks, self._or_empty(self.states, STATE), self._or_empty(self.kept, VECTORS), self.model, now, batch)
-        self.kept.use(self.kept.write(vectors))
-        self.states.use(self.states.write(state))
-        return self.states.read()
+        """Embeds what is pending and publishes vectors before the state that tells of them; a job that dies in between embeds these again. Only the parts of
+        both tables that changed are written. Returns the state."""
+        done = tried(chunks, self._or_empty(self.states, STATE), self.model, now, batch)
+        merge.merge_parts(self.kept, done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"])
+        merge.merge_parts(self.states, done.select(*_STATE), ["chunk_id"])
+        return self._or_empty(self.states, STATE)
 
     def vectors(self) -> DataFrame:
         return self._or_empty(self.kept, VECTORS)

@@ -23,8 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EVENTS = ("inserted", "changed", "deleted")
-
 
 def statements(df: DataFrame, entity: Column, day: Column, known_at: Column, attributes: dict[str, tuple[Column, Column]]) -> DataFrame:
     """Non-null statements (attribute, entity_key, day, known_at, value, same) of rows; ``attributes`` maps a name to its value and the form under which

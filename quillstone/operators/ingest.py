@@ -23,7 +23,6 @@ from quillstone.sources import http, landed
 STATUSES = ("ingested", "skipped", "fetch_failed", "parse_failed", "discover_failed")
 #: Raw documents by accession number.
 RAW = "accession_number string, cik string, filing_date date, accepted_at timestamp_ntz, primary_document string, raw_uri string, raw_xml binary, content_sha256 string, fetched_at timestamp_ntz, http_status int, fetch_error string"
-LETTERS = ("accession_number", "stage", "error_type", "message", "payload")
 
 
 def allowed(refs: DataFrame, ciks: DataFrame | None, column: str = "cik") -> DataFrame:

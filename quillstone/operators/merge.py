@@ -6,11 +6,14 @@ no hot spot. Null keys never match and are kept as they are. Empty sides are fin
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.sources.versions import Versions
+
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the last by ``order``, of equals the greatest by all other columns."""
@@ -34,6 +37,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], rules: dict[st
     return joined.select(*out)
 
 
+PARTS = 256
+
+
+def merge_parts(table: Versions, fresh: DataFrame, keys: list[str], order: list[str] | None = None, name: str | None = None, parts: int = PARTS, keep: int = 2) -> None:
+    """Merges rows into a versioned table that lies in parts by a hash of its keys; only the parts that the rows fall into are read and written, each by one
+    task and in one shuffle. The last row per key by ``order`` wins, also over rows merged before; without an order the fresh row does. ``fresh`` has one row per
+    key and is read twice. A version that is in use already is not merged again."""
+    said = table.entry()
+    if name is not None and said.get("name") == name:
+        return
+    parts = int(said.get("of", parts))  # how a table is split stays as it began
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("__part")
+    touched = [str(r[0]) for r in fresh.select(part).distinct().collect()]  # at most as many rows as there are parts
+    if not touched:
+        return
+    turn = lambda df, n: df.select("*", part, F.lit(n).alias("__turn"))
+    old = table.read_parts(touched)
+    rows = turn(fresh, 1) if old is None else turn(old, 0).unionByName(turn(fresh, 1))
+    merged = last_per_key(rows.repartition(len(touched), "__part"), ["__part", *keys], [*(order or []), "__turn"]).drop("__turn")
+    name = name or f"v-{uuid.uuid4().hex}"
+    table.use(name, parts=table.write_parts(merged, "__part", name, touched), of=parts)
+    table.prune(keep)
+
+
 def keep_old_if_null(old: Column, new: Column) -> Column:
     return F.coalesce(new, old)
 

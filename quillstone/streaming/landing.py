@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
-from quillstone.operators.merge import last_per_key
+from quillstone.operators import merge
 from quillstone.sources.versions import Versions
 
-PARTS = 256
-
-
 def lines(spark: SparkSession, folder: str, per_trigger: int = 1000, archive: str | None = None) -> DataFrame:
     """Text lines of files as they land, with their file's name; (c0, file_name). Files whose batch has been committed move to ``archive``, which must lie
     outside ``folder``; a file of that name that is there already is never overwritten."""
@@ -34,31 +31,13 @@ def records(spark: SparkSession, folder: str, schema: StructType | str, per_trig
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(folder)
 
 
-def merge_batch(table: Versions, fresh: DataFrame, keys: list[str], order: list[str], name: str, parts: int = PARTS, keep: int = 2) -> None:
-    """Merges rows into ``table`` as the version ``name``: the last row per key by ``order`` wins, also over rows merged before. Only touched parts move."""
-    said = table.entry()
-    if said.get("name") == name:
-        return  # this batch was merged before a restart
-    parts = int(said.get("of", parts))  # how a table is split stays as it began
-    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int").alias("__part")
-    fresh = fresh.select("*", part)
-    touched = [str(r[0]) for r in fresh.select("__part").distinct().collect()]  # at most as many rows as there are parts
-    if not touched:
-        return
-    old = table.read_parts(touched)
-    rows = fresh if old is None else old.select("*", part).unionByName(fresh)
-    merged = last_per_key(rows, ["__part", *keys], order)
-    table.use(name, parts=table.write_parts(merged, "__part", name, touched), of=parts)
-    table.prune(keep)
-
-
-def merge_into(stream: DataFrame, table: Versions, keys: list[str], order: list[str], checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, parts: int = PARTS) -> StreamingQuery:
+def merge_into(stream: DataFrame, table: Versions, keys: list[str], order: list[str], checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, parts: int = merge.PARTS) -> StreamingQuery:
     """Merges what has landed into ``table``, micro-batch by micro-batch; ends when all is read."""
 
     def step(batch: DataFrame, number: int) -> None:
-        fresh = last_per_key(transform(batch), keys, order).persist()  # asked for its parts, then merged
+        fresh = merge.last_per_key(transform(batch), keys, order).persist()  # asked for its parts, then merged
         try:
-            merge_batch(table, fresh, keys, order, f"v-{number:012d}", parts)
+            merge.merge_parts(table, fresh, keys, order, f"v-{number:012d}", parts)
         finally:
             fresh.unpersist()
 

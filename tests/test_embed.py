@@ -46,8 +46,11 @@ def test_kept_index_embeds_once_and_questions_read_no_text(spark, tmp_path):
     index.sync(chunks(spark, texts), NOW(1))
     index.sync(chunks(spark, texts), NOW(2))
     assert calls.value == 2
+    state = index.sync(chunks(spark, [("b", "2", "gamma delta again"), ("c", "1", None)]), NOW(3))
+    assert {(r.chunk_id, r.content_hash, r.status, r.updated_at.day) for r in state.collect()} == {("a", "1", "ok", 1), ("b", "2", "ok", 3), ("c", "1", "error", 3)} and calls.value == 3
+    assert {r.chunk_id for r in index.vectors().collect()} == {"a", "b"}
     got = embed.evaluate({"one": (index.vectors(), model), "two": (embed.VectorIndex(spark, f"file://{tmp_path}", model).vectors(), model)}, ["gamma delta", "alpha"], 2).collect()
-    assert [(r.model_id, r.question, r["rank"], r.chunk_id) for r in got if r["rank"] == 1] == [(m, q, 1, c) for m in ("one", "two") for q, c in (("gamma delta", "b"), ("alpha", "a"))] and len(got) == 8 and calls.value == 2
+    assert [(r.model_id, r.question, r["rank"], r.chunk_id) for r in got if r["rank"] == 1] == [(m, q, 1, c) for m in ("one", "two") for q, c in (("gamma delta", "b"), ("alpha", "a"))] and len(got) == 8 and calls.value == 3
     assert embed.VectorIndex(spark, f"file://{tmp_path}/none", model).vectors().count() == 0
 
 

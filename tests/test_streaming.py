@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from quillstone.operators import parsefail
+from quillstone.operators import merge, parsefail
 from quillstone.sources.versions import Versions
 from quillstone.streaming import landing
 
@@ -30,20 +30,20 @@ def test_landed_lines_merge_and_replay(spark, tmp_path):
 def test_a_batch_moves_only_the_parts_it_touches_and_survives_a_crash(spark, tmp_path, monkeypatch):
     table = Versions(spark, f"file://{tmp_path}/table")
     base = spark.range(200).selectExpr("id as k", "0 as at", "'old' as v")
-    landing.merge_batch(table, base, ["k"], ["at"], "v-000000000000", 16)
+    merge.merge_parts(table, base, ["k"], ["at"], "v-000000000000", 16)
     before = table.entry()["parts"]
     one = spark.createDataFrame([(7, 1, "new")], "k long, at int, v string")
     monkeypatch.setattr(Versions, "use", lambda *a, **k: (_ for _ in ()).throw(OSError("killed")))
     with pytest.raises(OSError, match="killed"):
-        landing.merge_batch(table, one, ["k"], ["at"], "v-000000000001", 16)
+        merge.merge_parts(table, one, ["k"], ["at"], "v-000000000001", 16)
     monkeypatch.undo()
     assert table.read().filter("v = 'old'").count() == 200  # written, not published
-    landing.merge_batch(table, one, ["k"], ["at"], "v-000000000001", 99)
-    landing.merge_batch(table, one, ["k"], ["at"], "v-000000000001", 99)  # replayed
+    merge.merge_parts(table, one, ["k"], ["at"], "v-000000000001", 99)
+    merge.merge_parts(table, one, ["k"], ["at"], "v-000000000001", 99)  # replayed
     after = table.entry()["parts"]
     assert len(after) == 16 and sum(before[p] != after[p] for p in before) == 1
     assert {(r.k, r.v) for r in table.read().collect()} == {(i, "new" if i == 7 else "old") for i in range(200)}
-    landing.merge_batch(table, one.limit(0), ["k"], ["at"], "v-000000000002", 16)
+    merge.merge_parts(table, one.limit(0), ["k"], ["at"], "v-000000000002", 16)
     assert table.current() == "v-000000000001"
 
 
