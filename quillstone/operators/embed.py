@@ -171,8 +171,8 @@ VECTORS = "chunk_id string, embedding array<float>"
 class VectorIndex:
     """State and vectors of one model as versioned tables on shared storage. A question reads the vectors that are there; only ``sync`` reads texts."""
 
-    def __init__(self, spark: SparkSession, folder: str, model: Model):
-        self.spark, self.model = spark, model
+    def __init__(self, spark: SparkSession, folder: str, model: Model, parts: int = merge.PARTS):
+        self.spark, self.model, self.parts = spark, model, parts
         self.states, self.kept = Versions(spark, f"{folder}/state"), Versions(spark, f"{folder}/vectors")
 
     def _or_empty(self, table: Versions, schema: str) -> DataFrame:
@@ -183,8 +183,8 @@ class VectorIndex:
         """Embeds what is pending and publishes vectors before the state that tells of them; a job that dies in between embeds these again. Only the parts of
         both tables that changed are written. Returns the state."""
         done = tried(chunks, self._or_empty(self.states, STATE), self.model, now, batch)
-        merge.merge_parts(self.kept, done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"])
-        merge.merge_parts(self.states, done.select(*_STATE), ["chunk_id"])
+        merge.merge_parts(self.kept, done.filter("status = 'ok'").select("chunk_id", "embedding"), ["chunk_id"], parts=self.parts)
+        merge.merge_parts(self.states, done.select(*_STATE), ["chunk_id"], parts=self.parts)
         return self._or_empty(self.states, STATE)
 
     def vectors(self) -> DataFrame:

@@ -726,7 +726,7 @@ def _index(spark: SparkSession, sf: str) -> embed.VectorIndex:
     at = (spark.sparkContext.applicationId, sf)
     if at in _kept:
         return embed.VectorIndex(spark, _kept[at], embed.MODELS["hashing-384"])
-    index = embed.VectorIndex(spark, scratch(spark, "vectors"), embed.MODELS["hashing-384"])
+    index = embed.VectorIndex(spark, scratch(spark, "vectors"), embed.MODELS["hashing-384"], parts=spark.sparkContext.defaultParallelism)
     index.sync(_dealt(_chunks(spark, sf)), F.lit("2025-01-01").cast("timestamp"))
     _kept[at] = index.kept.folder.removesuffix("/vectors")
     return index
