@@ -110,7 +110,9 @@ class SnapshotIndex:
         return self._table(said["name"], said["buckets"]).filter("change is null").select("bucket", "key", "hash") if said else None
 
     def apply(self, df: DataFrame, snapshot: str, key: str, value: str) -> DataFrame:
-        """Probes the index with each snapshot of ``df`` in turn, publishes the index of the last, and returns the changes (snapshot, before, key, change)."""
+        """Probes the index with each snapshot of ``df`` in turn, publishes the index of the last, and returns the changes (snapshot, before, key, change), which can
+        be read until the next call: it begins by removing what is no longer in use."""
+        self.versions.prune()
         said = self.versions.entry()
         done = said.get("snapshot")
         rows = df if done is None else df.filter(F.col(snapshot).cast("date") > F.lit(done).cast("date"))

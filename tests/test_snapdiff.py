@@ -67,6 +67,8 @@ def test_kept_index_swaps_day_by_day(spark, tmp_path):
     assert step(1, [("z", "x")]) == set()  # that day is done
     assert step(3, [("a", "z"), ("c", None)]) == {("a", "changed"), ("b", "removed")}
     assert step(4, [("q", "z")]) == {("q", "added"), ("a", "removed"), ("c", "removed")}
+    step(5, [("q", "z")])
+    assert len([p for p in (tmp_path / "index").iterdir() if p.name.startswith("v-")]) == 2  # the index in use and the one before it
 
 
 def test_a_job_that_dies_leaves_the_old_index_in_use(spark, tmp_path, monkeypatch):
