@@ -105,18 +105,21 @@ class Ingested:
         return every.join(self.status.groupBy("status").agg(F.count("*").alias("k")), "status", "left").select("status", F.coalesce("k", F.lit(0)).alias("n"))
 
 
-def ingest(refs: DataFrame, pages: DataFrame, raw: DataFrame, filing: DataFrame, transactions: DataFrame, now: Column, *, storage: str = "bytes", force_fetch: bool = False, force_parse: bool = False, second: DataFrame | None = None, strict_footnotes: bool = False) -> Ingested:
+def ingest(refs: DataFrame, pages: DataFrame, raw: DataFrame, filing: DataFrame, transactions: DataFrame, now: Column, *, storage: str = "bytes", force_fetch: bool = False, force_parse: bool = False, second: DataFrame | None = None, documents: DataFrame | None = None, strict_footnotes: bool = False) -> Ingested:
     """Runs a set of references (accession_number, cik, filing_date, primary_document).
 
     ``pages`` has (accession_number, status, body, error) of what was fetched, needed only for references without a stored document; ``second`` the same, with
-    primary_document, of the documents that filings' index pages name, for pages that turn out to be HTML. ``filing`` and ``transactions`` are the loaded
-    tables. A parse error leaves the raw document in place and the loaded filing as it was."""
+    primary_document, of the documents that filings' index pages name, for pages that turn out to be HTML. With ``storage`` ``uri`` stored documents are read from
+    ``documents`` (raw_uri, body); one that is not there is fetched again. ``filing`` and ``transactions`` are the loaded tables. A parse error leaves the raw document in place and the loaded filing as it was."""
     shared_folder(refs.sparkSession)
-    stored = raw.select("accession_number", "raw_xml", has_document(storage).alias("__has"))
+    stored = raw.select("accession_number", "raw_uri", F.col("raw_xml") if storage == "bytes" else F.lit(None).cast("binary").alias("raw_xml"), has_document(storage).alias("__has"))
+    if storage != "bytes" and documents is not None:
+        stored = stored.drop("raw_xml").join(documents.select("raw_uri", F.col("body").alias("raw_xml")), "raw_uri", "left")
+    stored = stored.drop("raw_uri")
     clean = filing.groupBy("accession_number").agg(F.bool_or(F.col("parse_error").isNull()).alias("__clean"))
     got = pages.select("accession_number", F.struct("status", "body", "error").alias("__page"))
     one = refs.join(stored, "accession_number", "left").join(got, "accession_number", "left").join(clean, "accession_number", "left")
-    reuse = F.coalesce(F.col("__has"), F.lit(False)) & F.lit(not force_fetch)
+    reuse = F.coalesce(F.col("__has"), F.lit(False)) & F.col("raw_xml").isNotNull() & F.lit(not force_fetch)
     body = F.when(reuse, F.col("raw_xml")).when((F.col("__page.status") == 200) & F.col("__page.error").isNull(), F.col("__page.body"))
     one = one.withColumns({"__reuse": reuse, "__body": body, "__document": F.col("primary_document")})
     if second is not None:

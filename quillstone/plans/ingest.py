@@ -341,3 +341,29 @@ def text_and_bounds(spark, sf):
     line = X.one_line(F.concat("issuer_name", F.lit("  "), F.coalesce("insider_name", F.lit(""))))
     known = F.size(X.known_metadata(F.create_map(F.lit("issuer"), F.col("issuer_name"), F.lit("insider"), F.col("insider_name"))))
     return f.select("accession_number", line.alias("line"), X.clamp(F.length("accession_number") - 15, 1, 20).alias("clamped"), known.alias("known")).distinct()
+
+
+@query(r"""SELECT DISTINCT upper(regexp_replace(ticker, '^\s+|\s+$', '', 'g')) AS ticker, lpad(nullif(regexp_replace(cik, '[^0-9]', '', 'g'), ''), 10, '0') AS cik FROM (SELECT ticker, max(cik) AS cik FROM security_master GROUP BY ticker)""")
+def ticker_map(spark, sf):
+    """Tickers and ciks read back from records of records, a thousand or so in each."""
+    rows = table(spark, sf, "security_master").groupBy("ticker").agg(F.max("cik").alias("cik"))
+    parts = F.pmod(F.xxhash64("ticker"), F.ceil(rows.select(F.count("*") / 1000).scalar()))
+    records = rows.groupBy(parts.alias("part")).agg(F.map_from_entries(F.collect_list(F.struct("ticker", F.struct(F.col("cik").alias("cik_str"), "ticker")))).alias("m"))
+    return landed.ticker_map(records.select(F.to_json("m").alias("value"))).distinct()
+
+
+@query("SELECT DISTINCT accession_number, issuer_name || chr(65533) AS text FROM filing WHERE issuer_name IS NOT NULL")
+def decoded_text(spark, sf):
+    """Text of bytes of which the last one is no UTF-8."""
+    f = table(spark, sf, "filing").filter("issuer_name is not null").select("accession_number", "issuer_name").distinct()
+    return f.select("accession_number", landed.text_of(F.concat(F.encode("issuer_name", "UTF-8"), F.unhex(F.lit("FF")))).alias("text"))
+
+
+@query(r"""WITH n AS (SELECT DISTINCT lower(file_name) AS f FROM screen_line), k AS (SELECT strptime(regexp_extract(f, '([0-9]{2}-[0-9]{2}-[0-9]{4})[.]csv$', 1), '%m-%d-%Y')::DATE AS d, contains(f, 'highs') AS high FROM n)
+SELECT strftime(d, '%Y-%m-%d') AS trading_date, count(*) FILTER (WHERE high) AS highs, count(*) FILTER (WHERE NOT high) AS lows, count(*) FILTER (WHERE high) = 1 AND count(*) FILTER (WHERE NOT high) = 1 AS complete FROM k GROUP BY d""")
+def screen_pairs(spark, sf):
+    """Which days have exactly one screen file of each side."""
+    names = table(spark, sf, "screen_line").select(F.lower("file_name").alias("f")).distinct()
+    told = names.select(F.try_to_date(F.regexp_extract("f", r"([0-9]{2}-[0-9]{2}-[0-9]{4})\.csv$", 1), "MM-dd-yyyy").alias("d"), F.col("f").contains("highs").alias("high"))
+    g = told.groupBy("d").agg(F.count_if("high").alias("highs"), F.count_if(~F.col("high")).alias("lows"))
+    return g.select(K.iso("d").alias("trading_date"), "highs", "lows", ((F.col("highs") == 1) & (F.col("lows") == 1)).alias("complete"))

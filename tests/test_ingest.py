@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import filings as X
 from quillstone.operators import ingest
+from quillstone.sources import objects
 
 def now():
     return F.lit(dt.datetime(2025, 1, 1))
@@ -114,3 +115,21 @@ def test_endpoints_from_index_to_loaded_filing(spark):
     assert done.status.head().status == "ingested" and done.filing.head().issuer_cik == "0000000007"
     records = ingest.submission_records(frame([("7",), ("8",)], "cik string"), "me me@x", **how)
     assert {r.cik[-1]: r.enrichment_status for r in ingest.issuer_profiles(frame([("7",), ("8",)], "cik string"), records, now()).collect()} == {"7": "ok", "8": "error"}
+
+
+def test_documents_as_objects_and_read_again(spark, tmp_path):
+    folder = f"file://{tmp_path}/raw"
+    docs = spark.createDataFrame([("a", GOOD), ("b", BARE), ("b", BARE), ("n", None)], "accession_number string, body binary")
+    put = {(r.accession_number, r.raw_uri, r.content_sha256) for r in objects.put(docs, folder).collect()}
+    again = {(r.accession_number, r.raw_uri, r.content_sha256) for r in objects.put(docs.repartition(3), folder).collect()}
+    assert put == again and len(put) == 2 and len([p for p in (tmp_path / "raw").rglob("*") if p.is_file()]) == 2 and not objects.put(docs.limit(0), folder).count()
+    kept = objects.get(spark, folder)
+    uris = {a: u for a, u, _ in put}
+    assert {r.raw_uri: bytes(r.body) for r in kept.collect()} == {uris["a"]: GOOD, uris["b"]: BARE}
+    frame = spark.createDataFrame
+    refs = frame([(a, "7", D, "d.xml") for a in ("a", "gone", "lost")], "accession_number string, cik string, filing_date date, primary_document string")
+    raw = frame([(a, "1", D, None, "old.xml", u, None, "h", dt.datetime(2024, 1, 1), 200, None) for a, u in (("a", uris["a"]), ("gone", folder + "/gone/x.xml"), ("lost", folder + "/lost/x.xml"))], ingest.RAW)
+    pages = frame([("gone", 200, GOOD, None)], "accession_number string, status int, body binary, error string")
+    done = ingest.ingest(refs, pages, raw, frame([], FILING), frame([], TX), now(), storage="uri", documents=kept)
+    assert {r.accession_number: r.status for r in done.status.collect()} == {"a": "ingested", "gone": "ingested", "lost": "fetch_failed"}
+    assert {r.accession_number: r.raw_uri for r in done.raw.collect()}["a"] == uris["a"]
