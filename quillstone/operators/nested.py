@@ -208,6 +208,10 @@ def transition(names: tuple[str, ...], states: tuple[str, ...]) -> str:
     return CODING if said & SAYS_CODE else OTHER
 
 
+#: Objects of up to so many members have their transitions kept.
+KEPT_NAMES = 64
+
+
 class Node:
     """A JSON value with its state; ``refs`` holds the footnote ids of the node and all below it, in document order. Lists of refs are shared, never changed."""
 
@@ -305,12 +309,13 @@ class _Open:
             states = {c.state for c in parts}
             state = TABLE if TRANSACTION in states or TABLE in states else OWNER if states == {OWNER} else OTHER
             return Node(state, self.value, parts, self.refs, self.encoded)
-        names = tuple(parts)
-        state = transition(names, tuple([c.state for c in parts.values()]))
+        names, states = tuple(parts), tuple([c.state for c in parts.values()])
+        # objects with very many members are records of records: no other has the same names, and keeping them would fill the memory
+        state = transition(names, states) if len(names) <= KEPT_NAMES else transition.__wrapped__(names, states)
         refs = self.refs
         if state == REF:
             refs = ref_ids(self.value)
-        elif state in _MAY_HAVE_ID and (own := _id_name(names)) is not None:
+        elif state in _MAY_HAVE_ID and (own := _id_name(names) if len(names) <= KEPT_NAMES else _id_name.__wrapped__(names)) is not None:
             # of a note its id; of a wrapped value the id of its footnote beside it
             refs = ref_ids({"id": self.value[own]}) if state == NOTE else [*refs, *ref_ids(self.value[own])]
         return Node(state, self.value, parts, refs, self.encoded)

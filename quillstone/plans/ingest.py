@@ -10,6 +10,7 @@ from quillstone.functions import filings as X
 from quillstone.functions import keys as K
 from quillstone.operators import ingest, merge, universe
 from quillstone.plans import reference
+from quillstone.session import shared_folder
 from quillstone.sources import landed
 from quillstone.sources.tables import table
 
@@ -150,7 +151,9 @@ _RUN = """
 
 def _run(spark, sf) -> ingest.Ingested:
     f = _filings(spark, sf)
-    xml = reference.ownership_xml(spark, sf).join(f.select("accession_number", "is_amendment", "schema_version", "insider_title", "parse_error", "period_of_report"), "accession_number")
+    shared_folder(spark)
+    # written once, as landed documents are, and read as references, stored documents and pages
+    xml = reference.ownership_xml(spark, sf).join(f.select("accession_number", "is_amendment", "schema_version", "insider_title", "parse_error", "period_of_report"), "accession_number").checkpoint()
     body = F.when(F.col("parse_error").isNotNull(), F.substring("xml", 1, 200)).otherwise(F.col("xml"))
     refs = f.join(xml.select("accession_number"), "accession_number", "left_semi").select("accession_number", F.col("issuer_cik").alias("cik"), F.col("period_of_report").alias("filing_date"), F.lit("d.xml").alias("primary_document"))
     raw = xml.filter("insider_title is not null").select("accession_number", F.lit("1").alias("cik"), F.col("period_of_report").alias("filing_date"), F.lit(None).cast("timestamp_ntz").alias("accepted_at"), F.lit("d.xml").alias("primary_document"), F.lit(None).cast("string").alias("raw_uri"), body.cast("binary").alias("raw_xml"), X.content_sha(body).alias("content_sha256"), _now().cast("timestamp_ntz").alias("fetched_at"), F.lit(200).alias("http_status"), F.lit(None).cast("string").alias("fetch_error"))

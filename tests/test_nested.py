@@ -93,6 +93,12 @@ def test_nesting_of_any_depth():
     assert found('{"transactions": [' + inside + "]}") == [(0, "non_derivative", ["F2", "F3", "F9"])]
 
 
+def test_records_of_very_many_members_are_not_kept():
+    nested.transition.cache_clear()
+    got = found({"transactions": {f"{i}": TX for i in range(5_000)}})
+    assert len(got) == 5_000 and got[-1] == (4_999, "non_derivative", ["F2", "F3"]) and nested.transition.cache_info().currsize < 20
+
+
 def test_deep_parser_agrees_with_the_standard_one():
     rng = random.Random(2)
 
