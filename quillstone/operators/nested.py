@@ -447,12 +447,18 @@ def _fields(node: Node) -> dict[str, Node]:
     stack: list[tuple[str, Node, str]] = [(k, c, "") for k, c in reversed(node.parts.items())]
     while stack:
         key, child, prefix = stack.pop()
-        name = letters(key)
-        if isinstance(child.parts, dict) and child.state not in LEAVES and child.state != REF:
+        state = child.state
+        if state == REF:
+            continue
+        name, kind = letters(key), type(child.parts)
+        if kind is dict and state not in LEAVES:
             inner = "underlying" if "underlying" in name else prefix
             stack += [(k, c, inner) for k, c in reversed(child.parts.items())]
-        elif child.state != REF and not isinstance(child.parts, list):
-            out.setdefault(name if name.startswith(prefix) else prefix + name, child)
+        elif kind is not list:
+            if prefix and not name.startswith(prefix):
+                name = prefix + name
+            if name not in out:
+                out[name] = child
     return out
 
 
@@ -509,6 +515,11 @@ def _schemas(only: dict[str, tuple[str, ...]] | None) -> tuple[str, pa.Schema]:
     return ddl, pa.schema([("record_id", pa.int64()), *[(c, pa.string()) for c in _HEADER[1:]], *[(t, pa.list_(pa.struct([(c, _ARROW_TYPES[k]) for c, k in cs.items()]))) for t, cs in kept.items()]])
 
 
+def _is_right(node: Node, fields: dict[str, Node]) -> bool:
+    """Whether a security is a right to another one, by what it tells of that or of its own terms."""
+    return any(k.startswith(("underlying", "conversion", "exercise", "expiration")) for k in fields) or any("underlying" in letters(k) for k in node.parts)
+
+
 def _row(node: Node, wanted: dict[str, tuple[str, ...]], position: int, fields: dict[str, Node]) -> dict:
     row = {c: _pick(fields, *names) for c, names in wanted.items()}
     row["position"] = position
@@ -532,8 +543,7 @@ def flatten(payload: str | None, tables: dict[str, dict[str, tuple[str, ...]]] =
         fields = _fields(node)
         if state in (TRANSACTION, HOLDING):
             own = _category(_pick(fields, "transactioncategory", "category"))
-            right = any(k.startswith(("underlying", "conversion", "exercise", "expiration")) for k in fields) or any("underlying" in letters(k) for k in node.parts)
-            kind = own or category or ("derivative" if right else "non_derivative")
+            kind = own or category or ("derivative" if _is_right(node, fields) else "non_derivative")
             placed, encoded = placed or category is not None, encoded or inside
             if state == TRANSACTION:
                 found[kind].append((node, fields))
